@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from recordloom.operators.cleaning import ORDER, first_deliveries, newest_versions, with_order
 from recordloom.operators.skew import HOT_ROWS, split_hot
-from recordloom.session import settled_keys
+from recordloom.session import checkpointed, settled_keys
 from recordloom.specs import ID, VERSION
 
 HISTORY_COLUMNS = ("is_current", "valid_from", "valid_to", "scd_updated_at", "last_seen")
@@ -179,7 +179,8 @@ def extend(
     is_newer = F.col("last_seen").isNull() | (position() > F.col("last_seen"))
     newer = batch.join(seen, ID, "left").filter(is_newer).drop("last_seen")
     open_rows = starts.withColumn("_written", F.col("scd_updated_at")).drop(*HISTORY_COLUMNS)
-    chains = open_rows.unionByName(newer.withColumn("_written", F.lit(None).cast("timestamp")))
+    # Read three times below, and small next to the history: the batch and the open rows it continues.
+    chains = checkpointed(open_rows.unionByName(newer.withColumn("_written", F.lit(None).cast("timestamp"))))
     untouched = current.join(touched, ID, "left_anti")
     return untouched.unionByName(_history_of(chains, _moment(run_at), hot_rows))
 

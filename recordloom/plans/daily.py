@@ -5,7 +5,7 @@ Each step reads tables and writes tables, so any step can be repeated after a fa
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +22,7 @@ from recordloom.sources.tables import (
     finished_runs,
     read_bronze,
     read_current,
+    read_history,
     write_bronze,
     write_history_run,
     write_ingestion_log,
@@ -37,8 +38,8 @@ def ingest_day(
     Running a day again replaces it.
     """
     pages = read_pages(spark, landing, spec, [day], one_per_line)
-    rows, counted = observed(flatten_bundles(pages, spec), f"bronze {spec.name} {day}")
-    write_bronze(rows, bronze)
+    rows, counted = observed(flatten_bundles(pages, spec), f"{spec.bronze_table} {day}")
+    write_bronze(rows, f"{bronze}/{spec.bronze_table}")
     write_ingestion_log(audit_pages(pages), log)
     return counted.get["total_rows"]
 
@@ -67,9 +68,14 @@ def update_history(
     spark: SparkSession, bronze: str, root: str, spec: ResourceSpec, day: str, run_at: datetime
 ) -> None:
     """Add one ingested day to the history of its resource type; the run number is the day."""
-    rows = read_bronze(spark, bronze).filter(F.col("resource_type") == spec.name)
-    on_day, before = F.col("ingestion_date") == F.lit(day).cast("date"), F.col("ingestion_date") < F.lit(day).cast("date")
-    advance_history(rows.filter(on_day), rows.filter(before), root, spec, int(day.replace("-", "")), run_at)
+    rows = read_bronze(spark, f"{bronze}/{spec.bronze_table}")
+    on_day = rows.filter(F.col("ingestion_date") == F.lit(day).cast("date"))
+    before = rows.filter(F.col("ingestion_date") < F.lit(day).cast("date"))
+    advance_history(on_day, before, f"{root}/{spec.silver_table}", spec, int(day.replace("-", "")), run_at)
+
+
+def read_histories(spark: SparkSession, root: str, specs: Iterable[ResourceSpec]) -> dict[str, DataFrame]:
+    return {spec.name: read_history(spark, f"{root}/{spec.silver_table}") for spec in specs}
 
 
 def mart_tables(histories: Mapping[str, DataFrame], as_of: date) -> dict[str, DataFrame]:

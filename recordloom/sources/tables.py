@@ -10,7 +10,7 @@ previous run in force, and a retry overwrites only the partitions of its own run
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.specs import ID
@@ -29,8 +29,8 @@ def write_partitions(df: DataFrame, path: str, *by: str) -> None:
 
 
 def write_bronze(bronze: DataFrame, root: str) -> None:
-    """Add the days in `bronze`; a repeated day replaces itself instead of doubling."""
-    write_partitions(bronze, root, "resource_type", "ingestion_date")
+    """Add the days in `bronze` to the table of its resource type; a repeated day replaces itself instead of doubling."""
+    write_partitions(bronze, root, "ingestion_date")
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
@@ -80,6 +80,12 @@ def finished_runs(spark: SparkSession, root: str) -> dict[int, int]:
     return {mark["run"]: mark["base"] for mark in _run_marks(spark, root)}
 
 
+def _history_rows(spark: SparkSession, root: str, wanted: Column) -> DataFrame:
+    """Rows of the wanted partitions; is_current is text in folder names."""
+    rows = spark.read.parquet(f"{root}/rows").filter(wanted)
+    return rows.withColumn("is_current", F.col("is_current").cast("boolean"))
+
+
 def read_history(spark: SparkSession, root: str) -> DataFrame | None:
     """The history as of the newest finished run, None before the first one.
 
@@ -91,9 +97,9 @@ def read_history(spark: SparkSession, root: str) -> DataFrame | None:
     newest = max(marks, key=lambda m: m["run"])
     counted = [m for m in marks if newest["base"] <= m["run"]]
     runs = sorted({m["run"] for m in counted})
-    current = F.col("is_current") & (F.col("run") == newest["run"])
-    closed = ~F.col("is_current") & F.col("run").isin(runs)
-    rows = spark.read.parquet(f"{root}/rows").filter(current | closed)
+    current = (F.col("is_current") == "true") & (F.col("run") == newest["run"])
+    closed = (F.col("is_current") == "false") & F.col("run").isin(runs)
+    rows = _history_rows(spark, root, current | closed)
     corrections = sorted({m["run"] for m in counted if m["corrects"]})
     if corrections:
         late = spark.read.parquet(f"{root}/late").filter(F.col("run").isin(corrections))
@@ -107,5 +113,5 @@ def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     runs = finished_runs(spark, root)
     if not runs:
         return None
-    rows = spark.read.parquet(f"{root}/rows")
-    return rows.filter(F.col("is_current") & (F.col("run") == max(runs))).drop("run")
+    newest = (F.col("is_current") == "true") & (F.col("run") == max(runs))
+    return _history_rows(spark, root, newest).drop("run")

@@ -27,15 +27,17 @@ def ingest_available(
 ) -> None:
     """Take all pages that landed since the last call, then stop.
 
+    `bronze`, `history` and `checkpoint` are folders of this resource type.
+
     A micro-batch may run twice after a failure. Its bronze rows go to a partition of their own, which
     the second try replaces, and its history run is skipped if it had finished.
     """
 
     def store(rows: DataFrame, batch: int) -> None:
-        write_partitions(rows.withColumn("batch", F.lit(batch)), bronze, "resource_type", "batch")
+        write_partitions(rows.withColumn("batch", F.lit(batch)), bronze, "batch")
         if history is None:
             return
-        stored = read_bronze(rows.sparkSession, bronze).filter(F.col("resource_type") == spec.name)
+        stored = read_bronze(rows.sparkSession, bronze)
         arrived, before = stored.filter(F.col("batch") == batch), stored.filter(F.col("batch") < batch)
         advance_history(arrived.drop("batch"), before.drop("batch"), history, spec, batch, run_at)
 

@@ -60,9 +60,10 @@ def display_value(number: Column | str, text: Column | str, coded: Column | str)
 
 def record_hash(columns: Sequence[str]) -> Column:
     """MD5 over the text of the columns, NULLs made visible so that values cannot slide."""
-    return F.md5(F.concat_ws(HASH_SEPARATOR, *[F.coalesce(F.col(c).cast("string"), F.lit(HASH_NULL)) for c in columns]))
+    texts = ", ".join(f"coalesce(cast(`{c}` as string), '{HASH_NULL}')" for c in columns)
+    return F.expr(f"md5(concat_ws('{HASH_SEPARATOR}', {texts}))")
 
 
 def trimmed(df: DataFrame) -> DataFrame:
     """All string columns without surrounding spaces, in one projection."""
-    return df.select(*[F.trim(f.name).alias(f.name) if f.dataType.typeName() == "string" else f.name for f in df.schema.fields])
+    return df.selectExpr(*[f"trim(`{c}`) as `{c}`" if kind == "string" else f"`{c}`" for c, kind in df.dtypes])

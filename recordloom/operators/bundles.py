@@ -27,12 +27,8 @@ def with_lineage(pages: DataFrame) -> DataFrame:
 
 def flatten_records(records: DataFrame, spec: ResourceSpec, *keep: str) -> DataFrame:
     """Flat columns of the resource struct `r`, with the struct itself as JSON."""
-    return records.select(
-        "full_url",
-        *[F.expr(e).alias(c) for c, e in spec.flat_columns.items()],
-        F.to_json("r").alias("raw_resource_json"),
-        *keep,
-    )
+    flat = [f"{expression} as {column}" for column, expression in spec.flat_columns.items()]
+    return records.selectExpr("full_url", *flat, "to_json(r) as raw_resource_json", *keep)
 
 
 def flatten_bundles(pages: DataFrame, spec: ResourceSpec) -> DataFrame:

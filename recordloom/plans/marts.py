@@ -19,40 +19,44 @@ PATIENT_CONTEXT = {"full_name": "patient_name", "gender": "patient_gender", "age
 def dim_patient(patients: DataFrame, as_of: date | Column) -> DataFrame:
     """Demographics of every current patient."""
     as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return current_rows(patients).select(
-        F.col("resource_id").alias("patient_id"),
-        F.col("name_given").alias("first_name"),
-        F.col("name_family").alias("last_name"),
-        F.col("name_text").alias("full_name"),
-        "gender",
-        "birth_date",
-        age_years("birth_date", as_of).alias("age"),
-        F.col("active").alias("is_active"),
-        "identifier_system",
-        "identifier_value",
-        "address_city",
-        "address_state",
-        "address_country",
-        "address_postal_code",
-        "marital_status_code",
-        "meta_version_id",
-        "meta_last_updated",
-        "valid_from",
-        "valid_to",
-        "is_current",
+    return (
+        current_rows(patients)
+        .withColumn("age", age_years("birth_date", as_of))
+        .selectExpr(
+            "resource_id as patient_id",
+            "name_given as first_name",
+            "name_family as last_name",
+            "name_text as full_name",
+            "gender",
+            "birth_date",
+            "age",
+            "active as is_active",
+            "identifier_system",
+            "identifier_value",
+            "address_city",
+            "address_state",
+            "address_country",
+            "address_postal_code",
+            "marital_status_code",
+            "meta_version_id",
+            "meta_last_updated",
+            "valid_from",
+            "valid_to",
+            "is_current",
+        )
     )
 
 
 def dim_condition(conditions: DataFrame) -> DataFrame:
     """Distinct coded conditions in use; a code has one row per wording and category."""
     coded = current_rows(conditions).filter("condition_code is not null")
-    return coded.select(
+    return coded.selectExpr(
         "condition_code",
         "code_system",
         "condition_display",
         "condition_text",
-        F.col("category_code").alias("condition_category"),
-        F.col("category_display").alias("condition_category_display"),
+        "category_code as condition_category",
+        "category_display as condition_category_display",
     ).distinct()
 
 
@@ -63,44 +67,61 @@ def repeated_codes(dimension: DataFrame) -> DataFrame:
 
 def encounters(history: DataFrame) -> DataFrame:
     """Current encounters with keys and duration, before the patient is looked up."""
-    return current_rows(history).select(
-        F.col("resource_id").alias("encounter_id"),
-        reference_key("patient_reference", "Patient").alias("patient_id"),
-        F.col("status").alias("encounter_status"),
-        F.col("class_code").alias("encounter_class"),
-        F.col("class_display").alias("encounter_class_display"),
-        F.col("type_code").alias("encounter_type_code"),
-        F.col("type_display").alias("encounter_type_display"),
-        F.col("reason_display").alias("encounter_reason"),
-        "period_start",
-        "period_end",
-        span_hours("period_start", "period_end").alias("duration_hours"),
-        "meta_last_updated",
-        "ingestion_date",
+    derived = {
+        "patient_id": reference_key("patient_reference", "Patient"),
+        "duration_hours": span_hours("period_start", "period_end"),
+    }
+    return (
+        current_rows(history)
+        .withColumns(derived)
+        .selectExpr(
+            "resource_id as encounter_id",
+            "patient_id",
+            "status as encounter_status",
+            "class_code as encounter_class",
+            "class_display as encounter_class_display",
+            "type_code as encounter_type_code",
+            "type_display as encounter_type_display",
+            "reason_display as encounter_reason",
+            "period_start",
+            "period_end",
+            "duration_hours",
+            "meta_last_updated",
+            "ingestion_date",
+        )
     )
 
 
 def observations(history: DataFrame) -> DataFrame:
     """Current observations with keys and display value, before the patient is looked up."""
-    return current_rows(history).select(
-        F.col("resource_id").alias("observation_id"),
-        reference_key("patient_reference", "Patient").alias("patient_id"),
-        reference_key("encounter_reference", "Encounter").alias("encounter_id"),
-        F.col("status").alias("observation_status"),
-        "category_code",
-        "category_display",
-        "code_system",
-        "observation_code",
-        "observation_display",
-        "observation_text",
-        "effective_datetime",
-        "value_quantity",
-        "value_unit",
-        "value_string",
-        "value_codeable_text",
-        display_value("value_quantity", "value_string", "value_codeable_text").alias("display_value"),
-        "meta_last_updated",
-        "ingestion_date",
+    derived = {
+        "patient_id": reference_key("patient_reference", "Patient"),
+        "encounter_id": reference_key("encounter_reference", "Encounter"),
+        "display_value": display_value("value_quantity", "value_string", "value_codeable_text"),
+    }
+    return (
+        current_rows(history)
+        .withColumns(derived)
+        .selectExpr(
+            "resource_id as observation_id",
+            "patient_id",
+            "encounter_id",
+            "status as observation_status",
+            "category_code",
+            "category_display",
+            "code_system",
+            "observation_code",
+            "observation_display",
+            "observation_text",
+            "effective_datetime",
+            "value_quantity",
+            "value_unit",
+            "value_string",
+            "value_codeable_text",
+            "display_value",
+            "meta_last_updated",
+            "ingestion_date",
+        )
     )
 
 

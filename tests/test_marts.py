@@ -1,0 +1,201 @@
+"""Dimensions, facts and summary over hand-made histories."""
+
+from datetime import date, datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from recordloom.functions.columns import age_years, day, display_value, instant, reference_key, span_hours, trimmed
+from recordloom.operators.metrics import layer_metrics, observed
+from recordloom.plans import daily, marts
+from recordloom.specs import RESOURCES
+
+NOW = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
+def history(spark, name, rows):
+    """Current rows given as dicts of flat columns."""
+    columns = {c: "string" for c in RESOURCES[name].flat_columns}
+    columns.update({"active": "boolean"} if name == "Patient" else {})
+    columns.update({"value_quantity": "double"} if name == "Observation" else {})
+    columns.update({"is_current": "boolean", "valid_from": "timestamp", "valid_to": "timestamp", "ingestion_date": "date"})
+    ddl = ", ".join(f"{c} {t}" for c, t in columns.items())
+    filled = [{"is_current": True, "valid_from": NOW, "ingestion_date": date(2024, 1, 1), **row} for row in rows]
+    return spark.createDataFrame([tuple(r.get(c) for c in columns) for r in filled], ddl)
+
+
+@pytest.fixture(scope="module")
+def histories(spark):
+    ref = lambda p: f"Patient/{p}"
+    return {
+        "Patient": history(
+            spark,
+            "Patient",
+            [
+                {"resource_id": "p1", "name_text": "One", "gender": "female", "birth_date": "1980-05", "active": True},
+                {"resource_id": "p2", "name_text": "Two"},
+                {"resource_id": "p1", "name_text": "Old", "is_current": False},
+            ],
+        ),
+        "Encounter": history(
+            spark,
+            "Encounter",
+            [
+                # 23:00 at -05:00 is after 02:00 UTC of the next day, though its text sorts first.
+                {"resource_id": "e1", "patient_reference": ref("p1"), "period_start": "2020-01-01T23:00:00-05:00", "period_end": "2020-01-02T06:30:00Z"},
+                {"resource_id": "e2", "patient_reference": ref("p1"), "period_start": "2020-01-02T02:00:00Z", "period_end": "2020-01-02T02:00:10Z"},
+                {"resource_id": "e3", "patient_reference": ref("p1"), "period_start": "2019"},
+                {"resource_id": "e4", "patient_reference": "urn:uuid:x", "period_start": "bad", "period_end": "2020-01-01"},
+                {"resource_id": "e5", "patient_reference": ref("unknown")},
+                {"resource_id": "e6", "patient_reference": ref("p2"), "period_start": "bad"},
+            ],
+        ),
+        "Observation": history(
+            spark,
+            "Observation",
+            [
+                {"resource_id": "o1", "patient_reference": ref("p1"), "observation_code": "c", "value_quantity": 1.5, "value_string": "s"},
+                {"resource_id": "o2", "patient_reference": ref("p1"), "observation_code": "c", "value_string": "s", "effective_datetime": "2020-01-01"},
+                {"resource_id": "o3", "patient_reference": ref("p1") + "/_history/2", "value_codeable_text": "coded", "encounter_reference": "Encounter/e1"},
+                {"resource_id": "o4", "patient_reference": None},
+            ],
+        ),
+        "Condition": history(
+            spark,
+            "Condition",
+            [
+                {"resource_id": "c1", "patient_reference": ref("p1"), "condition_code": "k1", "condition_display": "b"},
+                {"resource_id": "c2", "patient_reference": ref("p1"), "condition_code": "k1", "condition_display": "a"},
+                {"resource_id": "c3", "patient_reference": ref("p1"), "condition_code": "k2"},
+                {"resource_id": "c4", "patient_reference": ref("p1"), "condition_code": None, "condition_display": "b"},
+                {"resource_id": "c5", "patient_reference": ref("p2"), "condition_code": "k1", "condition_display": "a"},
+                {"resource_id": "c6", "patient_reference": ref("p2"), "condition_code": "k3", "is_current": False},
+            ],
+        ),
+    }
+
+
+@pytest.fixture(scope="module")
+def tables(histories):
+    return daily.mart_tables(histories, date(2024, 1, 1))
+
+
+def by(df, key):
+    return {r[key]: r for r in df.collect()}
+
+
+def test_dim_patient(tables):
+    rows = by(tables["dim_patient"], "patient_id")
+    assert set(rows) == {"p1", "p2"} and len(tables["dim_patient"].columns) == 20
+    assert (rows["p1"]["full_name"], rows["p1"]["age"], rows["p2"]["age"]) == ("One", 43, None)
+
+
+def test_dim_condition(tables):
+    rows = tables["dim_condition"]
+    assert sorted((r["condition_code"], r["condition_display"] or "") for r in rows.collect()) == [("k1", "a"), ("k1", "b"), ("k2", "")]
+    assert [tuple(r) for r in marts.repeated_codes(rows).collect()] == [("k1", 2)]
+
+
+def test_fact_encounter(tables):
+    rows = by(tables["fact_encounter"], "encounter_id")
+    assert len(rows) == 6 and len(tables["fact_encounter"].columns) == 16
+    assert {k: r["duration_hours"] for k, r in rows.items()} == {"e1": 2.5, "e2": 0.0, "e3": None, "e4": None, "e5": None, "e6": None}
+    assert (rows["e1"]["patient_name"], rows["e5"]["patient_name"], rows["e4"]["patient_id"]) == ("One", None, None)
+    assert rows["e5"]["patient_id"] == "unknown"
+
+
+def test_fact_observation(tables, histories):
+    rows = by(tables["fact_observation"], "observation_id")
+    assert len(tables["fact_observation"].columns) == 21
+    assert {k: r["display_value"] for k, r in rows.items()} == {"o1": "1.5", "o2": "s", "o3": "coded", "o4": None}
+    assert (rows["o3"]["patient_id"], rows["o3"]["encounter_id"], rows["o3"]["patient_name"]) == ("p1", "e1", "One")
+    visits = marts.encounters(histories["Encounter"])
+    joined = by(marts.observations_with_encounter(tables["fact_observation"], visits), "observation_id")
+    assert joined["o3"]["period_start"] == "2020-01-01T23:00:00-05:00" and joined["o1"]["period_start"] is None
+
+
+def test_patient_summary(tables):
+    rows = by(tables["patient_summary"], "patient_id")
+    assert set(rows) == {"p1", "p2"} and len(tables["patient_summary"].columns) == 18
+    one, two = rows["p1"], rows["p2"]
+    assert (one["total_encounters"], one["first_encounter"], one["last_encounter"]) == (3, "2019", "2020-01-01T23:00:00-05:00")
+    assert one["avg_duration_hours"] == 1.25
+    assert (one["distinct_conditions"], one["condition_list"]) == (2, ["a", "b"])
+    assert (one["total_observations"], one["distinct_obs_types"], one["latest_observation"]) == (3, 1, "2020-01-01")
+    assert (two["total_encounters"], two["first_encounter"], two["avg_duration_hours"]) == (1, "bad", None)
+    assert (two["distinct_conditions"], two["total_observations"], two["latest_observation"]) == (1, 0, None)
+
+
+def test_patient_without_anything(spark, histories):
+    alone = {**histories, "Patient": history(spark, "Patient", [{"resource_id": "p9"}])}
+    row = daily.mart_tables(alone, date(2024, 1, 1))["patient_summary"].first()
+    assert [row[c] for c in ("total_encounters", "distinct_conditions", "total_observations", "distinct_obs_types")] == [0] * 4
+    assert [row[c] for c in ("first_encounter", "avg_duration_hours", "condition_list", "latest_observation")] == [None] * 4
+
+
+def test_views_answer_sql(spark, histories):
+    daily.create_views(histories, date(2024, 1, 1))
+    assert spark.sql("select count(*) from fact_encounter join dim_patient using (patient_id)").first()[0] == 4
+
+
+def one(spark, column, value):
+    return spark.createDataFrame([(value,)], "v string").select(column("v")).first()[0]
+
+
+@pytest.mark.parametrize(
+    "text,key,tail",
+    [
+        ("Patient/9", "9", "9"),
+        ("https://host/base/Patient/9", "9", "9"),
+        ("Patient/9/_history/2", "9", "9/_history/2"),
+        ("urn:uuid:9", None, None),
+        ("Patient/", None, None),
+        (None, None, None),
+    ],
+)
+def test_reference_key(spark, text, key, tail):
+    assert one(spark, lambda v: reference_key(v, "Patient"), text) == key
+    assert one(spark, lambda v: reference_key(v, "Patient", whole_tail=True), text) == tail
+
+
+@pytest.mark.parametrize(
+    "text,at",
+    [
+        ("1980", "1980-01-01 00:00:00"),
+        ("1980-05", "1980-05-01 00:00:00"),
+        ("2020-01-01T10:00:00+02:00", "2020-01-01 08:00:00"),
+        ("2020-01-01T10:00:00", "2020-01-01 10:00:00"),
+        ("soon", None),
+        (None, None),
+    ],
+)
+def test_instants(spark, text, at):
+    assert one(spark, lambda v: instant(v).cast("string"), text) == at
+    assert one(spark, lambda v: day(v).cast("string"), text) == (at and at[:10])
+
+
+def test_age(spark):
+    as_of = F.lit("2002-01-01").cast("date")
+    assert one(spark, lambda v: age_years(v, as_of), "2001-01-01") == 0
+    assert one(spark, lambda v: age_years(v, as_of, calendar=True), "2001-01-01") == 1
+
+
+def test_span_may_be_negative_and_rounds_halves_away_from_zero(spark):
+    start = F.lit("2020-01-01T00:00:00Z")
+    assert one(spark, lambda v: span_hours(start, v), "2020-01-01T00:00:18Z") == 0.01
+    assert one(spark, lambda v: span_hours(start, v), "2019-12-31T23:59:42Z") == -0.01
+
+
+def test_display_value_and_trim(spark):
+    row = spark.sql("select cast(null as double) n, ' x ' s, 'c' c")
+    assert row.select(display_value("n", "s", "c")).first()[0] == " x "
+    assert trimmed(spark.sql("select '\t x ' s, 1 i")).first() == ("\t x", 1)
+
+
+def test_metrics(spark, histories):
+    rows = by(layer_metrics({"silver": histories["Patient"], "other": spark.range(3)}), "table_name")
+    assert tuple(rows["silver"])[1:] == (3, 2, 1, 2)
+    assert tuple(rows["other"])[1:] == (3, None, None, None)
+    df, counted = observed(histories["Patient"], "write")
+    df.write.format("noop").mode("overwrite").save()
+    assert counted.get == {"total_rows": 3, "current_rows": 2}

@@ -95,17 +95,15 @@ def _history_of(rows: DataFrame, run_at: Column, hot_rows: int) -> DataFrame:
     `hot_rows` rows or more are cut into time slices instead.
     """
     ordinary, hot = split_hot(rows, ID, hot_rows)
-
     once = first_deliveries(ordinary.repartition(ID))
     whole = _by_id().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    once = once.withColumn("last_seen", F.last(position()).over(whole))
-
-    # One row per hot id, and hot ids are bounded, so the broadcast side stays small.
-    spread = first_deliveries(hot)
-    seen = spread.groupBy(ID).agg(F.max(position()).alias("last_seen"))
-    spread = _sliced(spread).join(F.broadcast(seen), ID)
-
-    return _link(once, run_at, False).unionByName(_link(spread, run_at, True))
+    result = _link(once.withColumn("last_seen", F.last(position()).over(whole)), run_at, False)
+    if hot is not None:
+        spread = first_deliveries(hot)
+        # One row per hot id, and hot ids are bounded, so the broadcast side stays small.
+        seen = spread.groupBy(ID).agg(F.max(position()).alias("last_seen"))
+        result = result.unionByName(_link(_sliced(spread).join(F.broadcast(seen), ID), run_at, True))
+    return result
 
 
 # --- whole histories --------------------------------------------------------------------------

@@ -1,7 +1,8 @@
 """Finding the few keys that hold very many rows.
 
-The result only chooses a plan: both ways of treating a key give the same rows, so a key that is
-missed or listed needlessly costs time, never rows.
+The keys only choose a plan: both ways of treating a key give the same rows, so a key that is missed
+or listed needlessly costs time, never rows. They are looked up once and then fixed, so that the two
+sides of a split cannot disagree.
 """
 
 from __future__ import annotations
@@ -10,28 +11,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-BUCKETS = 64
-PER_BUCKET = 16
-TRACKED = 128
+MOST_KEYS = 1_000  # bound of the broadcast side; the next largest key has below 1/1000 of all rows
+HITS = 1_000  # rows of a key with HOT_ROWS rows that the look-up is expected to meet
 
 
 def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with about `rows` rows or more; never more than BUCKETS * PER_BUCKET of them.
+    """Keys with about `rows` rows or more, the largest MOST_KEYS of them.
 
-    One pass over the key column. Each task keeps a heavy-hitter sketch per bucket of keys; the
-    sketches of a bucket meet in one task, so no task sees them all.
+    Reads the key column only and counts a sample sized by `rows`: a key with `rows` rows is met about
+    HITS times, half of that makes it hot. Counts are added up before they are shuffled.
     """
-    top = F.expr(f"approx_top_k({key}, {PER_BUCKET}, {TRACKED})")
-    sketches = df.groupBy(F.pmod(F.xxhash64(key), F.lit(BUCKETS)).alias("bucket")).agg(top.alias("top"))
-    found = sketches.select(F.explode("top").alias("found")).filter(F.col("found.count") >= rows)
-    return found.select(F.col("found.item").alias(key))
-
-
-def split_hot(df: DataFrame, key: str, rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """`df` as (rows of ordinary keys, rows of hot keys).
-
-    The broadcast side has at most BUCKETS * PER_BUCKET rows. When it is empty, adaptive execution
-    drops the second plan without reading for it.
-    """
-    hot = F.broadcast(hot_keys(df, key, rows))
+    fraction = min(1.0, HITS / rows)
+    found = df.select(key) if fraction == 1.0 else df.select(key).sample(fraction, seed=1)
+    least = rows if fraction == 1.0 else HITS / 2
+    counts = found.groupBy(key).agg(F.count(F.lit(1)).alias("met")).filter(F.col("met") >= least)
+    return counts.orderBy(F.col("met").desc()).limit(MOST_KEYS).select(key)
+
+
+def split_hot(df: DataFrame, key: str, rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """`df` as (rows of ordinary keys, rows of hot keys or None where no key is hot)."""
+    found = hot_keys(df, key, rows).collect()  # at most MOST_KEYS values
+    if not found:
+        return df, None
+    hot = F.broadcast(df.sparkSession.createDataFrame(found, df.select(key).schema))
     return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")

@@ -40,7 +40,8 @@ def ingest_day(
     pages = read_pages(spark, landing, spec, [day], one_per_line)
     rows, counted = observed(flatten_bundles(pages, spec), f"{spec.bronze_table} {day}")
     write_bronze(rows, f"{bronze}/{spec.bronze_table}")
-    write_ingestion_log(audit_pages(pages), log)
+    headers = read_pages(spark, landing, spec, [day], one_per_line, headers_only=True)
+    write_ingestion_log(audit_pages(headers), log)
     return counted.get["total_rows"]
 
 
@@ -68,7 +69,7 @@ def update_history(
     spark: SparkSession, bronze: str, root: str, spec: ResourceSpec, day: str, run_at: datetime
 ) -> None:
     """Add one ingested day to the history of its resource type; the run number is the day."""
-    rows = read_bronze(spark, f"{bronze}/{spec.bronze_table}")
+    rows = read_bronze(spark, f"{bronze}/{spec.bronze_table}", spec)
     on_day = rows.filter(F.col("ingestion_date") == F.lit(day).cast("date"))
     before = rows.filter(F.col("ingestion_date") < F.lit(day).cast("date"))
     advance_history(on_day, before, f"{root}/{spec.silver_table}", spec, int(day.replace("-", "")), run_at)

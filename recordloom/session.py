@@ -49,14 +49,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master may fall back to a temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="recordloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="recordloom-"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

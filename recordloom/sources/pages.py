@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.specs import CORRUPT, WINDOW_DAYS, ResourceSpec
+from recordloom.specs import CORRUPT, WINDOW_DAYS, ResourceSpec, page_ddl
 
 DAY_IN_PATH = r"/(\d{4}-\d{2}-\d{2})/[^/]+$"
 
@@ -33,14 +33,17 @@ def read_pages(
     spec: ResourceSpec,
     days: Sequence[str],
     one_per_line: bool = False,
+    headers_only: bool = False,
 ) -> DataFrame:
     """Pages of the given days with the declared schema; broken pages keep their text in _corrupt.
 
+    `headers_only` leaves the resources unparsed, which is enough for the audit.
+
     Only the folders of `days` are listed. A multi-line file is one task, so pages must stay small;
     with `one_per_line` files hold many pages and can be split.
     """
     reader = (
-        spark.read.schema(spec.bundle_ddl)
+        spark.read.schema(page_ddl("fullUrl:string") if headers_only else spec.bundle_ddl)
         .option("multiLine", not one_per_line)
         .option("columnNameOfCorruptRecord", CORRUPT)
     )

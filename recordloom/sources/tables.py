@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.specs import ID
+from recordloom.specs import ID, ResourceSpec
 
 # Columns of the ingestion log.
 INGESTION_LOG_DDL = (
@@ -33,9 +33,15 @@ def write_bronze(bronze: DataFrame, root: str) -> None:
     write_partitions(bronze, root, "ingestion_date")
 
 
-def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    """All days, with the columns of every file merged: a column added later is NULL before."""
-    return spark.read.option("mergeSchema", "true").parquet(root)
+def read_bronze(spark: SparkSession, root: str, spec: ResourceSpec | None = None) -> DataFrame:
+    """All days; a column that came later is NULL in the days before.
+
+    With `spec` the schema is known and no file is opened to find it; without, the schemas of all
+    files are merged.
+    """
+    if spec is None:
+        return spark.read.option("mergeSchema", "true").parquet(root)
+    return spark.read.schema(spec.bronze_ddl).parquet(root)
 
 
 def empty_ingestion_log(spark: SparkSession) -> DataFrame:

@@ -6,7 +6,7 @@ A new resource type is one more entry in RESOURCES; no other module lists types.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 # Page size and window of the landing feed.
 PAGE_SIZE = 100
@@ -18,6 +18,9 @@ CODING = "array<struct<system:string,code:string,display:string>>"
 CONCEPT = f"struct<coding:{CODING}>"
 CONCEPT_WITH_TEXT = f"struct<coding:{CODING},text:string>"
 REFERENCE = "struct<reference:string>"
+LINEAGE_DDL = (
+    "extraction_timestamp timestamp, api_url_or_params string, ingestion_date date, resource_type string"
+)
 LINK = "array<struct<relation:string,url:string>>"
 
 CORRUPT = "_corrupt"
@@ -33,31 +36,42 @@ IDENTITY = {
 }
 
 
+def page_ddl(entry_fields: str) -> str:
+    return (
+        f"resourceType string, id string, link {LINK}, entry array<struct<{entry_fields}>>, {CORRUPT} string"
+    )
+
+
 @dataclass(frozen=True)
 class ResourceSpec:
     """One resource type.
 
     `columns` maps each flat column to a Spark SQL expression over `r`, the resource struct. Array
-    heads are taken with get(), which gives NULL for an empty array also in ANSI mode.
+    heads are taken with get(), which gives NULL for an empty array also in ANSI mode. `types` names
+    the columns that are not strings.
     """
 
     name: str
     body: str
     columns: Mapping[str, str]
     hash_columns: tuple[str, ...]
+    types: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def bundle_ddl(self) -> str:
         """Columns of one page; the corrupt text column catches pages that are not valid JSON."""
-        return (
-            f"resourceType string, id string, link {LINK}, "
-            f"entry array<struct<fullUrl:string,resource:{self.body}>>, {CORRUPT} string"
-        )
+        return page_ddl(f"fullUrl:string,resource:{self.body}")
 
     @property
     def flat_columns(self) -> dict[str, str]:
         return {**IDENTITY, **self.columns}
 
+    @property
+    def bronze_ddl(self) -> str:
+        """Columns of the bronze table, for reading it without a look at its files."""
+        flat = [f"{column} {self.types.get(column, 'string')}" for column in self.flat_columns]
+        return ", ".join(["full_url string", *flat, "raw_resource_json string", LINEAGE_DDL])
+
     @property
     def bronze_table(self) -> str:
         return f"bronze_{self.name.lower()}"
@@ -107,6 +121,7 @@ PATIENT = ResourceSpec(
         "address_postal_code",
         "marital_status_code",
     ),
+    types={"active": "boolean"},
 )
 
 ENCOUNTER = ResourceSpec(
@@ -181,6 +196,7 @@ OBSERVATION = ResourceSpec(
         "value_string",
         "value_codeable_text",
     ),
+    types={"value_quantity": "double"},
 )
 
 CONDITION = ResourceSpec(

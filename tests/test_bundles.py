@@ -106,7 +106,9 @@ def test_audit_reports_errors_and_missing_pages(spark, tmp_path):
         "page_0005.json": bundle(),
         "notes.json": linked({"id": "9"}, number=7),
     }
-    log = audit_pages(read_pages(spark, land(tmp_path, pages), PATIENT, [DAY]))
+    root = land(tmp_path, pages)
+    log = audit_pages(read_pages(spark, root, PATIENT, [DAY], headers_only=True))
+    assert log.exceptAll(audit_pages(read_pages(spark, root, PATIENT, [DAY]))).count() == 0
     rows = {r["page_number"]: r for r in log.collect()}
     assert {n: (r["records_fetched"], r["status"], r["error_message"]) for n, r in rows.items()} == {
         1: (2, "SUCCESS", None),
@@ -127,6 +129,12 @@ def test_log_schema(spark, tmp_path):
     assert log.columns == [c.split()[0] for c in INGESTION_LOG_DDL.split(", ")]
 
 
+def test_bronze_columns_are_those_of_the_spec(spark, tmp_path):
+    for name, spec in RESOURCES.items():
+        rows = flatten_bundles(read_pages(spark, land(tmp_path / name, {"p.json": bundle()}, name), spec, [DAY]), spec)
+        assert rows.dtypes == spark.createDataFrame([], spec.bronze_ddl).dtypes
+
+
 def test_days_select_folders(spark, tmp_path):
     root = land(tmp_path, {"page_0001.json": bundle({"id": "1"})})
     other = tmp_path / "Patient" / "2024-03-02"

@@ -7,7 +7,7 @@ from rows import RUN, bronze, brute_force, delivered, view
 from recordloom.operators import history as h
 from recordloom.operators.changes import change_counts, detect_changes, rows_to_write
 from recordloom.operators.cleaning import first_deliveries
-from recordloom.operators.skew import BUCKETS, PER_BUCKET, hot_keys
+from recordloom.operators.skew import MOST_KEYS, hot_keys, split_hot
 from recordloom.session import checkpointed
 
 A = [("1", "1", "2020-01-01", "a"), ("1", "2", "2020-01-02", "b"), ("1", "3", "2020-01-03", "a")]
@@ -114,10 +114,14 @@ def test_hot_and_ordinary_plans_agree_in_all_columns(spark):
 
 
 def test_hot_keys_are_found_and_bounded(spark):
-    rows = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") / 2).cast("long").cast("string"))
+    rows = spark.range(60_000).select(key.alias("k"))
     assert [r["k"] for r in hot_keys(rows, "k", 10_000).collect()] == ["hot"]
-    assert hot_keys(rows, "k", 1).count() <= BUCKETS * PER_BUCKET
+    assert hot_keys(rows, "k", 1).count() == MOST_KEYS
     assert hot_keys(rows, "k").count() == 0
+    ordinary, hot = split_hot(rows, "k", 10_000)
+    assert (ordinary.count(), hot.count()) == (40_000, 20_000)
+    assert split_hot(rows, "k")[1] is None
 
 
 @pytest.mark.parametrize("seed,hot_rows", [(3, 10**9), (4, 10**9), (5, 1), (6, 20)])

@@ -20,7 +20,7 @@ from recordloom.operators.cleaning import deliveries, first_deliveries
 from recordloom.operators.landing import land_pages, to_pages
 from recordloom.operators.metrics import layer_metrics
 from recordloom.plans import daily, marts
-from recordloom.session import checkpointed, new_folder, pin
+from recordloom.session import new_folder, pin, stored
 from recordloom.sources import star_tables as star
 from recordloom.sources import tables as store
 from recordloom.sources.pages import in_window, read_pages
@@ -53,8 +53,12 @@ def query(function: Query) -> Query:
 # --- inputs -----------------------------------------------------------------------------------
 
 
+def _table(spark, folder, name) -> DataFrame:
+    return star.spread(star.table(spark, folder, name))
+
+
 def _order_versions(spark, folder, keep=None) -> DataFrame:
-    orders = star.table(spark, folder, "orders")
+    orders = _table(spark, folder, "orders")
     return star.delivered(star.patients_by_order(orders if keep is None else orders.filter(keep)), ENCOUNTER)
 
 
@@ -65,7 +69,7 @@ def _before_and_after(spark, folder) -> tuple[DataFrame, DataFrame]:
 
 
 def _bronze(spark, folder, name) -> DataFrame:
-    t = lambda n: star.table(spark, folder, n)
+    t = lambda n: _table(spark, folder, n)
     records = {
         "Patient": lambda: star.patients(t("customer")),
         "Encounter": lambda: star.encounters(t("orders"), t("lineitem")),
@@ -102,13 +106,13 @@ def bundle_flatten_orders(spark, folder):
 
 @query
 def bundle_flatten_lineitem(spark, folder):
-    records = star.observations(star.table(spark, folder, "lineitem"), star.table(spark, folder, "orders"))
+    records = star.observations(_table(spark, folder, "lineitem"), _table(spark, folder, "orders"))
     return _flat(star.bronze_through_pages(records, OBSERVATION))
 
 
 @query
 def bundle_flatten_part(spark, folder):
-    records = star.conditions(*[star.table(spark, folder, n) for n in ("lineitem", "orders", "part")])
+    records = star.conditions(*[_table(spark, folder, n) for n in ("lineitem", "orders", "part")])
     return _flat(star.bronze_through_pages(records, CONDITION))
 
 
@@ -151,19 +155,19 @@ def registry_dispatch_rows(spark, folder):
 
 @query
 def current_window_filter(spark, folder):
-    events = star.table(spark, folder, "events")
-    return events.filter(in_window(F.to_date("ts"), "2024-01-15")).select("event_id", "user_id", "event_type")
+    events = _table(spark, folder, "events")
+    return events.filter(in_window("ts", "2024-01-15")).select("event_id", "user_id", "event_type")
 
 
 @query
 def event_props_parse(spark, folder):
     parsed = F.from_json("props", "k bigint")
-    return star.table(spark, folder, "events").select("event_id", parsed["k"].alias("k"))
+    return _table(spark, folder, "events").select("event_id", parsed["k"].alias("k"))
 
 
 def _land(spark, folder, landing, name="Patient", day=star.DAY, keep=None) -> str:
     source, adapter = {"Patient": ("customer", star.patients), "Encounter": ("orders", star.encounters)}[name]
-    rows = star.table(spark, folder, source)
+    rows = _table(spark, folder, source)
     return land_pages(adapter(rows if keep is None else rows.filter(keep)), landing, spec_for(name), day)
 
 
@@ -218,7 +222,7 @@ def pages_stream_available_now(spark, folder):
 def bronze_merge_schema_append(spark, folder):
     """A column that exists from the second day on, and a repeated second day."""
     root = new_folder(spark, "bronze")
-    orders = star.table(spark, folder, "orders")
+    orders = _table(spark, folder, "orders")
     first = star.bronze_rows(star.encounters(orders.filter(F.col("o_orderdate") < CUT)), ENCOUNTER, "2024-01-02")
     second = star.bronze_rows(star.encounters(orders.filter(F.col("o_orderdate") >= CUT)), ENCOUNTER, "2024-01-03")
     store.write_bronze(first.drop("type_code"), root)
@@ -232,7 +236,7 @@ def bronze_merge_schema_append(spark, folder):
 
 @query
 def string_trim_all(spark, folder):
-    customer = star.table(spark, folder, "customer")
+    customer = _table(spark, folder, "customer")
     padded = customer.select(
         "c_custkey",
         F.concat(F.lit("  "), "c_name", F.lit(" ")).alias("c_name"),
@@ -243,14 +247,14 @@ def string_trim_all(spark, folder):
 
 @query
 def record_hash_orders(spark, folder):
-    records = star.encounters(star.table(spark, folder, "orders"))
+    records = star.encounters(_table(spark, folder, "orders"))
     return star.delivered(records, ENCOUNTER).select("resource_id", "record_hash")
 
 
 @query
 def dedup_first_extraction(spark, folder):
     """All orders delivered on two days, on the second with another status: the first delivery stays."""
-    orders = star.table(spark, folder, "orders")
+    orders = _table(spark, folder, "orders")
     closed = orders.withColumn("o_orderstatus", F.lit("closed"))
     again = star.bronze_rows(star.encounters(closed), ENCOUNTER, "2024-01-03", "2024-01-03 00:00:00")
     both = star.bronze_rows(star.encounters(orders), ENCOUNTER).unionByName(again)
@@ -293,7 +297,7 @@ def scd2_rebuild_orders(spark, folder):
 
 @query
 def scd2_rebuild_events(spark, folder):
-    events = star.delivered(star.users_by_event(star.table(spark, folder, "events")), ENCOUNTER)
+    events = star.delivered(star.users_by_event(_table(spark, folder, "events")), ENCOUNTER)
     return h.rebuild(events, FIRST_RUN).select("resource_id", "meta_version_id", "status", *VERSION_COLUMNS[2:])
 
 
@@ -315,8 +319,8 @@ def scd2_apply_two_batches(spark, folder):
 def scd2_apply_in_order(spark, folder):
     """The second batch appended behind the current rows, then delivered once more."""
     before, after = _before_and_after(spark, folder)
-    history = checkpointed(h.rebuild(before, FIRST_RUN))
-    history = checkpointed(h.apply_in_order(history, after, before, SECOND_RUN))
+    history = stored(h.rebuild(before, FIRST_RUN))
+    history = stored(h.apply_in_order(history, after, before, SECOND_RUN))
     again = h.apply_in_order(history, after, before.unionByName(after), THIRD_RUN)
     return again.select(*VERSION_COLUMNS, "scd_updated_at")
 
@@ -326,7 +330,7 @@ def scd2_apply_late_versions(spark, folder):
     """Orders in two batches by key, so that the second is full of versions older than those seen."""
     odd = F.col("o_orderkey") % 2 == 1
     first, second = _order_versions(spark, folder, odd), _order_versions(spark, folder, ~odd)
-    history = checkpointed(h.rebuild(first, FIRST_RUN))
+    history = stored(h.rebuild(first, FIRST_RUN))
     history = h.apply_in_order(history, second, first, SECOND_RUN)
     return history.select(*VERSION_COLUMNS)
 
@@ -335,7 +339,7 @@ def scd2_apply_late_versions(spark, folder):
 def history_store_runs(spark, folder):
     """Three stored runs, the third with late versions, read back."""
     root = new_folder(spark, "history")
-    orders = star.table(spark, folder, "orders")
+    orders = _table(spark, folder, "orders")
     late = F.col("o_orderkey") % 10 == 0
     recent = F.col("o_orderdate") >= CUT
     parts = [orders.filter(~late & ~recent), orders.filter(~late & recent), orders.filter(late)]
@@ -364,7 +368,7 @@ def scd2_as_of(spark, folder):
 @query
 def scd2_layer_counts(spark, folder):
     history = h.rebuild(_order_versions(spark, folder), FIRST_RUN)
-    bronze = star.bronze_rows(star.patients_by_order(star.table(spark, folder, "orders")), ENCOUNTER)
+    bronze = star.bronze_rows(star.patients_by_order(_table(spark, folder, "orders")), ENCOUNTER)
     return layer_metrics({"bronze_encounter": bronze, "silver_encounter": history})
 
 
@@ -378,7 +382,7 @@ def reference_key_extract(spark, folder):
         "case o_orderkey % 4 when 0 then 'Patient/' || o_custkey when 1 then 'https://host/Patient/' || o_custkey "
         "when 2 then 'Patient/' || o_custkey || '/_history/2' else 'urn:uuid:' || o_custkey end"
     )
-    orders = star.table(spark, folder, "orders").withColumn("reference", forms)
+    orders = _table(spark, folder, "orders").withColumn("reference", forms)
     return orders.select(
         "o_orderkey",
         reference_key("reference", "Patient").alias("patient_id"),
@@ -394,7 +398,7 @@ def age_years_customer(spark, folder):
         "case c_custkey % 4 when 0 then cast(date_sub(date'2000-01-01', cast(c_custkey % 20000 as int)) as string) "
         "when 1 then '1980-05' when 2 then '1980' else 'unknown' end"
     )
-    customer = star.table(spark, folder, "customer").withColumn("birth", birth)
+    customer = _table(spark, folder, "customer").withColumn("birth", birth)
     return customer.select(
         "c_custkey",
         age_years("birth", F.lit(AGE_DAY)).alias("age"),
@@ -404,7 +408,7 @@ def age_years_customer(spark, folder):
 
 @query
 def order_span_hours(spark, folder):
-    records = star.encounters(star.table(spark, folder, "orders"), star.table(spark, folder, "lineitem"))
+    records = star.encounters(_table(spark, folder, "orders"), _table(spark, folder, "lineitem"))
     return records.select(
         F.col("r.id").alias("resource_id"), span_hours("r.period.start", "r.period.end").alias("duration_hours")
     )
@@ -413,7 +417,7 @@ def order_span_hours(spark, folder):
 @query
 def event_gap_hours(spark, folder):
     """Hours from an event to the start of 2024-02, with fractions of an hour to round."""
-    events = star.table(spark, folder, "events")
+    events = _table(spark, folder, "events")
     return events.select("event_id", span_hours(star.iso("ts"), F.lit("2024-02-01T00:00:00Z")).alias("hours"))
 
 

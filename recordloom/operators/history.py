@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from recordloom.operators.cleaning import ORDER, first_deliveries, newest_versions, with_order
 from recordloom.operators.skew import HOT_ROWS, split_hot
-from recordloom.session import checkpointed, settled_keys
+from recordloom.session import settled_keys, stored
 from recordloom.specs import ID, VERSION
 
 HISTORY_COLUMNS = ("is_current", "valid_from", "valid_to", "scd_updated_at", "last_seen")
@@ -150,16 +150,24 @@ def apply(
 # --- one batch more, newer versions only ------------------------------------------------------
 
 
-def late_ids(current: DataFrame, batch: DataFrame, earlier: DataFrame) -> DataFrame:
-    """Ids for which the batch brings an unknown version older than one already seen.
+def _split_current(current: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Current rows as (rows of ids not in the batch, stored rows of ids in the batch).
 
-    `earlier` are the deliveries before the batch. Repeats of the newest version, the usual overlap,
-    are settled without them; where the batch has nothing older, adaptive execution does not read
-    `earlier` at all.
+    The current set is only scanned, unless the batch has too many ids to broadcast.
     """
-    seen = current.select(ID, "last_seen")
-    older = batch.join(seen, ID).filter(position() < F.col("last_seen")).select(ID, VERSION)
-    return older.join(earlier.select(ID, VERSION), [ID, VERSION], "left_anti").select(ID).distinct()
+    touched, _ = settled_keys(batch.select(ID))
+    return current.join(touched, ID, "left_anti"), stored(current.join(touched, ID, "left_semi"))
+
+
+def _continue(starts: DataFrame, batch: DataFrame, run_at: Column, hot_rows: int) -> DataFrame:
+    """Link the newer versions of the batch behind the current rows of their ids."""
+    seen = starts.select(ID, "last_seen")
+    is_newer = F.col("last_seen").isNull() | (position() > F.col("last_seen"))
+    newer = batch.join(seen, ID, "left").filter(is_newer).drop("last_seen")
+    open_rows = with_order(starts).withColumn("_written", F.col("scd_updated_at")).drop(*HISTORY_COLUMNS)
+    # Read three times below, and small next to the history: the batch and the rows it continues.
+    chains = stored(open_rows.unionByName(newer.withColumn("_written", F.lit(None).cast("timestamp"))))
+    return _history_of(chains, run_at, hot_rows)
 
 
 def extend(
@@ -171,16 +179,24 @@ def extend(
     are left out, so a repeated batch changes nothing. Ids from late_ids() need apply(). A version is
     taken to keep its time: one delivered again under a later time counts as new here.
     """
-    touched, _ = settled_keys(batch.select(ID))
-    starts = with_order(current.join(touched, ID, "left_semi"))
-    seen = starts.select(ID, "last_seen")
-    is_newer = F.col("last_seen").isNull() | (position() > F.col("last_seen"))
-    newer = batch.join(seen, ID, "left").filter(is_newer).drop("last_seen")
-    open_rows = starts.withColumn("_written", F.col("scd_updated_at")).drop(*HISTORY_COLUMNS)
-    # Read three times below, and small next to the history: the batch and the open rows it continues.
-    chains = checkpointed(open_rows.unionByName(newer.withColumn("_written", F.lit(None).cast("timestamp"))))
-    untouched = current.join(touched, ID, "left_anti")
-    return untouched.unionByName(_history_of(chains, _moment(run_at), hot_rows))
+    untouched, starts = _split_current(current, batch)
+    return untouched.unionByName(_continue(starts, batch, _moment(run_at), hot_rows))
+
+
+def late_ids(current: DataFrame, batch: DataFrame, earlier: DataFrame) -> DataFrame | None:
+    """Ids for which the batch brings an unknown version older than one already seen; None if none.
+
+    `earlier` are the deliveries before the batch. Repeats of the newest version, the usual overlap,
+    are settled without them, and where the batch has nothing older they are not read at all.
+    """
+    seen = current.select(ID, "last_seen")
+    before = batch.join(seen, ID).filter(position() < F.col("last_seen"))
+    older, count = settled_keys(before.select(ID, VERSION))
+    if not count:
+        return None
+    known = earlier.select(ID, VERSION).join(older, [ID, VERSION], "left_semi")
+    late, count = settled_keys(older.join(known, [ID, VERSION], "left_anti").select(ID))
+    return late if count else None
 
 
 def step(
@@ -195,14 +211,17 @@ def step(
     The rows are those of extend() for ids in order, and the whole rebuilt history of the late ids,
     which replaces all that was stored for them.
     """
-    late, count = settled_keys(late_ids(current, batch, earlier))
-    if not count:
-        return extend(current, batch, run_at, hot_rows), None
-    on_time = extend(
-        current.join(late, ID, "left_anti"), batch.join(late, ID, "left_anti"), run_at, hot_rows
+    run_at = _moment(run_at)
+    untouched, starts = _split_current(current, batch)
+    late = late_ids(starts, batch, earlier)
+    if late is None:
+        return untouched.unionByName(_continue(starts, batch, run_at, hot_rows)), None
+    on_time = _continue(
+        starts.join(late, ID, "left_anti"), batch.join(late, ID, "left_anti"), run_at, hot_rows
     )
     everything = earlier.unionByName(batch).join(late, ID, "left_semi")
-    return on_time.unionByName(rebuild(everything, run_at, hot_rows)), late
+    rows = untouched.unionByName(on_time).unionByName(rebuild(everything, run_at, hot_rows))
+    return rows, late
 
 
 def apply_in_order(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordloom.session import checkpointed
+from recordloom.session import stored
 from recordloom.sources.pages import landing_path
 from recordloom.specs import PAGE_SIZE, ResourceSpec
 
@@ -18,7 +18,7 @@ def with_row_index(df: DataFrame) -> DataFrame:
 
     Counts rows per partition and adds the counts of the partitions before, so no row is shuffled
     and nothing is sorted. The broadcast side has one row per partition. `df` is read twice and must
-    give the same rows in the same order: a scan with narrow steps, or a checkpoint.
+    give the same rows in the same order: a scan with narrow steps, or a stored table.
     """
     placed = df.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", ROW_BITS))
     in_part = F.col("_at") - F.shiftleft("_part", ROW_BITS)
@@ -55,7 +55,7 @@ def to_pages(
 
     number = F.col("page_number")
     here, onward = link("self", number), link("next", number + 1)
-    in_order = F.array_sort("entries", lambda a, b: (a["index"] - b["index"]).cast("int"))
+    in_order = F.array_sort("entries")  # by index, the first field
     bundle = F.struct(
         F.lit("Bundle").alias("resourceType"),
         F.format_string("page_%04d", number).alias("id"),
@@ -77,10 +77,10 @@ def land_pages(
 ) -> str:
     """Write the pages of one resource type and day, replacing that day; returns the folder.
 
-    Default is one page per line, many per file. The records are checkpointed first, so that a lost
-    executor cannot number them differently on the second try.
+    Default is one page per line, many per file. The records are stored first, so that a lost executor
+    cannot number them differently on the second try.
     """
     path = landing_path(root, spec.name, day)
-    pages = to_pages(checkpointed(records), spec, page_size).select("value")
+    pages = to_pages(stored(records), spec, page_size).select("value")
     pages.write.mode("overwrite").option("maxRecordsPerFile", 1 if one_per_file else 0).text(path)
     return path

@@ -64,12 +64,15 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return os.path.join(shared_dir(spark), f"{purpose}-{uuid.uuid4().hex}")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` cut from its lineage by a reliable checkpoint in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+def stored(df: DataFrame) -> DataFrame:
+    """`df` written to a table in the shared folder and read from there.
+
+    Cuts the lineage: what reads it is not affected by lost executors, sees the same rows in the same
+    order each time, and has their size.
+    """
+    path = new_folder(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def settled_keys(keys: DataFrame, most: int = 1_000_000) -> tuple[DataFrame, int]:
@@ -77,6 +80,6 @@ def settled_keys(keys: DataFrame, most: int = 1_000_000) -> tuple[DataFrame, int
 
     Beyond `most` the joins that use them shuffle.
     """
-    keys = checkpointed(keys.distinct())
+    keys = stored(keys.distinct())
     count = keys.count()
     return (F.broadcast(keys) if count <= most else keys), count

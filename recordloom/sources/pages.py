@@ -75,11 +75,12 @@ def parse_pages(texts: DataFrame, spec: ResourceSpec, text: str = "value") -> Da
     return parsed.select("_page.*", *[c for c in texts.columns if c != text])
 
 
-def in_window(day: Column | str, end: str, days: int = WINDOW_DAYS) -> Column:
-    """Condition for the incremental window: `days` before `end` up to `end`, both included.
+def in_window(at: Column | str, end: str, days: int = WINDOW_DAYS) -> Column:
+    """Condition for the incremental window: `days` before `end` up to `end`, both days included.
 
-    On a partition column it prunes folders; on a date column it is pushed to the scan.
+    Takes dates and timestamps. It compares the column itself, so it prunes the folders of a partition
+    column and is pushed to the scan of any other.
     """
-    day = F.col(day) if isinstance(day, str) else day
+    at = F.col(at) if isinstance(at, str) else at
     last = F.lit(end).cast("date")
-    return day.between(F.date_sub(last, days), last)
+    return (at >= F.date_sub(last, days)) & (at < F.date_add(last, 1))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from recordloom.operators.bundles import LINEAGE, flatten_bundles, flatten_records
 from recordloom.operators.cleaning import deliveries
 from recordloom.operators.landing import to_pages
-from recordloom.session import checkpointed
+from recordloom.session import stored
 from recordloom.sources.pages import parse_pages
 from recordloom.specs import (
     CONCEPT,
@@ -30,6 +30,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, per_file: int = 8) -> DataFrame:
+    """`df` over more tasks where it lies in fewer files than there are cores.
+
+    The rows are small and the records made of them are not. Large tables have files enough and stay
+    as they are. Rows do not keep their order.
+    """
+    files, cores = len(df.inputFiles()), df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(min(cores, per_file * files)) if files < cores else df
+
+
 def iso(timestamp: Column | str) -> Column:
     """ISO text of a timestamp taken as UTC."""
     return F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
@@ -230,7 +240,7 @@ def bronze_rows(records: DataFrame, spec: ResourceSpec, day: str = DAY, landed:
 
 def pages_of(records: DataFrame, spec: ResourceSpec, stable: bool = False) -> DataFrame:
     """Records written to JSON pages and parsed again; `stable` when they are a narrow scan."""
-    texts = to_pages(records if stable else checkpointed(records), spec)
+    texts = to_pages(records if stable else stored(records), spec)
     return parse_pages(texts, spec).withColumns(
         {
             "page_path": F.concat_ws("/", F.lit(DAY), "id"),

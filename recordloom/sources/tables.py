@@ -77,7 +77,9 @@ def write_history_run(
 def _run_marks(spark: SparkSession, root: str) -> list:
     try:
         return spark.read.parquet(f"{root}/runs").collect()
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return []
 
 

@@ -4,10 +4,11 @@ import re
 
 from rows import RUN
 
+from recordloom.checks.queries import QUERIES
 from recordloom.operators import history as h
 from recordloom.operators.cleaning import deliveries, first_deliveries
 from recordloom.plans import marts
-from recordloom.session import new_folder
+from recordloom.session import new_folder, stored
 from recordloom.sources import star_tables as star
 from recordloom.specs import ENCOUNTER, OBSERVATION
 
@@ -21,7 +22,7 @@ def final_plan(df):
     return plan(df).split("== Initial Plan ==")[0]
 
 
-def stored(spark, folder, records, spec):
+def bronze_table(spark, folder, records, spec):
     """Bronze rows in a table, as in daily work."""
     root = new_folder(spark, "bronze")
     star.bronze_rows(records, spec).write.parquet(root)
@@ -30,7 +31,7 @@ def stored(spark, folder, records, spec):
 
 def versions(spark, folder):
     records = star.patients_by_order(star.table(spark, folder, "orders"))
-    return deliveries(stored(spark, folder, records, ENCOUNTER), ENCOUNTER)
+    return deliveries(bronze_table(spark, folder, records, ENCOUNTER), ENCOUNTER)
 
 
 def test_ordinary_history_shuffles_its_rows_once(spark, folder):
@@ -60,10 +61,23 @@ def test_current_rows_filter_reaches_the_scan(spark, folder):
     assert "class_code" not in read and "patient_reference" in read
 
 
+def test_window_filter_reaches_the_scan(spark, folder):
+    text = plan(QUERIES["current_window_filter"](spark, folder))
+    assert "GreaterThanOrEqual(ts" in text and "LessThan(ts" in text
+    assert "props" not in text.split("ReadSchema: ")[1]
+
+
+def test_small_batch_does_not_shuffle_the_current_set(spark, folder):
+    history = stored(h.rebuild(versions(spark, folder), RUN[0]))
+    rows, late = h.step(h.current_rows(history), versions(spark, folder), versions(spark, folder), RUN[1])
+    untouched = plan(rows).split("LeftAnti")[0]
+    assert late is None and "BroadcastHashJoin [resource_id" in untouched and "Exchange" not in untouched
+
+
 def test_summary_joins_after_aggregating(spark, folder):
     records = star.observations(star.table(spark, folder, "lineitem"), star.table(spark, folder, "orders"))
     root = new_folder(spark, "history")
-    h.rebuild(deliveries(stored(spark, folder, records, OBSERVATION), OBSERVATION), RUN[0]).write.parquet(root)
+    h.rebuild(deliveries(bronze_table(spark, folder, records, OBSERVATION), OBSERVATION), RUN[0]).write.parquet(root)
     text = plan(marts.observation_kpis(marts.observations(spark.read.parquet(root))))
     assert "Join" not in text and "Expand" not in text
     assert "partial_count" in text

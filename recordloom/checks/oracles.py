@@ -217,6 +217,17 @@ select cast(page as int) as page_number,
 from range(1, cast(ceil((select count(*) from {table}) / {size}.0) as bigint) + 1) t(page)"""
 
 
+DAMAGED_LOG = f"""
+        with p as ({paged('orders')}),
+        landed as (select *, page_number % 7 = 0 as cut from p where page_number % 5 <> 0)
+        select 'Encounter' as resource_type, page_number, case when cut then 0 else records_fetched end as records_fetched,
+               case when cut then 'ERROR' else 'SUCCESS' end as status,
+               case when cut then 'malformed page' end as error_message, date '2024-01-02' as ingestion_date
+        from landed
+        union all
+        select 'Encounter', page_number + 1, 0, 'ERROR', 'next page not landed', date '2024-01-02'
+        from landed where not cut and (page_number + 1) % 5 = 0 and page_number < (select max(page_number) from p)"""
+
 ORACLES: dict[str, str] = {
     "bundle_flatten_customer": f"""
         select * exclude (moment) replace (' ' || address_city as address_city) from ({PATIENT_ROWS})""",
@@ -246,16 +257,11 @@ ORACLES: dict[str, str] = {
         select 'Patient' as resource_type, page_number, records_fetched, 'SUCCESS' as status,
                cast(null as varchar) as error_message, date '2024-01-02' as ingestion_date
         from ({paged('customer')})""",
-    "audit_pages_corrupt": f"""
-        with p as ({paged('orders')}),
-        landed as (select *, page_number % 7 = 0 as cut from p where page_number % 5 <> 0)
-        select 'Encounter' as resource_type, page_number, case when cut then 0 else records_fetched end as records_fetched,
-               case when cut then 'ERROR' else 'SUCCESS' end as status,
-               case when cut then 'malformed page' end as error_message, date '2024-01-02' as ingestion_date
-        from landed
-        union all
-        select 'Encounter', page_number + 1, 0, 'ERROR', 'next page not landed', date '2024-01-02'
-        from landed where not cut and (page_number + 1) % 5 = 0 and page_number < (select max(page_number) from p)""",
+    "audit_pages_corrupt": DAMAGED_LOG,
+    "audit_day_totals": f"""
+        select resource_type, ingestion_date, count(*) as pages, cast(sum(records_fetched) as bigint) as records,
+               count(*) filter (status = 'ERROR') as errors
+        from ({DAMAGED_LOG}) group by resource_type, ingestion_date""",
     "rejected_pages_report": f"""
         select 'Encounter' as resource_type, 'malformed page' as reason, count(*) as pages
         from ({paged('orders')}) where page_number % 5 <> 0 and page_number % 7 = 0 having count(*) > 0""",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions.columns import age_years, reference_key, span_hours, trimmed
 from recordloom.operators import history as h
-from recordloom.operators.audit import audit_pages
+from recordloom.operators.audit import audit_pages, day_totals
 from recordloom.operators.bundles import LINEAGE, rejected_pages
 from recordloom.operators.changes import detect_changes, rows_to_write
 from recordloom.operators.cleaning import deliveries, first_deliveries
@@ -199,6 +199,11 @@ def audit_pages_corrupt(spark, folder):
     return audit_pages(_damaged_pages(spark, folder)).select(*LOG_VIEW)
 
 
+@query
+def audit_day_totals(spark, folder):
+    return day_totals(audit_pages(_damaged_pages(spark, folder)))
+
+
 @query
 def rejected_pages_report(spark, folder):
     lost = rejected_pages(_damaged_pages(spark, folder))

@@ -79,3 +79,12 @@ def audit_pages(pages: DataFrame) -> DataFrame:
             "status": F.when(F.col("error_message").isNull(), SUCCESS).otherwise(ERROR),
         }
     ).select(*LOG_COLUMNS)
+
+
+def day_totals(log: DataFrame) -> DataFrame:
+    """Pages, records and errors per resource type and day."""
+    return log.groupBy("resource_type", "ingestion_date").agg(
+        F.count(F.lit(1)).alias("pages"),
+        F.sum("records_fetched").alias("records"),
+        F.count_if(F.col("status") == ERROR).alias("errors"),
+    )

@@ -37,7 +37,7 @@ def ingest_available(
         write_partitions(rows.withColumn("batch", F.lit(batch)), bronze, "batch")
         if history is None:
             return
-        stored = read_bronze(rows.sparkSession, bronze)
+        stored = read_bronze(rows.sparkSession, bronze, spec)
         arrived, before = stored.filter(F.col("batch") == batch), stored.filter(F.col("batch") < batch)
         advance_history(arrived.drop("batch"), before.drop("batch"), history, spec, batch, run_at)
 

@@ -2,6 +2,7 @@
 
 import re
 
+from pyspark.sql import functions as F
 from rows import RUN
 
 from recordloom.checks.queries import QUERIES
@@ -74,6 +75,38 @@ def test_small_batch_does_not_shuffle_the_current_set(spark, folder):
     assert late is None and "BroadcastHashJoin [resource_id" in untouched and "Exchange" not in untouched
 
 
+def test_fact_join_splits_a_patient_with_very_many_facts(spark):
+    """A third of the facts belong to one patient and a third to none."""
+    key = F.expr("case id % 3 when 0 then 'p0' when 1 then 'p' || id end")
+    facts = spark.range(0, 60_000, 1, 8).select(F.col("id").alias("fact"), key.alias("patient_id"))
+    patients = spark.range(60_000).selectExpr(
+        "'p' || id as patient_id", "'n' || id as full_name", "'x' as gender", "1 as age"
+    )
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        joined = marts.with_patient(facts, patients)
+        assert joined.filter("patient_name is not null").count() == 40_000 and joined.count() == 60_000
+        assert "skew=true" in final_plan(joined)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
+def test_newest_version_is_picked_before_the_shuffle(spark, folder):
+    text = plan(h.first_load(versions(spark, folder), RUN[0]))
+    assert "Partial" in text.split("Exchange hashpartitioning", 1)[1]
+
+
 def test_summary_joins_after_aggregating(spark, folder):
     records = star.observations(star.table(spark, folder, "lineitem"), star.table(spark, folder, "orders"))
     root = new_folder(spark, "history")

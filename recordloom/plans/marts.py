@@ -5,6 +5,7 @@ All inputs are histories (one current row per id); `as_of` is the day ages are c
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -13,51 +14,110 @@ from pyspark.sql import functions as F
 from recordloom.functions.columns import age_years, display_value, instant, reference_key, span_hours
 from recordloom.operators.history import current_rows
 
+# Columns of the served tables, each with the history column or derived column it shows.
+DIM_PATIENT = {
+    "patient_id": "resource_id",
+    "first_name": "name_given",
+    "last_name": "name_family",
+    "full_name": "name_text",
+    "gender": "gender",
+    "birth_date": "birth_date",
+    "age": "age",
+    "is_active": "active",
+    "identifier_system": "identifier_system",
+    "identifier_value": "identifier_value",
+    "address_city": "address_city",
+    "address_state": "address_state",
+    "address_country": "address_country",
+    "address_postal_code": "address_postal_code",
+    "marital_status_code": "marital_status_code",
+    "meta_version_id": "meta_version_id",
+    "meta_last_updated": "meta_last_updated",
+    "valid_from": "valid_from",
+    "valid_to": "valid_to",
+    "is_current": "is_current",
+}
+DIM_CONDITION = {
+    "condition_code": "condition_code",
+    "code_system": "code_system",
+    "condition_display": "condition_display",
+    "condition_text": "condition_text",
+    "condition_category": "category_code",
+    "condition_category_display": "category_display",
+}
+FACT_ENCOUNTER = {
+    "encounter_id": "resource_id",
+    "patient_id": "patient_id",
+    "encounter_status": "status",
+    "encounter_class": "class_code",
+    "encounter_class_display": "class_display",
+    "encounter_type_code": "type_code",
+    "encounter_type_display": "type_display",
+    "encounter_reason": "reason_display",
+    "period_start": "period_start",
+    "period_end": "period_end",
+    "duration_hours": "duration_hours",
+    "meta_last_updated": "meta_last_updated",
+    "ingestion_date": "ingestion_date",
+}
+FACT_OBSERVATION = {
+    "observation_id": "resource_id",
+    "patient_id": "patient_id",
+    "encounter_id": "encounter_id",
+    "observation_status": "status",
+    "category_code": "category_code",
+    "category_display": "category_display",
+    "code_system": "code_system",
+    "observation_code": "observation_code",
+    "observation_display": "observation_display",
+    "observation_text": "observation_text",
+    "effective_datetime": "effective_datetime",
+    "value_quantity": "value_quantity",
+    "value_unit": "value_unit",
+    "value_string": "value_string",
+    "value_codeable_text": "value_codeable_text",
+    "display_value": "display_value",
+    "meta_last_updated": "meta_last_updated",
+    "ingestion_date": "ingestion_date",
+}
+PATIENT_SUMMARY = (
+    "patient_id",
+    "full_name",
+    "gender",
+    "age",
+    "birth_date",
+    "is_active",
+    "address_city",
+    "address_state",
+    "address_country",
+    "total_encounters",
+    "first_encounter",
+    "last_encounter",
+    "avg_duration_hours",
+    "distinct_conditions",
+    "condition_list",
+    "total_observations",
+    "distinct_obs_types",
+    "latest_observation",
+)
+COUNTS = ("total_encounters", "distinct_conditions", "total_observations", "distinct_obs_types")
 PATIENT_CONTEXT = {"full_name": "patient_name", "gender": "patient_gender", "age": "patient_age"}
 
 
+def _shown(rows: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    return rows.selectExpr(*[f"{source} as {name}" for name, source in columns.items()])
+
+
 def dim_patient(patients: DataFrame, as_of: date | Column) -> DataFrame:
     """Demographics of every current patient."""
     as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return (
-        current_rows(patients)
-        .withColumn("age", age_years("birth_date", as_of))
-        .selectExpr(
-            "resource_id as patient_id",
-            "name_given as first_name",
-            "name_family as last_name",
-            "name_text as full_name",
-            "gender",
-            "birth_date",
-            "age",
-            "active as is_active",
-            "identifier_system",
-            "identifier_value",
-            "address_city",
-            "address_state",
-            "address_country",
-            "address_postal_code",
-            "marital_status_code",
-            "meta_version_id",
-            "meta_last_updated",
-            "valid_from",
-            "valid_to",
-            "is_current",
-        )
-    )
+    aged = current_rows(patients).withColumn("age", age_years("birth_date", as_of))
+    return _shown(aged, DIM_PATIENT)
 
 
 def dim_condition(conditions: DataFrame) -> DataFrame:
     """Distinct coded conditions in use; a code has one row per wording and category."""
-    coded = current_rows(conditions).filter("condition_code is not null")
-    return coded.selectExpr(
-        "condition_code",
-        "code_system",
-        "condition_display",
-        "condition_text",
-        "category_code as condition_category",
-        "category_display as condition_category_display",
-    ).distinct()
+    return _shown(current_rows(conditions).filter("condition_code is not null"), DIM_CONDITION).distinct()
 
 
 def repeated_codes(dimension: DataFrame) -> DataFrame:
@@ -71,25 +131,7 @@ def encounters(history: DataFrame) -> DataFrame:
         "patient_id": reference_key("patient_reference", "Patient"),
         "duration_hours": span_hours("period_start", "period_end"),
     }
-    return (
-        current_rows(history)
-        .withColumns(derived)
-        .selectExpr(
-            "resource_id as encounter_id",
-            "patient_id",
-            "status as encounter_status",
-            "class_code as encounter_class",
-            "class_display as encounter_class_display",
-            "type_code as encounter_type_code",
-            "type_display as encounter_type_display",
-            "reason_display as encounter_reason",
-            "period_start",
-            "period_end",
-            "duration_hours",
-            "meta_last_updated",
-            "ingestion_date",
-        )
-    )
+    return _shown(current_rows(history).withColumns(derived), FACT_ENCOUNTER)
 
 
 def observations(history: DataFrame) -> DataFrame:
@@ -99,30 +141,7 @@ def observations(history: DataFrame) -> DataFrame:
         "encounter_id": reference_key("encounter_reference", "Encounter"),
         "display_value": display_value("value_quantity", "value_string", "value_codeable_text"),
     }
-    return (
-        current_rows(history)
-        .withColumns(derived)
-        .selectExpr(
-            "resource_id as observation_id",
-            "patient_id",
-            "encounter_id",
-            "status as observation_status",
-            "category_code",
-            "category_display",
-            "code_system",
-            "observation_code",
-            "observation_display",
-            "observation_text",
-            "effective_datetime",
-            "value_quantity",
-            "value_unit",
-            "value_string",
-            "value_codeable_text",
-            "display_value",
-            "meta_last_updated",
-            "ingestion_date",
-        )
-    )
+    return _shown(current_rows(history).withColumns(derived), FACT_OBSERVATION)
 
 
 def with_patient(facts: DataFrame, patients: DataFrame) -> DataFrame:
@@ -218,29 +237,8 @@ def patient_summary(
     diagnoses = condition_kpis(condition_history)
     measures = observation_kpis(observations(observation_history))
 
-    def or_zero(name):
-        return F.coalesce(name, F.lit(0)).alias(name)
-
     joined = patients
     for side in (visits, diagnoses, measures):
         joined = joined.join(side, "patient_id", "left")
-    return joined.select(
-        "patient_id",
-        "full_name",
-        "gender",
-        "age",
-        "birth_date",
-        "is_active",
-        "address_city",
-        "address_state",
-        "address_country",
-        or_zero("total_encounters"),
-        "first_encounter",
-        "last_encounter",
-        F.round("avg_duration_hours", 2).cast("double").alias("avg_duration_hours"),
-        or_zero("distinct_conditions"),
-        "condition_list",
-        or_zero("total_observations"),
-        or_zero("distinct_obs_types"),
-        "latest_observation",
-    )
+    mean = F.round("avg_duration_hours", 2).cast("double")
+    return joined.fillna(0, list(COUNTS)).withColumn("avg_duration_hours", mean).select(*PATIENT_SUMMARY)

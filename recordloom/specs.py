@@ -54,7 +54,6 @@ class ResourceSpec:
     name: str
     body: str
     columns: Mapping[str, str]
-    hash_columns: tuple[str, ...]
     types: Mapping[str, str] = field(default_factory=dict)
 
     @property
@@ -66,6 +65,11 @@ class ResourceSpec:
     def flat_columns(self) -> dict[str, str]:
         return {**IDENTITY, **self.columns}
 
+    @property
+    def hash_columns(self) -> tuple[str, ...]:
+        """Columns whose change makes a new version: all but the identity of the record, in order."""
+        return tuple(self.columns)
+
     @property
     def bronze_ddl(self) -> str:
         """Columns of the bronze table, for reading it without a look at its files."""
@@ -81,7 +85,8 @@ class ResourceSpec:
         return f"silver_{self.name.lower()}"
 
 
-# Field names, flat column names and hash columns of the four resource types.
+# Field names and flat columns of the four resource types. The order of the columns enters
+# record_hash.
 PATIENT = ResourceSpec(
     name="Patient",
     body=(
@@ -106,21 +111,6 @@ PATIENT = ResourceSpec(
         "address_postal_code": "get(r.address, 0).postalCode",
         "marital_status_code": "get(r.maritalStatus.coding, 0).code",
     },
-    hash_columns=(
-        "active",
-        "gender",
-        "birth_date",
-        "name_text",
-        "name_family",
-        "name_given",
-        "identifier_system",
-        "identifier_value",
-        "address_city",
-        "address_state",
-        "address_country",
-        "address_postal_code",
-        "marital_status_code",
-    ),
     types={"active": "boolean"},
 )
 
@@ -143,17 +133,6 @@ ENCOUNTER = ResourceSpec(
         "type_display": "get(get(r.type, 0).coding, 0).display",
         "reason_display": "get(get(r.reasonCode, 0).coding, 0).display",
     },
-    hash_columns=(
-        "status",
-        "class_code",
-        "class_display",
-        "patient_reference",
-        "period_start",
-        "period_end",
-        "type_code",
-        "type_display",
-        "reason_display",
-    ),
 )
 
 OBSERVATION = ResourceSpec(
@@ -180,22 +159,6 @@ OBSERVATION = ResourceSpec(
         "value_string": "r.valueString",
         "value_codeable_text": "r.valueCodeableConcept.text",
     },
-    hash_columns=(
-        "status",
-        "category_code",
-        "category_display",
-        "code_system",
-        "observation_code",
-        "observation_display",
-        "observation_text",
-        "patient_reference",
-        "encounter_reference",
-        "effective_datetime",
-        "value_quantity",
-        "value_unit",
-        "value_string",
-        "value_codeable_text",
-    ),
     types={"value_quantity": "double"},
 )
 
@@ -222,22 +185,6 @@ CONDITION = ResourceSpec(
         "abatement_datetime": "r.abatementDateTime",
         "recorded_date": "r.recordedDate",
     },
-    hash_columns=(
-        "clinical_status",
-        "verification_status",
-        "verification_display",
-        "category_code",
-        "category_display",
-        "code_system",
-        "condition_code",
-        "condition_display",
-        "condition_text",
-        "patient_reference",
-        "encounter_reference",
-        "onset_datetime",
-        "abatement_datetime",
-        "recorded_date",
-    ),
 )
 
 RESOURCES: dict[str, ResourceSpec] = {s.name: s for s in (PATIENT, ENCOUNTER, OBSERVATION, CONDITION)}

@@ -9,6 +9,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from recordloom.llm.jaccard_join import near_copies
+from recordloom.llm.language import identified
+from recordloom.llm.packing import packed_documents
 from recordloom.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +44,13 @@ def query(name: str):
 @query("op3_ngram_jaccard_join")
 def ngram_jaccard_join(spark, folder):
     return near_copies(table(spark, folder, "documents"))
+
+
+@query("op7_language_id")
+def language_id(spark, folder):
+    return identified(table(spark, folder, "documents"))
+
+
+@query("op10_best_fit_packing")
+def best_fit_packing(spark, folder):
+    return packed_documents(table(spark, folder, "documents"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from recordloom.llm.jaccard_join import near_copies
 from recordloom.llm.language import identified
 from recordloom.llm.packing import packed_documents
+from recordloom.llm.quality import quality
 from recordloom.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +55,8 @@ def language_id(spark, folder):
 @query("op10_best_fit_packing")
 def best_fit_packing(spark, folder):
     return packed_documents(table(spark, folder, "documents"))
+
+
+@query("op4_quality_rules")
+def quality_rules(spark, folder):
+    return quality(table(spark, folder, "documents"))

@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recordloom.llm.jaccard_join import near_copies
 from recordloom.llm.language import identified
+from recordloom.llm.licenses import scanned
 from recordloom.llm.packing import packed_documents
 from recordloom.llm.quality import quality
+from recordloom.llm.shards import SHARDS, placed
+from recordloom.llm.url_filter import judge_urls
 from recordloom.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +63,30 @@ def best_fit_packing(spark, folder):
 @query("op4_quality_rules")
 def quality_rules(spark, folder):
     return quality(table(spark, folder, "documents"))
+
+
+# The rules that op5 judges by.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query("op5_url_filters")
+def url_filters(spark, folder):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(table(spark, folder, "pages"), rules)
+
+
+@query("op8_license_scans")
+def license_scans(spark, folder):
+    return scanned(table(spark, folder, "documents"))
+
+
+@query("op9_sharding")
+def sharding(spark, folder):
+    names = [f"shard-{n:03d}" for n in range(SHARDS)]
+    return placed(table(spark, folder, "documents").select("doc_id", "source"), names)

@@ -8,12 +8,15 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recordloom.llm.ann import neighbours
 from recordloom.llm.jaccard_join import near_copies
 from recordloom.llm.language import identified
 from recordloom.llm.licenses import scanned
+from recordloom.llm.mixing import mixture
 from recordloom.llm.packing import packed_documents
 from recordloom.llm.quality import quality
 from recordloom.llm.shards import SHARDS, placed
+from recordloom.llm.token_files import counted_documents
 from recordloom.llm.url_filter import judge_urls
 from recordloom.session import pin
 
@@ -90,3 +93,18 @@ def license_scans(spark, folder):
 def sharding(spark, folder):
     names = [f"shard-{n:03d}" for n in range(SHARDS)]
     return placed(table(spark, folder, "documents").select("doc_id", "source"), names)
+
+
+@query("op1_nearest_neighbours")
+def nearest_neighbours(spark, folder):
+    return neighbours(table(spark, folder, "embeddings"))
+
+
+@query("op2_token_counts")
+def token_counts(spark, folder):
+    return counted_documents(table(spark, folder, "documents"))
+
+
+@query("op6_mixing_weights")
+def mixing_weights(spark, folder):
+    return mixture(table(spark, folder, "documents"))

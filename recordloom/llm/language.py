@@ -295,3 +295,13 @@ def identified(documents: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred and score per row; a null doc_id is not held out and not learned from."""
     judged = predicted(documents.select("doc_id", "text"), learn(documents, path))
     return judged.select("doc_id", is_held_out().alias("held_out"), "language.lang_pred", "language.score")
+
+
+def keep_identified(documents: DataFrame, least_score: float = 0.5, path: str | None = None) -> DataFrame:
+    """`documents` without those whose language cannot be told: `und`, or a score below `least_score`.
+
+    Texts are judged where they are read and never shuffled.
+    """
+    judged = predicted(documents, learn(documents, path))
+    kept = judged.filter((F.col("language.lang_pred") != "und") & (F.col("language.score") >= least_score))
+    return kept.select(documents.columns)

@@ -147,6 +147,16 @@ def _unpacked(table: pa.Table):
     }
 
 
+def _whole(function):
+    """Run `function` on all rows of a partition at once; their number follows from the number of partitions."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if held := list(batches):
+            yield from function(pa.Table.from_batches(held)).to_batches()
+
+    return run
+
+
 def _count(buckets: int):
     def run(table: pa.Table) -> pa.Table:
         flat = _unpacked(table)
@@ -212,10 +222,10 @@ def _prefixes(table: pa.Table) -> pa.Table:
 def candidate_classes(documents: DataFrame, text: str = "text", buckets: int | None = None) -> DataFrame:
     """Classes that may have a near copy, with the tokens they share with any other and their prefixes."""
     spark = documents.sparkSession
-    buckets = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = documents.select(F.col(text).cast("binary").alias("text")).mapInArrow(_token_rows(buckets), PACKED)
-    shared = packed.groupBy("bucket").applyInArrow(_count(buckets), SHARED)
-    return stored(shared.groupBy("bucket").applyInArrow(_prefixes, CANDIDATES))
+    shared = packed.repartitionById(buckets, F.col("bucket")).mapInArrow(_whole(_count(buckets)), SHARED)
+    return stored(shared.repartitionById(buckets, F.col("bucket")).mapInArrow(_whole(_prefixes), CANDIDATES))
 
 
 def need(n: Column | str, m: Column | str) -> Column:
@@ -313,10 +323,9 @@ def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """`documents` without those whose component has a smaller doc_id; rows that repeat a doc_id and text stay once.
+    """`documents` without those whose component has a smaller doc_id. Rows without a doc_id stay.
 
-    Rows without a doc_id stay.
+    Only ids are compared here: rows that repeat a doc_id are one document, and stay or go together.
     """
     gone = near_copies(documents).filter("component_id < doc_id").select("doc_id").distinct()
-    kept = documents.join(stored(gone), "doc_id", "left_anti")
-    return kept
+    return documents.join(stored(gone), "doc_id", "left_anti").select(documents.columns)

@@ -1,3 +1,52 @@
 """The results of the queries in DuckDB's SQL, where SQL can express them."""
 
-ORACLES: dict[str, str] = {}
+from recordloom.llm.licenses import RULES, SENTENCES
+
+_URLS = """
+with rules(h, p, v) as (values
+  ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+parsed as (
+  select page_id, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+split as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from parsed)
+select page_id, host, path,
+  (select h || p from rules where (host = h or ends_with(host, '.' || h)) and starts_with(path, p)
+   order by length(h || p) desc, length(h) desc limit 1) as rule,
+  coalesce((select v from rules where (host = h or ends_with(host, '.' || h)) and starts_with(path, p)
+   order by length(h || p) desc, length(h) desc limit 1), 'allow') as verdict
+from split
+"""
+
+
+def _licences() -> str:
+    names = ", ".join(f"('{s}', '{i}')" for s, i in SENTENCES.items())
+    steps, before = [], "ids"
+    for at, (sequence, licence) in enumerate(RULES):
+        pattern = " " + sequence.replace(" ", "  ") + " "
+        steps.append(
+            f"r{at} as (select doc_id, n, joined, replace(rest, '{pattern}', ' | ') as rest, "
+            f"case when contains(rest, '{pattern}') then list_append(hits, '{licence}') else hits end as hits from {before})"
+        )
+        before = f"r{at}"
+    return f"""
+with known(sentence, id) as (values {names}),
+parts as (
+  select doc_id, nth, trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')) as sentence
+  from (select doc_id, unnest(cut) as part, generate_subscripts(cut, 1) as nth
+        from (select doc_id, string_split_regex(regexp_replace(coalesce(text, ''), '[.]([0-9])', '\x01\\1', 'g'), '[\n\r;:!?.]') as cut
+              from documents))),
+found as (
+  select doc_id, count(id) as n, string_agg(id, ' ' order by nth) filter (id is not null) as joined
+  from parts left join known using (sentence) group by doc_id),
+ids as (
+  select doc_id, n, coalesce(joined, '') as joined, ' ' || replace(coalesce(joined, ''), ' ', '  ') || ' ' as rest, []::varchar[] as hits from found),
+{", ".join(steps)}
+select doc_id, n as n_known, joined as sentence_ids, array_to_string(list_sort(list_distinct(hits)), ',') as licences,
+  len(list_filter(string_split(rest, ' '), lambda x: x not in ('', '|'))) as unmatched
+from {before}
+"""
+
+
+ORACLES: dict[str, str] = {"op5_url_filters": _URLS, "op8_license_scans": _licences()}

@@ -4,7 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from recordloom.specs import CONDITION, ENCOUNTER, OBSERVATION, PATIENT
+# The columns of each type whose change makes a new version, in the order that enters the hash.
+PATIENT_HASHED = (
+    "active", "gender", "birth_date", "name_text", "name_family", "name_given", "identifier_system",
+    "identifier_value", "address_city", "address_state", "address_country", "address_postal_code", "marital_status_code",
+)
+OBSERVATION_HASHED = (
+    "status", "category_code", "category_display", "code_system", "observation_code", "observation_display",
+    "observation_text", "patient_reference", "encounter_reference", "effective_datetime", "value_quantity",
+    "value_unit", "value_string", "value_codeable_text",
+)
+CONDITION_HASHED = (
+    "clinical_status", "verification_status", "verification_display", "category_code", "category_display",
+    "code_system", "condition_code", "condition_display", "condition_text", "patient_reference",
+    "encounter_reference", "onset_datetime", "abatement_datetime", "recorded_date",
+)
+ENCOUNTER_HASHED = (
+    "status", "class_code", "class_display", "patient_reference", "period_start", "period_end", "type_code",
+    "type_display", "reason_display",
+)
 
 ISO = "'%Y-%m-%dT%H:%M:%S.%fZ'"
 FIRST_RUN, SECOND_RUN = "timestamp '2024-02-01'", "timestamp '2024-02-02'"
@@ -115,22 +133,22 @@ def history(name: str, rows: str, hashed: Sequence[str]) -> str:
 def newest(name: str, rows: str) -> str:
     """CTEs ending in <name>: the newest version per id."""
     return f"""
-{name} as (select *, {md5_of(ENCOUNTER.hash_columns)} as record_hash from ({rows}) qualify row_number() over (
+{name} as (select *, {md5_of(ENCOUNTER_HASHED)} as record_hash from ({rows}) qualify row_number() over (
     partition by resource_id order by moment desc nulls last, try_cast(meta_version_id as bigint) desc nulls last,
     meta_version_id desc nulls last) = 1)"""
 
 
 VERSION_COLUMNS = "resource_id, meta_version_id, record_hash, is_current, valid_from, valid_to"
-ORDERS = history("orders_h", ORDER_VERSIONS, ENCOUNTER.hash_columns)
+ORDERS = history("orders_h", ORDER_VERSIONS, ENCOUNTER_HASHED)
 EARLY = encounter_rows("o_custkey", "o_orderkey", False, False, f"(select * from orders where o_orderdate < {CUT})")
 LATE = encounter_rows("o_custkey", "o_orderkey", False, False, f"(select * from orders where o_orderdate >= {CUT})")
-EARLY_HISTORY = history("early_h", EARLY, ENCOUNTER.hash_columns)
+EARLY_HISTORY = history("early_h", EARLY, ENCOUNTER_HASHED)
 ORDER_HISTORY = f"with {ORDERS} select {VERSION_COLUMNS} from orders_h"
 
-P = history("patients", PATIENT_ROWS, PATIENT.hash_columns)
-E = history("visits_h", ENCOUNTER_ROWS, ENCOUNTER.hash_columns)
-O = history("measures_h", OBSERVATION_ROWS, OBSERVATION.hash_columns)
-C = history("diagnoses_h", CONDITION_ROWS, CONDITION.hash_columns)
+P = history("patients", PATIENT_ROWS, PATIENT_HASHED)
+E = history("visits_h", ENCOUNTER_ROWS, ENCOUNTER_HASHED)
+O = history("measures_h", OBSERVATION_ROWS, OBSERVATION_HASHED)
+C = history("diagnoses_h", CONDITION_ROWS, CONDITION_HASHED)
 
 AGE = "cast(floor(date_diff('day', cast(birth_date as date), date '2024-01-01') / 365.25) as int)"
 KEY = "nullif(regexp_extract(patient_reference, 'Patient/([^/]+)', 1), '')"
@@ -277,7 +295,7 @@ ORACLES: dict[str, str] = {
         from orders""",
     "string_trim_all": "select c_custkey, c_name, chr(9) || c_mktsegment as c_mktsegment from customer",
     "record_hash_orders": f"""
-        select resource_id, {md5_of(ENCOUNTER.hash_columns)} as record_hash
+        select resource_id, {md5_of(ENCOUNTER_HASHED)} as record_hash
         from ({encounter_rows('o_orderkey', '1', True, False)})""",
     "dedup_first_extraction": """
         select cast(o_orderkey as varchar) as resource_id, '1' as meta_version_id, o_orderstatus as status,
@@ -309,7 +327,7 @@ ORACLES: dict[str, str] = {
         where a.resource_id is null or a.record_hash <> b.record_hash""",
     "scd2_rebuild_orders": ORDER_HISTORY,
     "scd2_rebuild_events": f"""
-        with {history('events_h', EVENT_VERSIONS, ENCOUNTER.hash_columns)}
+        with {history('events_h', EVENT_VERSIONS, ENCOUNTER_HASHED)}
         select resource_id, meta_version_id, status, record_hash, is_current, valid_from, valid_to from events_h""",
     "scd2_rebuild_hot_ids": ORDER_HISTORY,
     "scd2_apply_two_batches": ORDER_HISTORY,
@@ -322,6 +340,21 @@ ORACLES: dict[str, str] = {
           on h.resource_id = e.resource_id and h.meta_version_id = e.meta_version_id""",
     "scd2_apply_late_versions": ORDER_HISTORY,
     "history_store_runs": ORDER_HISTORY,
+    "history_first_load_many_days": ORDER_HISTORY,
+    "history_rerun_day": ORDER_HISTORY,
+    "history_backfill_day": ORDER_HISTORY,
+    "history_store_compacted": ORDER_HISTORY,
+    "scd2_replay_then_late": f"""
+        select h.*, n.last_version from ({ORDER_HISTORY}) h join (
+          select cast(o_custkey as varchar) as resource_id,
+                 cast(arg_max(o_orderkey, row(o_orderdate, o_orderkey)) as varchar) as last_version
+          from orders group by o_custkey) n on n.resource_id = h.resource_id""",
+    "changes_replayed_versions": f"""
+        select distinct cast(o_custkey as varchar) as resource_id, false as changes from orders where o_orderdate < {CUT}""",
+    "pages_stream_new_checkpoint": """
+        select cast(c_custkey as varchar) as resource_id,
+               case when c_custkey % 2 = 0 then date '2024-01-02' else date '2024-01-03' end as ingestion_date
+        from customer""",
     "scd2_current_only": f"with {ORDERS} select resource_id, meta_version_id, valid_from from orders_h where is_current",
     "scd2_as_of": f"""
         with {ORDERS} select resource_id, meta_version_id, valid_from, valid_to from orders_h

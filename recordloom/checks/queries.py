@@ -54,7 +54,7 @@ def query(function: Query) -> Query:
 
 
 def _table(spark, folder, name) -> DataFrame:
-    return star.spread(star.table(spark, folder, name))
+    return star.table(spark, folder, name)
 
 
 def _order_versions(spark, folder, keep=None) -> DataFrame:
@@ -351,11 +351,90 @@ def history_store_runs(spark, folder):
     bronze = [star.bronze_rows(star.patients_by_order(p), ENCOUNTER) for p in parts]
     earlier = bronze[0].filter(F.lit(False))
     for run, (batch, at) in enumerate(zip(bronze, (FIRST_RUN, SECOND_RUN, THIRD_RUN))):
-        daily.advance_history(batch, earlier, root, ENCOUNTER, run, at)
+        daily.advance_history(batch, earlier, root, ENCOUNTER, {str(run): "once"}, at)
         earlier = earlier.unionByName(batch)
     return store.read_history(spark, root).select(*VERSION_COLUMNS)
 
 
+def _stored_by_days(spark, folder, writes) -> DataFrame:
+    """The stored history after each (day, condition on orders) is written to bronze; None brings the history up to date."""
+    bronze, root = new_folder(spark, "bronze"), new_folder(spark, "silver")
+    for day, keep in writes:
+        if day is None:
+            daily.update_history(spark, bronze, root, ENCOUNTER, FIRST_RUN)
+            continue
+        rows = star.bronze_rows(star.patients_by_order(_table(spark, folder, "orders").filter(keep)), ENCOUNTER)
+        rows = rows.withColumn("ingestion_date", F.lit(day).cast("date"))
+        store.write_bronze(rows, f"{bronze}/{ENCOUNTER.bronze_table}", day)
+    return store.read_history(spark, f"{root}/{ENCOUNTER.silver_table}")
+
+
+THIRDS = [F.expr(f"o_orderkey % 3 = {n}") for n in range(3)]
+
+
+@query
+def history_first_load_many_days(spark, folder):
+    """Three days are in bronze before the history is first asked for."""
+    days = [(f"2024-01-0{n + 2}", part) for n, part in enumerate(THIRDS)]
+    return _stored_by_days(spark, folder, [*days, (None, None)]).select(*VERSION_COLUMNS)
+
+
+@query
+def history_rerun_day(spark, folder):
+    """The second day is run again with the rest of the orders."""
+    writes = [("2024-01-02", THIRDS[0]), (None, None), ("2024-01-03", THIRDS[1]), (None, None), ("2024-01-03", ~THIRDS[0]), (None, None)]
+    return _stored_by_days(spark, folder, writes).select(*VERSION_COLUMNS)
+
+
+@query
+def history_backfill_day(spark, folder):
+    """The earlier days arrive last."""
+    writes = [("2024-01-04", THIRDS[2]), (None, None), ("2024-01-03", THIRDS[1]), (None, None), ("2024-01-02", THIRDS[0]), (None, None)]
+    return _stored_by_days(spark, folder, writes).select(*VERSION_COLUMNS)
+
+
+@query
+def history_store_compacted(spark, folder):
+    """Two stored runs, compacted, and the folders of the first ones removed."""
+    root = new_folder(spark, "history")
+    parts = [star.bronze_rows(star.patients_by_order(_table(spark, folder, "orders").filter(p)), ENCOUNTER) for p in (THIRDS[0], ~THIRDS[0])]
+    daily.advance_history(parts[0], parts[0].limit(0), root, ENCOUNTER, {"0": "once"}, FIRST_RUN)
+    daily.advance_history(parts[1], parts[0], root, ENCOUNTER, {"1": "once"}, SECOND_RUN)
+    store.compact_history(spark, root)
+    store.vacuum_history(spark, root)
+    return store.read_history(spark, root).select(*VERSION_COLUMNS)
+
+
+@query
+def scd2_replay_then_late(spark, folder):
+    """Odd orders, the same again, then the even ones: last_seen stays with the newest order."""
+    odd = F.col("o_orderkey") % 2 == 1
+    first, second = _order_versions(spark, folder, odd), _order_versions(spark, folder, ~odd)
+    history = stored(h.rebuild(first, FIRST_RUN))
+    history = stored(h.apply_in_order(history, first, first, SECOND_RUN))
+    history = h.apply_in_order(history, second, first, THIRD_RUN)
+    return history.select(*VERSION_COLUMNS, F.col("last_seen.version").alias("last_version"))
+
+
+@query
+def changes_replayed_versions(spark, folder):
+    """Orders before the cut, against a history that has seen all: nothing changes."""
+    before, _ = _before_and_after(spark, folder)
+    changes = detect_changes(h.current_rows(h.rebuild(_order_versions(spark, folder), FIRST_RUN)), before)
+    return changes.select("resource_id", F.col("change").isin("new", "changed").alias("changes"))
+
+
+@query
+def pages_stream_new_checkpoint(spark, folder):
+    """Two streams with checkpoints of their own write to one bronze table."""
+    bronze, even = new_folder(spark, "bronze"), F.col("c_custkey") % 2 == 0
+    for day, part in (("2024-01-02", even), ("2024-01-03", ~even)):
+        landing = new_folder(spark, "landing")
+        _land(spark, folder, landing, day=day, keep=part)
+        ingest_available(spark, landing, bronze, new_folder(spark, "progress"), PATIENT)
+    return store.read_bronze(spark, bronze).select("resource_id", "ingestion_date")
+
+
 @query
 def scd2_current_only(spark, folder):
     return h.current_rows(h.rebuild(_order_versions(spark, folder), FIRST_RUN)).select(

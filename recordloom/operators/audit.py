@@ -27,8 +27,8 @@ LOG_COLUMNS = (
 )
 
 
-def _page_number(text):
-    return F.try_to_number(F.nullif(F.regexp_extract(text, PAGE_NUMBER, 1), F.lit("")), F.lit("999999999")).cast("int")
+def _digits(text):
+    return F.nullif(F.regexp_extract(text, PAGE_NUMBER, 1), F.lit(""))
 
 
 def audit_pages(pages: DataFrame) -> DataFrame:
@@ -39,17 +39,22 @@ def audit_pages(pages: DataFrame) -> DataFrame:
     page whose next link leads to a page that did not land gives an ERROR row for that page, so a
     feed that stopped early shows. Row ids depend on the page only: a second audit gives the same.
     """
-    error = F.when(F.col(CORRUPT).isNotNull(), "malformed page").when(
-        ~F.col("resourceType").eqNullSafe("Bundle"), "not a bundle"
-    )
     file_name = F.substring_index("page_path", "/", -1)
     own_id = F.regexp_extract(CORRUPT, ID_IN_TEXT, 0)
+    digits = F.coalesce(_digits(file_name), _digits(F.col("id")), _digits(own_id))
+    number = digits.try_cast("int")
+    error = (
+        F.when(F.col(CORRUPT).isNotNull(), "malformed page")
+        .when(~F.col("resourceType").eqNullSafe("Bundle"), "not a bundle")
+        .when(digits.isNotNull() & number.isNull(), "page number does not fit")
+    )
     seen = pages.select(
         "resource_type",
         "ingestion_date",
         "page_path",
         "landed_at",
-        F.coalesce(_page_number(file_name), _page_number("id"), _page_number(own_id)).alias("page_number"),
+        number.alias("page_number"),
+        F.md5(F.col(CORRUPT).cast("binary")).alias("broken_text"),
         F.when(F.col("entry").isNull(), 0).otherwise(F.size("entry")).alias("records_fetched"),
         error.alias("error_message"),
         link_url("self").alias("own_url"),
@@ -74,7 +79,7 @@ def audit_pages(pages: DataFrame) -> DataFrame:
     rows = landed.unionByName(missing, allowMissingColumns=True)
     return rows.withColumns(
         {
-            "log_id": F.md5(F.concat_ws("|", "resource_type", "page_path", F.col("page_number").cast("string"), "error_message")),
+            "log_id": F.md5(F.concat_ws("|", "resource_type", "page_path", F.col("page_number").cast("string"), "error_message", "broken_text")),
             "extraction_timestamp": F.col("landed_at"),
             "status": F.when(F.col("error_message").isNull(), SUCCESS).otherwise(ERROR),
         }

@@ -46,7 +46,8 @@ def rejected_pages(pages: DataFrame) -> DataFrame:
         .when(~F.col("resourceType").eqNullSafe("Bundle"), "not a bundle")
         .when(F.size(without_resource) > 0, "entry without resource")
     )
-    lost = F.when(F.size(without_resource) > 0, F.size(without_resource)).otherwise(0)
+    # Of a page that cannot be read nobody knows how many entries it had.
+    lost = F.when(F.col(CORRUPT).isNull(), F.when(F.size(without_resource) > 0, F.size(without_resource)).otherwise(0))
     return pages.select(
         "resource_type", "ingestion_date", "page_path", reason.alias("reason"), lost.alias("entries_lost"), CORRUPT
     ).filter("reason is not null")

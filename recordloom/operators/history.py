@@ -20,10 +20,14 @@ from pyspark.sql import functions as F
 from recordloom.operators.cleaning import ORDER, first_deliveries, newest_versions, with_order
 from recordloom.operators.skew import HOT_ROWS, split_hot
 from recordloom.session import settled_keys, stored
-from recordloom.specs import ID, VERSION
+from recordloom.operators.bundles import LINEAGE
+from recordloom.specs import ID, UPDATED, VERSION
 
 HISTORY_COLUMNS = ("is_current", "valid_from", "valid_to", "scd_updated_at", "last_seen")
 
+# Columns that say nothing about the record: all others decide whether a version is a change.
+ABOUT = {ID, VERSION, UPDATED, "meta_source", "full_url", *LINEAGE, *HISTORY_COLUMNS, *ORDER, "_seen", "_written"}
+
 
 def position() -> Column:
     """Place of a version among those of its id; compares like the ORDER columns sort."""
@@ -32,6 +36,11 @@ def position() -> Column:
     )
 
 
+def content(columns: list[str], prefix: str = "") -> Column:
+    """What makes a version differ: the hash, and the hashed values themselves, as hashes can collide."""
+    return F.struct(*[F.col(f"{prefix}{c}") for c in columns if c not in ABOUT])
+
+
 def _moment(at: datetime | Column) -> Column:
     return at if isinstance(at, Column) else F.lit(at).cast("timestamp")
 
@@ -74,8 +83,8 @@ def _neighbour(rows: DataFrame, name: str, value: Column, ahead: bool, sliced: b
 
 def _link(rows: DataFrame, run_at: Column, sliced: bool) -> DataFrame:
     """Unique versions with last_seen to history rows: drop unchanged ones, set validity."""
-    changed = ~F.col("_before").eqNullSafe(F.col("record_hash"))
-    kept = _neighbour(rows, "_before", F.col("record_hash"), False, sliced).filter(changed)
+    value = content([c for c in rows.columns if c != "_slice"])
+    kept = _neighbour(rows, "_before", value, False, sliced).filter(~F.col("_before").eqNullSafe(value))
     linked = _neighbour(kept, "_after", F.struct("_at"), True, sliced)
     is_open = F.col("_after").isNull()
     return linked.withColumns(
@@ -85,11 +94,11 @@ def _link(rows: DataFrame, run_at: Column, sliced: bool) -> DataFrame:
             "valid_to": F.col("_after._at"),
             "scd_updated_at": F.coalesce(F.when(is_open, F.col("_written")), run_at),
         }
-    ).drop("_before", "_after", "_slice", "_written", *ORDER)
+    ).drop("_before", "_after", "_slice", "_written", "_seen", *ORDER)
 
 
 def _history_of(rows: DataFrame, run_at: Column, hot_rows: int) -> DataFrame:
-    """History rows of deliveries; `_written` is the time an already stored row was last written.
+    """History rows of deliveries; `_written` is the time an already stored row was last written, `_seen` its last_seen.
 
     Ordinary ids need one shuffle: de-duplication and all neighbour windows share it. Ids with
     `hot_rows` rows or more are cut into time slices instead.
@@ -97,21 +106,24 @@ def _history_of(rows: DataFrame, run_at: Column, hot_rows: int) -> DataFrame:
     ordinary, hot = split_hot(rows, ID, hot_rows)
     once = first_deliveries(ordinary.repartition(ID))
     whole = _by_id().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    result = _link(once.withColumn("last_seen", F.last(position()).over(whole)), run_at, False)
+    result = _link(once.withColumn("last_seen", F.max(F.greatest(position(), "_seen")).over(whole)), run_at, False)
     if hot is not None:
-        spread = first_deliveries(hot)
-        # One row per hot id, and hot ids are bounded, so the broadcast side stays small.
-        seen = spread.groupBy(ID).agg(F.max(position()).alias("last_seen"))
-        result = result.unionByName(_link(_sliced(spread).join(F.broadcast(seen), ID), run_at, True))
+        spread = stored(first_deliveries(hot))  # read by the totals, the range bounds and the slices
+        seen = stored(spread.groupBy(ID).agg(F.max(F.greatest(position(), "_seen")).alias("last_seen")))
+        result = result.unionByName(_link(_sliced(spread).join(seen, ID), run_at, True))
     return result
 
 
+def _never() -> Column:
+    return F.when(F.lit(False), position())
+
+
 # --- whole histories --------------------------------------------------------------------------
 
 
 def rebuild(deliveries: DataFrame, run_at: datetime | Column, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The history of everything delivered, in source time."""
-    rows = deliveries.withColumn("_written", F.lit(None).cast("timestamp"))
+    rows = deliveries.withColumns({"_written": F.lit(None).cast("timestamp"), "_seen": _never()})
     return _history_of(rows, _moment(run_at), hot_rows)
 
 
@@ -164,9 +176,13 @@ def _continue(starts: DataFrame, batch: DataFrame, run_at: Column, hot_rows: int
     seen = starts.select(ID, "last_seen")
     is_newer = F.col("last_seen").isNull() | (position() > F.col("last_seen"))
     newer = batch.join(seen, ID, "left").filter(is_newer).drop("last_seen")
-    open_rows = with_order(starts).withColumn("_written", F.col("scd_updated_at")).drop(*HISTORY_COLUMNS)
+    # A replayed version may have been seen without being kept, so what was seen is carried along.
+    open_rows = with_order(starts).withColumns({"_written": F.col("scd_updated_at"), "_seen": F.col("last_seen")})
+    open_rows = open_rows.drop(*HISTORY_COLUMNS)
     # Read three times below, and small next to the history: the batch and the rows it continues.
-    chains = stored(open_rows.unionByName(newer.withColumn("_written", F.lit(None).cast("timestamp"))))
+    chains = stored(
+        open_rows.unionByName(newer.withColumns({"_written": F.lit(None).cast("timestamp"), "_seen": _never()}))
+    )
     return _history_of(chains, run_at, hot_rows)
 
 
@@ -199,29 +215,41 @@ def late_ids(current: DataFrame, batch: DataFrame, earlier: DataFrame) -> DataFr
     return late if count else None
 
 
-def step(
+def delta(
     current: DataFrame,
     batch: DataFrame,
     earlier: DataFrame,
     run_at: datetime | Column,
     hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Rows a run writes for `batch`, and the late ids (None if there are none).
+    """Rows of the ids in `batch` only, and the late ids (None if there are none).
 
-    The rows are those of extend() for ids in order, and the whole rebuilt history of the late ids,
-    which replaces all that was stored for them.
+    For an id in order: the versions the batch closes and the new current one. For a late id: its whole
+    rebuilt history, which replaces all that was stored for it.
     """
     run_at = _moment(run_at)
-    untouched, starts = _split_current(current, batch)
+    _, starts = _split_current(current, batch)
     late = late_ids(starts, batch, earlier)
     if late is None:
-        return untouched.unionByName(_continue(starts, batch, run_at, hot_rows)), None
+        return _continue(starts, batch, run_at, hot_rows), None
     on_time = _continue(
         starts.join(late, ID, "left_anti"), batch.join(late, ID, "left_anti"), run_at, hot_rows
     )
     everything = earlier.unionByName(batch).join(late, ID, "left_semi")
-    rows = untouched.unionByName(on_time).unionByName(rebuild(everything, run_at, hot_rows))
-    return rows, late
+    return on_time.unionByName(rebuild(everything, run_at, hot_rows)), late
+
+
+def step(
+    current: DataFrame,
+    batch: DataFrame,
+    earlier: DataFrame,
+    run_at: datetime | Column,
+    hot_rows: int = HOT_ROWS,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Like delta(), with the current rows of all other ids added."""
+    untouched, _ = _split_current(current, batch)
+    rows, late = delta(current, batch, earlier, run_at, hot_rows)
+    return untouched.unionByName(rows), late
 
 
 def apply_in_order(
@@ -273,7 +301,7 @@ def merge(current: DataFrame, batch: DataFrame, run_at: datetime | Column) -> Da
     both = current.select(ID, F.struct(*columns).alias("_old")).join(incoming, ID, "left")
 
     newer = F.coalesce(F.col("_new.last_seen") > F.col("_old.last_seen"), F.lit(False))
-    changed = newer & (F.col("_new.record_hash") != F.col("_old.record_hash"))
+    changed = newer & ~content(columns, "_new.").eqNullSafe(content(columns, "_old."))
     seen = F.col("_old").withField("last_seen", F.when(newer, F.col("_new.last_seen")).otherwise(F.col("_old.last_seen")))
     ended = (
         F.col("_old")

@@ -10,13 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordloom.session import stored
+
 HOT_ROWS = 1_000_000
-MOST_KEYS = 1_000  # bound of the broadcast side; the next largest key has below 1/1000 of all rows
 HITS = 1_000  # rows of a key with HOT_ROWS rows that the look-up is expected to meet
 
 
 def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with about `rows` rows or more, the largest MOST_KEYS of them.
+    """Keys with about `rows` rows or more; there are at most as many as `rows` goes into the number of rows.
 
     Reads the key column only and counts a sample sized by `rows`: a key with `rows` rows is met about
     HITS times, half of that makes it hot. Counts are added up before they are shuffled.
@@ -25,13 +26,12 @@ def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> DataFrame:
     found = df.select(key) if fraction == 1.0 else df.select(key).sample(fraction, seed=1)
     least = rows if fraction == 1.0 else HITS / 2
     counts = found.groupBy(key).agg(F.count(F.lit(1)).alias("met")).filter(F.col("met") >= least)
-    return counts.orderBy(F.col("met").desc()).limit(MOST_KEYS).select(key)
+    return counts.select(key)
 
 
 def split_hot(df: DataFrame, key: str, rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
     """`df` as (rows of ordinary keys, rows of hot keys or None where no key is hot)."""
-    found = hot_keys(df, key, rows).collect()  # at most MOST_KEYS values
-    if not found:
+    hot = stored(hot_keys(df, key, rows))
+    if hot.isEmpty():
         return df, None
-    hot = F.broadcast(df.sparkSession.createDataFrame(found, df.select(key).schema))
     return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")

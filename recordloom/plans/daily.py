@@ -8,71 +8,136 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.operators.audit import audit_pages
-from recordloom.operators.bundles import flatten_bundles
+from recordloom.operators.bundles import flatten_bundles, rejected_pages
 from recordloom.operators.cleaning import deliveries
-from recordloom.operators.history import rebuild, step
+from recordloom.operators.history import delta, first_load, merge, rebuild
 from recordloom.operators.metrics import observed
 from recordloom.plans import marts
+from recordloom.session import settled_keys
 from recordloom.sources.pages import read_pages
 from recordloom.sources.tables import (
-    finished_runs,
+    bronze_states,
+    compact_history,
+    history_runs,
     read_bronze,
     read_current,
     read_history,
+    taken_states,
     write_bronze,
     write_history_run,
     write_ingestion_log,
 )
-from recordloom.specs import ResourceSpec
+from recordloom.specs import ID, ResourceSpec
+
+
+COMPACT_AFTER = 32  # runs; a longer list would make reading slower
 
 
 def ingest_day(
-    spark: SparkSession, landing: str, bronze: str, log: str, spec: ResourceSpec, day: str, one_per_line: bool = True
+    spark: SparkSession,
+    landing: str,
+    bronze: str,
+    log: str,
+    spec: ResourceSpec,
+    day: str,
+    one_per_line: bool = True,
+    rejects: str | None = None,
 ) -> int:
     """Pages of one day to bronze rows and log rows; returns the number of bronze rows.
 
-    Running a day again replaces it.
+    Running a day again replaces it. A day for which nothing landed writes nothing and gives 0. With `rejects`, pages
+    that lose something are kept there, by resource type and day.
     """
-    pages = read_pages(spark, landing, spec, [day], one_per_line)
+    try:
+        pages = read_pages(spark, landing, spec, [day], one_per_line)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
     rows, counted = observed(flatten_bundles(pages, spec), f"{spec.bronze_table} {day}")
-    write_bronze(rows, f"{bronze}/{spec.bronze_table}")
+    write_bronze(rows, f"{bronze}/{spec.bronze_table}", day)
     headers = read_pages(spark, landing, spec, [day], one_per_line, headers_only=True)
     write_ingestion_log(audit_pages(headers), log)
+    if rejects is not None:
+        lost = rejected_pages(pages).drop("resource_type", "ingestion_date")
+        lost.write.mode("overwrite").parquet(f"{rejects}/resource_type={spec.name}/ingestion_date={day}")
     return counted.get["total_rows"]
 
 
 def advance_history(
-    batch: DataFrame, earlier: DataFrame, root: str, spec: ResourceSpec, run: int, run_at: datetime
+    batch: DataFrame,
+    earlier: DataFrame,
+    root: str,
+    spec: ResourceSpec,
+    taken: Mapping[str, str],
+    run_at: datetime,
+    replaced: bool = False,
 ) -> None:
-    """Add a batch of bronze rows to the stored history as run `run`; a finished run is not repeated.
+    """Add a batch of bronze rows to the stored history, unless it holds what `taken` names already.
 
-    `earlier` are the bronze rows before the batch. They are read only for ids whose batch rows are
-    older than what the history has seen.
+    `earlier` are all other bronze rows. They are read when there is no history yet, for ids whose batch rows are older
+    than what the history has seen, and when the batch has `replaced` rows that the history took before: what is gone
+    from bronze can only be taken back by building the history anew.
     """
     spark = batch.sparkSession
-    if run in finished_runs(spark, root):
+    known = taken_states(spark, root)
+    if taken and all(known.get(source) == state for source, state in taken.items()):
         return
-    current = read_current(spark, root)
-    arriving = deliveries(batch, spec)
-    if current is None:
-        write_history_run(rebuild(arriving, run_at), root, run, whole=True)
+    runs = history_runs(spark, root)
+    run = runs[-1]["run"] + 1 if runs else 1
+    arriving, before = deliveries(batch, spec), deliveries(earlier, spec)
+    if not runs or replaced:
+        write_history_run(rebuild(before.unionByName(arriving), run_at), root, run, taken=dict(taken))
         return
-    rows, late = step(current, arriving, deliveries(earlier, spec), run_at)
-    write_history_run(rows, root, run, late)
+    if run - runs[-1]["base"] >= COMPACT_AFTER:
+        compact_history(spark, root)
+        run += 1
+    touched, count = settled_keys(arriving.select(ID))
+    if count:
+        rows, late = delta(read_current(spark, root), arriving, before, run_at)
+    else:
+        rows, late = read_current(spark, root).limit(0), None
+    write_history_run(rows, root, run, touched, late, dict(taken))
 
 
-def update_history(
-    spark: SparkSession, bronze: str, root: str, spec: ResourceSpec, day: str, run_at: datetime
-) -> None:
-    """Add one ingested day to the history of its resource type; the run number is the day."""
-    rows = read_bronze(spark, f"{bronze}/{spec.bronze_table}", spec)
-    on_day = rows.filter(F.col("ingestion_date") == F.lit(day).cast("date"))
-    before = rows.filter(F.col("ingestion_date") < F.lit(day).cast("date"))
-    advance_history(on_day, before, f"{root}/{spec.silver_table}", spec, int(day.replace("-", "")), run_at)
+def update_history(spark: SparkSession, bronze: str, root: str, spec: ResourceSpec, run_at: datetime) -> None:
+    """Bring the history of a resource type up to its bronze table, whatever days were added, backfilled or run again.
+
+    Each day has a state; days whose state the history has not taken are the batch.
+    """
+    table, target = f"{bronze}/{spec.bronze_table}", f"{root}/{spec.silver_table}"
+    states, known = bronze_states(spark, table), taken_states(spark, target)
+    pending = {day: state for day, state in states.items() if known.get(day) != state}
+    if not pending:
+        return
+    rows = read_bronze(spark, table, spec)
+    is_pending = F.col("ingestion_date").isin([date.fromisoformat(day) for day in pending])
+    advance_history(
+        rows.filter(is_pending), rows.filter(~is_pending), target, spec, pending, run_at, any(d in known for d in pending)
+    )
+
+
+def update_history_in_run_time(spark: SparkSession, bronze: str, root: str, spec: ResourceSpec, run_at: datetime) -> None:
+    """Like update_history, for a history in run time: it starts and ends versions at `run_at`."""
+    table, target = f"{bronze}/{spec.bronze_table}", f"{root}/{spec.silver_table}_by_run"
+    states, known = bronze_states(spark, table), taken_states(spark, target)
+    pending = {day: state for day, state in states.items() if known.get(day) != state}
+    if not pending:
+        return
+    days = F.col("ingestion_date").isin([date.fromisoformat(day) for day in pending])
+    arriving = deliveries(read_bronze(spark, table, spec).filter(days), spec)
+    runs = history_runs(spark, target)
+    if not runs:
+        write_history_run(first_load(arriving, run_at), target, 1, taken=pending)
+        return
+    touched, _ = settled_keys(arriving.select(ID))
+    mine = read_current(spark, target).join(touched, ID, "left_semi")
+    write_history_run(merge(mine, arriving, run_at), target, runs[-1]["run"] + 1, touched, taken=pending)
 
 
 def read_histories(spark: SparkSession, root: str, specs: Iterable[ResourceSpec]) -> dict[str, DataFrame]:

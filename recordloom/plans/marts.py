@@ -201,7 +201,7 @@ def condition_kpis(history: DataFrame) -> DataFrame:
     Repeats are dropped before the rows of a patient meet, so a patient's task sees each wording once.
     """
     key = reference_key("patient_reference", "Patient").alias("patient_id")
-    worded = current_rows(history).select(key, "condition_code", "condition_display").distinct()
+    worded = current_rows(history).select(key, "condition_code", "condition_display").filter("patient_id is not null").distinct()
     return worded.groupBy("patient_id").agg(
         F.count_distinct("condition_code").alias("distinct_conditions"),
         F.array_sort(F.collect_set("condition_display")).alias("condition_list"),

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Results depend on the first setting: timestamps without an offset are read as UTC.
 SETTINGS = {
@@ -47,13 +47,13 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20, leas
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it in spark.checkpoint.dir.
 
-    Only a local master may fall back to a temporary folder.
+    Only a master without executors of its own may fall back to a temporary folder.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="recordloom-"))
     return context.getCheckpointDir()
@@ -75,11 +75,10 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def settled_keys(keys: DataFrame, most: int = 1_000_000) -> tuple[DataFrame, int]:
-    """Distinct `keys` computed once, and their number; marked for broadcast only up to `most` rows.
+def settled_keys(keys: DataFrame) -> tuple[DataFrame, int]:
+    """Distinct `keys` computed once, and their number.
 
-    Beyond `most` the joins that use them shuffle.
+    Spark knows the bytes of the stored table, so a join broadcasts it below its own limit and shuffles beyond.
     """
     keys = stored(keys.distinct())
-    count = keys.count()
-    return (F.broadcast(keys) if count <= most else keys), count
+    return keys, keys.count()

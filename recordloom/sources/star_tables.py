@@ -30,16 +30,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, per_split: int = 8) -> DataFrame:
-    """`df` over more tasks where it has fewer splits than there are cores.
-
-    The rows are small and the records made of them are not. Large tables have splits enough and stay
-    as they are. Rows do not keep their order.
-    """
-    splits, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(min(cores, per_split * splits)) if splits < cores else df
-
-
 def iso(timestamp: Column | str) -> Column:
     """ISO text of a timestamp taken as UTC."""
     return F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")

@@ -1,14 +1,17 @@
 """Parquet tables: bronze by day, the ingestion log, and version histories written run by run.
 
-History layout: <root>/rows/is_current=<bool>/run=<n>, <root>/late/run=<n>, <root>/runs. A run writes
-the versions it closed and the whole current set; versions closed earlier are never rewritten. Ids
-whose past a run had to correct are listed under late, and what earlier runs closed for them is
-skipped on reading. A run counts once <root>/runs holds its row: a crash before that leaves the
-previous run in force, and a retry overwrites only the partitions of its own run number.
+History layout: <root>/rows/is_current=<bool>/write=<id>, <root>/touched/write=<id>, <root>/runs. A run writes only
+rows of the ids it touched, and lists them: on reading, the current row of an id is that of the newest run that touched
+it, and for ids whose past a run had to correct, what earlier runs stored is skipped. A run counts once <root>/runs
+holds its row. Every attempt writes under an id of its own, so a crash before that leaves nothing that could count.
+Compaction writes the whole history as a new base; vacuum removes the folders that no longer count.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,9 +31,28 @@ def write_partitions(df: DataFrame, path: str, *by: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def write_bronze(bronze: DataFrame, root: str) -> None:
-    """Add the days in `bronze` to the table of its resource type; a repeated day replaces itself instead of doubling."""
-    write_partitions(bronze, root, "ingestion_date")
+def write_bronze(bronze: DataFrame, root: str, day: str | None = None) -> None:
+    """Add days to the table of its resource type; a repeated day replaces itself instead of doubling.
+
+    With `day` all rows are of that day, and it is replaced also when there are none any more. Without, the days are
+    those that `bronze` has rows for. Each day written gets a new state, which histories compare with what they took.
+    """
+    if day is None:
+        days = [str(r[0]) for r in bronze.select("ingestion_date").distinct().collect()]  # one value per day
+        write_partitions(bronze, root, "ingestion_date")
+    else:
+        days = [day]
+        bronze.drop("ingestion_date").write.mode("overwrite").parquet(f"{root}/ingestion_date={day}")
+    if days:
+        states = [(d, uuid.uuid4().hex, time.time_ns()) for d in days]
+        mark = bronze.sparkSession.createDataFrame(states, "source string, state string, at long")
+        mark.coalesce(1).write.mode("append").parquet(f"{root}-states")
+
+
+def bronze_states(spark: SparkSession, root: str) -> dict[str, str]:
+    """Newest state of each day; one small row per day and write."""
+    marks = _marks(spark, f"{root}-states")
+    return {m["source"]: m["state"] for m in sorted(marks, key=lambda m: m["at"])}
 
 
 def read_bronze(spark: SparkSession, root: str, spec: ResourceSpec | None = None) -> DataFrame:
@@ -57,69 +79,114 @@ def read_ingestion_log(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_history_run(
-    rows: DataFrame, root: str, run: int, late: DataFrame | None = None, whole: bool = False
+    rows: DataFrame,
+    root: str,
+    run: int,
+    touched: DataFrame | None = None,
+    late: DataFrame | None = None,
+    taken: dict[str, str] | None = None,
 ) -> None:
-    """Store what a run made: the versions it closed and the current set.
+    """Store what a run made.
 
-    `late` are ids for which `rows` holds the complete history. With `whole`, `rows` is the complete
-    history of all ids, and nothing written by earlier runs counts any more.
+    `touched` are the ids in `rows`; `late` are those of them for which `rows` holds the complete history. Without
+    `touched`, `rows` is the complete history of all ids, and nothing written by earlier runs counts any more. `taken`
+    maps sources to the states of theirs that the history now holds.
     """
     spark = rows.sparkSession
-    earlier = finished_runs(spark, root)
-    if late is not None:
-        write_partitions(late.select(ID).withColumn("run", F.lit(run)), f"{root}/late", "run")
-    write_partitions(rows.withColumn("run", F.lit(run)), f"{root}/rows", "is_current", "run")
-    base = run if whole or not earlier else earlier[max(earlier)]
-    mark = spark.createDataFrame([(run, base, late is not None)], "run long, base long, corrects boolean")
+    write, marks = uuid.uuid4().hex, history_runs(spark, root)
+    if touched is not None:
+        listed = touched.select(ID).withColumns({"run": F.lit(run).cast("long"), "corrected": F.lit(False)})
+        if late is not None:
+            listed = listed.join(late.select(ID, F.lit(True).alias("_late")), ID, "left")
+            listed = listed.withColumn("corrected", F.coalesce("_late", F.lit(False))).drop("_late")
+        listed.write.parquet(f"{root}/touched/write={write}")
+    write_partitions(
+        rows.withColumns({"run": F.lit(run).cast("long"), "write": F.lit(write)}), f"{root}/rows", "is_current", "write"
+    )
+    base = run if touched is None or not marks else marks[-1]["base"]
+    row = (run, write, base, taken or {})
+    mark = spark.createDataFrame([row], "run long, write string, base long, taken map<string,string>")
     mark.coalesce(1).write.mode("append").parquet(f"{root}/runs")
 
 
-def _run_marks(spark: SparkSession, root: str) -> list:
+def _marks(spark: SparkSession, path: str) -> list:
     try:
-        return spark.read.parquet(f"{root}/runs").collect()
+        return spark.read.parquet(path).collect()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return []
 
 
-def finished_runs(spark: SparkSession, root: str) -> dict[int, int]:
-    """Run number to the base it builds on, for every finished run; one small row per run."""
-    return {mark["run"]: mark["base"] for mark in _run_marks(spark, root)}
+def history_runs(spark: SparkSession, root: str) -> list:
+    """Finished runs in order: run, write, base and what it took; one small row per run."""
+    return sorted(_marks(spark, f"{root}/runs"), key=lambda m: m["run"])
+
 
+def taken_states(spark: SparkSession, root: str) -> dict[str, str]:
+    """Sources and the states of theirs that the history holds."""
+    states: dict[str, str] = {}
+    for mark in history_runs(spark, root):
+        states.update(mark["taken"])
+    return states
 
-def _history_rows(spark: SparkSession, root: str, wanted: Column) -> DataFrame:
-    """Rows of the wanted partitions; is_current is text in folder names."""
-    rows = spark.read.parquet(f"{root}/rows").filter(wanted)
-    return rows.withColumn("is_current", F.col("is_current").cast("boolean"))
+
+def _counting(marks: list) -> list:
+    return [m for m in marks if m["run"] >= marks[-1]["base"]]
+
+
+def _history_rows(spark: SparkSession, root: str, marks: list, wanted: Column | None = None) -> DataFrame:
+    """Rows that count, of the wanted partitions; is_current is text in folder names."""
+    writes = [m["write"] for m in marks]
+    rows = spark.read.parquet(f"{root}/rows").filter(F.col("write").isin(writes))
+    if wanted is not None:
+        rows = rows.filter(wanted)
+    rows = rows.withColumn("is_current", F.col("is_current").cast("boolean")).drop("write")
+    later = [m["write"] for m in marks if m["run"] > m["base"]]
+    if later:
+        touched = spark.read.parquet(f"{root}/touched").filter(F.col("write").isin(later))
+        newest = touched.groupBy(ID).agg(
+            F.max("run").alias("_current_from"), F.max(F.when(F.col("corrected"), F.col("run"))).alias("_closed_from")
+        )
+        since = F.when(F.col("is_current"), F.col("_current_from")).otherwise(F.col("_closed_from"))
+        rows = rows.join(newest, ID, "left").filter(F.col("run") >= F.coalesce(since, F.col("run")))
+        rows = rows.drop("_current_from", "_closed_from")
+    return rows.drop("run")
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame | None:
     """The history as of the newest finished run, None before the first one.
 
-    The filter names partition columns only, so no superseded or unfinished file is opened.
+    The filter names partition columns only, so no superseded or unfinished file is opened. Right after a compaction
+    nothing is joined.
     """
-    marks = _run_marks(spark, root)
-    if not marks:
-        return None
-    newest = max(marks, key=lambda m: m["run"])
-    counted = [m for m in marks if newest["base"] <= m["run"]]
-    runs = sorted({m["run"] for m in counted})
-    current = (F.col("is_current") == "true") & (F.col("run") == newest["run"])
-    closed = (F.col("is_current") == "false") & F.col("run").isin(runs)
-    rows = _history_rows(spark, root, current | closed)
-    corrections = sorted({m["run"] for m in counted if m["corrects"]})
-    if corrections:
-        late = spark.read.parquet(f"{root}/late").filter(F.col("run").isin(corrections))
-        corrected = late.groupBy(ID).agg(F.max("run").alias("_since"))
-        rows = rows.join(corrected, ID, "left").filter("_since is null or run >= _since").drop("_since")
-    return rows.drop("run")
+    marks = history_runs(spark, root)
+    return _history_rows(spark, root, _counting(marks)) if marks else None
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    """The current rows as of the newest finished run; reads that run's current partition only."""
-    runs = finished_runs(spark, root)
-    if not runs:
-        return None
-    newest = (F.col("is_current") == "true") & (F.col("run") == max(runs))
-    return _history_rows(spark, root, newest).drop("run")
+    """The current rows as of the newest finished run; reads current partitions only."""
+    marks = history_runs(spark, root)
+    return _history_rows(spark, root, _counting(marks), F.col("is_current") == "true") if marks else None
+
+
+def compact_history(spark: SparkSession, root: str) -> None:
+    """Write the whole history as a new base, so that reading joins nothing."""
+    marks = history_runs(spark, root)
+    if len(_counting(marks)) > 1:
+        write_history_run(read_history(spark, root), root, marks[-1]["run"] + 1)
+
+
+def vacuum_history(spark: SparkSession, root: str) -> int:
+    """Remove folders of writes that do not count any more; returns how many. Nobody may be reading or writing."""
+    kept = {m["write"] for m in _counting(history_runs(spark, root))}
+    removed = 0
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for folder in ("rows/is_current=true", "rows/is_current=false", "touched"):
+        top = hadoop(f"{root}/{folder}")
+        system = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in system.listStatus(top) if system.exists(top) else []:
+            name = status.getPath().getName()
+            if name.startswith("write=") and name.removeprefix("write=") not in kept:
+                removed += system.delete(status.getPath(), True)
+    return removed

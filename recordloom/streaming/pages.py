@@ -7,10 +7,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.operators.bundles import flatten_bundles
+from recordloom.operators.audit import audit_pages
+from recordloom.operators.bundles import flatten_bundles, rejected_pages
 from recordloom.plans.daily import advance_history
 from recordloom.sources.pages import stream_pages
-from recordloom.sources.tables import read_bronze, write_partitions
+from recordloom.sources.tables import read_bronze
 from recordloom.specs import ResourceSpec
 
 
@@ -24,27 +25,38 @@ def ingest_available(
     run_at: datetime | None = None,
     one_per_line: bool = True,
     files_per_batch: int | None = None,
+    log: str | None = None,
+    rejects: str | None = None,
 ) -> None:
     """Take all pages that landed since the last call, then stop.
 
-    `bronze`, `history` and `checkpoint` are folders of this resource type.
+    `bronze`, `history`, `checkpoint`, `log` and `rejects` are folders of this resource type. The last two get the
+    ingestion log and the pages that lose something, if they are named.
 
-    A micro-batch may run twice after a failure. Its bronze rows go to a partition of their own, which
-    the second try replaces, and its history run is skipped if it had finished.
+    A micro-batch may run twice after a failure. What it writes goes to a partition of its own, named by the stream (an
+    id that Spark keeps at the checkpoint) and the batch, which the second try replaces; its history run is skipped if
+    it had finished. A new checkpoint is a new stream, whose batches stand beside those of earlier ones.
     """
 
-    def store(rows: DataFrame, batch: int) -> None:
-        write_partitions(rows.withColumn("batch", F.lit(batch)), bronze, "batch")
+    def store(pages: DataFrame, batch: int) -> None:
+        session = pages.sparkSession
+        kept = session.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+        place = f"stream={kept}/batch={batch}"
+        flatten_bundles(pages, spec).write.mode("overwrite").parquet(f"{bronze}/{place}")
+        if log is not None:
+            audit_pages(pages).write.mode("overwrite").parquet(f"{log}/{place}")
+        if rejects is not None:
+            rejected_pages(pages).write.mode("overwrite").parquet(f"{rejects}/{place}")
         if history is None:
             return
-        stored = read_bronze(rows.sparkSession, bronze, spec)
-        arrived, before = stored.filter(F.col("batch") == batch), stored.filter(F.col("batch") < batch)
-        advance_history(arrived.drop("batch"), before.drop("batch"), history, spec, batch, run_at)
+        rows = read_bronze(session, bronze, spec)
+        mine = (F.col("stream") == kept) & (F.col("batch") == batch)
+        arrived, before = (rows.filter(c).drop("stream", "batch") for c in (mine, ~mine))
+        advance_history(arrived, before, history, spec, {f"{kept}/{batch}": "done"}, run_at)
 
     pages = stream_pages(spark, landing, spec, one_per_line, files_per_batch)
     query = (
-        flatten_bundles(pages, spec)
-        .writeStream.foreachBatch(store)
+        pages.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

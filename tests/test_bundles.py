@@ -92,7 +92,7 @@ def test_rejects_name_the_reason(spark, tmp_path):
     }
     lost = rejected_pages(read_pages(spark, land(tmp_path, pages), PATIENT, [DAY])).collect()
     found = {r["page_path"][-9:-5]: (r["reason"], r["entries_lost"]) for r in lost}
-    assert found == {"0002": ("malformed page", 0), "0003": ("not a bundle", 0), "0004": ("entry without resource", 1)}
+    assert found == {"0002": ("malformed page", None), "0003": ("not a bundle", 0), "0004": ("entry without resource", 1)}
 
 
 def test_audit_reports_errors_and_missing_pages(spark, tmp_path):

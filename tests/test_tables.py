@@ -26,7 +26,13 @@ DAYS = [
 def run_days(spark, root, count):
     for run in range(count):
         earlier = bronze(spark, [r for d in DAYS[:run] for r in d])
-        daily.advance_history(bronze(spark, DAYS[run]), earlier, root, ENCOUNTER, run, RUN[run])
+        daily.advance_history(bronze(spark, DAYS[run]), earlier, root, ENCOUNTER, {str(run): "once"}, RUN[run])
+
+
+def abandon(rows, root, run):
+    """What a crashed attempt leaves: rows that no finished run names."""
+    rows = rows.withColumns({"run": F.lit(run).cast("long"), "write": F.lit("crashed")})
+    store.write_partitions(rows, f"{root}/rows", "is_current", "write")
 
 
 def all_rows(count):
@@ -44,7 +50,7 @@ def test_stored_runs_equal_one_rebuild(spark, count):
 def test_finished_run_is_not_repeated(spark):
     root = new_folder(spark, "history")
     run_days(spark, root, 2)
-    daily.advance_history(bronze(spark, DAYS[2]), bronze(spark, all_rows(2)), root, ENCOUNTER, 1, RUN[5])
+    daily.advance_history(bronze(spark, DAYS[2]), bronze(spark, all_rows(2)), root, ENCOUNTER, {"1": "once"}, RUN[5])
     assert view(store.read_history(spark, root)) == brute_force(all_rows(2))
 
 
@@ -52,7 +58,7 @@ def test_unfinished_run_does_not_count_and_can_be_repeated(spark):
     root = new_folder(spark, "history")
     run_days(spark, root, 1)
     wrong = store.read_current(spark, root).withColumns({"status": F.lit("half"), "is_current": F.lit(False)})
-    store.write_partitions(wrong.withColumn("run", F.lit(1)), f"{root}/rows", "is_current", "run")
+    abandon(wrong, root, 2)
     assert view(store.read_history(spark, root)) == brute_force(all_rows(1))
     run_days(spark, root, 2)
     assert view(store.read_history(spark, root)) == brute_force(all_rows(2))
@@ -62,8 +68,8 @@ def test_rows_of_an_abandoned_run_stay_out(spark):
     root = new_folder(spark, "history")
     run_days(spark, root, 2)
     wrong = store.read_current(spark, root).withColumn("is_current", F.lit(False))
-    store.write_partitions(wrong.withColumn("run", F.lit(2)), f"{root}/rows", "is_current", "run")
-    daily.advance_history(bronze(spark, DAYS[2]), bronze(spark, all_rows(2)), root, ENCOUNTER, 3, RUN[3])
+    abandon(wrong, root, 3)
+    daily.advance_history(bronze(spark, DAYS[2]), bronze(spark, all_rows(2)), root, ENCOUNTER, {"2": "once"}, RUN[3])
     assert view(store.read_history(spark, root)) == brute_force(all_rows(3))
 
 
@@ -71,8 +77,8 @@ def test_whole_history_starts_a_new_base(spark):
     root = new_folder(spark, "history")
     run_days(spark, root, 2)
     again = store.read_history(spark, root)
-    store.write_history_run(again, root, 7, whole=True)
-    assert store.finished_runs(spark, root)[7] == 7
+    store.write_history_run(again, root, 7)
+    assert store.history_runs(spark, root)[-1]["base"] == 7
     assert view(store.read_history(spark, root)) == brute_force(all_rows(2))
 
 
@@ -80,7 +86,7 @@ def test_reading_current_rows_prunes_partitions(spark):
     root = new_folder(spark, "history")
     run_days(spark, root, 2)
     plan = store.read_current(spark, root)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "run" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "PartitionFilters: [" in plan and "write" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_no_history_yet(spark):
@@ -103,7 +109,7 @@ def test_daily_steps(spark, folder):
         land_pages(rows, landing, spec, "2024-01-02")
         for _ in range(2):  # a repeated day replaces itself
             counts[name] = daily.ingest_day(spark, landing, bronze_root, log, spec, "2024-01-02")
-        daily.update_history(spark, bronze_root, histories, spec, "2024-01-02", RUN[0])
+        daily.update_history(spark, bronze_root, histories, spec, RUN[0])
     assert counts == {"Patient": 150, "Encounter": 1500, "Observation": 6000, "Condition": 6000}
     logged = store.read_ingestion_log(spark, log).groupBy("resource_type").agg(F.sum("records_fetched").alias("n"))
     assert {r["resource_type"]: r["n"] for r in logged.collect()} == counts
@@ -133,3 +139,77 @@ def test_stream_takes_each_file_once_and_keeps_the_history(spark, folder):
     assert (rows.count(), rows.filter("is_current").count()) == (300, 150)
     assert rows.filter("is_current and marital_status_code = 'RENAMED'").count() == 150
     assert landing_path(landing, "Patient", "2024-01-02").endswith("/Patient/2024-01-02")
+
+
+def versions_of(spark, rows, day):
+    return bronze(spark, rows).withColumn("ingestion_date", F.lit(day).cast("date"))
+
+
+def test_history_follows_bronze_over_first_load_rerun_and_backfill(spark):
+    bronze_root, root = new_folder(spark, "bronze"), new_folder(spark, "silver")
+    days = {"2024-01-02": DAYS[0], "2024-01-03": DAYS[1]}
+
+    def ingest(day, rows):
+        days[day] = rows
+        store.write_bronze(versions_of(spark, rows, day), f"{bronze_root}/bronze_encounter", day)
+
+    def check(at):
+        daily.update_history(spark, bronze_root, root, ENCOUNTER, RUN[at])
+        everything = [r for rows in days.values() for r in rows]
+        assert view(store.read_history(spark, f"{root}/silver_encounter")) == brute_force(everything)
+
+    for day, rows in list(days.items()):
+        ingest(day, rows)
+    check(0)  # several days before the first call
+    ingest("2024-01-03", DAYS[1] + [("9", "1", "2020-01-09", "z")])
+    check(1)  # a day again, with more
+    ingest("2024-01-01", DAYS[2])
+    check(2)  # an earlier day afterwards
+    ingest("2024-01-03", [])
+    check(3)  # a day that lost all its rows
+    ingest("2024-01-05", DAYS[3])
+    check(4)
+    check(5)  # nothing new
+
+
+def test_run_writes_touched_ids_only_and_compaction_keeps_the_history(spark):
+    root = new_folder(spark, "history")
+    run_days(spark, root, 1)
+    batch = bronze(spark, [("1", "2", "2020-01-02", "b")])
+    daily.advance_history(batch, bronze(spark, DAYS[0]), root, ENCOUNTER, {"b": "once"}, RUN[1])
+    newest = store.history_runs(spark, root)[-1]["write"]
+    written = spark.read.parquet(f"{root}/rows").filter(F.col("write") == newest)
+    assert {r["resource_id"] for r in written.collect()} == {"1"}
+    before = view(store.read_history(spark, root))
+    assert store.vacuum_history(spark, root) == 0
+    store.compact_history(spark, root)
+    assert view(store.read_history(spark, root)) == before
+    assert store.vacuum_history(spark, root) > 0
+    assert view(store.read_history(spark, root)) == before
+    daily.advance_history(bronze(spark, DAYS[1]), batch.unionByName(bronze(spark, DAYS[0])), root, ENCOUNTER, {"c": "once"}, RUN[2])
+    assert view(store.read_history(spark, root)) == brute_force(DAYS[0] + [("1", "2", "2020-01-02", "b")] + DAYS[1])
+
+
+def test_day_without_pages_ends_quietly(spark):
+    roots = [new_folder(spark, n) for n in ("landing", "bronze", "log")]
+    assert daily.ingest_day(spark, *roots, PATIENT, "2024-01-02") == 0
+
+
+def test_second_stream_adds_to_bronze(spark, folder):
+    landing, bronze_root, log = (new_folder(spark, n) for n in ("landing", "bronze", "log"))
+    customers = star.table(spark, folder, "customer")
+    for day, part in (("2024-01-02", "c_custkey % 2 = 0"), ("2024-01-03", "c_custkey % 2 = 1")):
+        one = new_folder(spark, "landing")
+        land_pages(star.patients(customers.filter(part)), one, PATIENT, day)
+        ingest_available(spark, one, bronze_root, new_folder(spark, "progress"), PATIENT, log=log)
+    assert store.read_bronze(spark, bronze_root).count() == 150
+    assert spark.read.parquet(log).agg(F.sum("records_fetched")).first()[0] == 150
+
+
+def test_history_in_run_time_is_stored(spark):
+    bronze_root, root = new_folder(spark, "bronze"), new_folder(spark, "silver")
+    for at, (day, rows) in enumerate((("2024-01-02", DAYS[0]), ("2024-01-03", DAYS[1]))):
+        store.write_bronze(versions_of(spark, rows, day), f"{bronze_root}/bronze_encounter", day)
+        daily.update_history_in_run_time(spark, bronze_root, root, ENCOUNTER, RUN[at])
+    rows = store.read_history(spark, f"{root}/silver_encounter_by_run")
+    assert (rows.count(), rows.filter("is_current").count()) == (4, 3)

@@ -345,7 +345,7 @@ ORACLES: dict[str, str] = {
     "history_backfill_day": ORDER_HISTORY,
     "history_store_compacted": ORDER_HISTORY,
     "scd2_replay_then_late": f"""
-        select h.*, n.last_version from ({ORDER_HISTORY}) h join (
+        select h.*, case when h.is_current then n.last_version end as last_version from ({ORDER_HISTORY}) h join (
           select cast(o_custkey as varchar) as resource_id,
                  cast(arg_max(o_orderkey, row(o_orderdate, o_orderkey)) as varchar) as last_version
           from orders group by o_custkey) n on n.resource_id = h.resource_id""",

@@ -31,6 +31,7 @@ WORDS = 5
 FACTORS = np.array([3, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 ORDERS = 3
 FLUSH_TOKENS = 2 << 20  # packed per task before rows are written
+BROADCAST_IDS = 1_000_000
 KNOWN_SETS = 1 << 20  # sets a task remembers, so that it sends copies once
 
 SETS = "doc_id long, n_shingles long, set_id long"
@@ -301,8 +302,17 @@ def class_components(classes: DataFrame) -> DataFrame:
         marked.filter("label <> main").alias("x").join(marked.alias("y"), "token")
         .filter("x.label <> y.label").filter(_early("x", "y")).select(*_pair("x.set_id", "y.set_id")).distinct()
     )
-    more = _verified(stored(rest), classes)
-    return smallest_reachable(links.unionByName(more))
+    more = stored(_verified(stored(rest), classes))
+    if more.isEmpty():
+        return labels.withColumnsRenamed({"set_id": "id"})
+    # Only the components themselves are joined now.
+    for side in "ab":
+        named = labels.select(F.col("set_id").alias(side), F.col("label").alias(f"{side}_label"))
+        more = more.join(named, side, "left").withColumn(side, F.coalesce(f"{side}_label", side)).drop(f"{side}_label")
+    merged = stored(smallest_reachable(more))
+    known = labels.join(merged.select(F.col("id").alias("label"), F.col("label").alias("to")), "label", "left")
+    known = known.select(F.col("set_id").alias("id"), F.coalesce("to", "label").alias("label"))
+    return known.unionByName(merged.join(known.select("id"), "id", "left_anti"))
 
 
 def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
@@ -327,5 +337,7 @@ def keep_one(documents: DataFrame) -> DataFrame:
 
     Only ids are compared here: rows that repeat a doc_id are one document, and stay or go together.
     """
-    gone = near_copies(documents).filter("component_id < doc_id").select("doc_id").distinct()
-    return documents.join(stored(gone), "doc_id", "left_anti").select(documents.columns)
+    gone = stored(near_copies(documents).filter("component_id < doc_id").select("doc_id").distinct())
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)  # at most 8 MB of ids; more are joined by a shuffle
+    return documents.join(gone, "doc_id", "left_anti").select(documents.columns)

@@ -30,7 +30,7 @@ from recordloom.session import stored
 WORDS = 5
 FACTORS = np.array([3, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 ORDERS = 3
-FLUSH_TOKENS = 2 << 20  # packed per task before rows are written
+FLUSH_TOKENS = 1 << 20  # packed per task before rows are written
 BROADCAST_IDS = 1_000_000
 KNOWN_SETS = 1 << 20  # sets a task remembers, so that it sends copies once
 

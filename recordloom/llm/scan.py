@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-SEGMENT = 1 << 20  # bytes hashed at once; bounds the memory, not the text
+SEGMENT = 1 << 19  # bytes hashed at once; bounds the memory, not the text
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -72,7 +72,7 @@ def word_spans(buffer: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, np.flatnonzero(finishes) + 1, np.searchsorted(starts, bounds)
 
 
-def blocks(column: pa.Array, size: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def blocks(column: pa.Array, size: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of whole texts of about `size` bytes: first and last row, bytes, and bounds of the texts in them.
 
     A null counts as an empty text.

@@ -160,6 +160,8 @@ def expected_counts(segmenter: Segmenter, probabilities: np.ndarray, words: list
 def units(text: str) -> list[str]:
     """Lower-case runs of letters; very long ones in several parts."""
     found = LETTERS.findall(text.lower())
+    if not "".join(found).isalpha():  # numerals such as ½ pass for letters in the pattern
+        found = [w for w in ("".join(filter(str.isalpha, w)) for w in found) if w]
     if any(len(w) > UNIT for w in found):
         found = [w[at : at + UNIT] for w in found for at in range(0, len(w), UNIT)]
     return found

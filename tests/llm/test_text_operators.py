@@ -279,6 +279,11 @@ def test_language_of_odd_texts(documents, empty):
     assert {r["lang_pred"] for r in language.identified(documents.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_units_are_letters_only():
+    assert language.units("½ ² 12 _") == [] and language.units("Ab x² é½a\n") == ["ab", "x", "éa"]
+    assert "".join(language.units("y" * 100)) == "y" * 100 and max(map(len, language.units("y" * 100))) == language.UNIT
+
+
 def test_forward_pass_sums_all_segmentations():
     pieces = ["▁", "▁a", "a", "b", "ab", "▁ab", "bab"]
     rng = np.random.default_rng(0)

@@ -1,7 +1,7 @@
 """Licence scan by sentence rules. Built-in functions only, and no shuffle.
 
-A text is cut into sentences; each is normalised and looked up among known licence sentences, which gives a sequence of
-identifiers. Ordered rules are matched against the sequence: where a rule matches, its identifiers are used up, so a
+A text is normalised, with its sentence ends marked, and known licence sentences are found between the marks, which gives a
+sequence of identifiers. A sentence may run over line ends, and over ; and :, so wrapped notices are found as well. Ordered rules are matched against the sequence: where a rule matches, its identifiers are used up, so a
 later rule cannot claim them again.
 """
 
@@ -61,20 +61,64 @@ RULES = [
     ("AllRights", "proprietary"),
 ]
 
-# A sentence ends at a line's end, at ; : ! ?, or at a stop that no digit follows ("Version 2.0" stays whole).
-BREAK = r"[\n\r;:!?]|[.](?![0-9])"
-NOT_WORD = "[^a-z0-9]+"
-LEAST, MOST = min(map(len, SENTENCES)), max(map(len, SENTENCES))
+# Whole sentences of the public licence texts, normalised alike, and their identifiers.
+FULL = {
+    "this project is licensed under the mit license": "MITref",
+    "this project is licensed under the mit license see the license": "MITref",  # LICENSE.md: the stop ends it
+    "this project is licensed under the mit license see the license file for details": "MITref",
+    "this software is released under the mit license": "MITref",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "MITgrant",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "AsIs",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and non infringement": "AsIs",
+    "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "BSDsource",
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "BSDbinary",
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "BSDendorse",
+}
+for _named in ("this program is free software", "this library is free software", "this file is free software"):
+    _free = _named + " you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"
+    FULL[_free] = "GPLfree"
+    for _version in "23":
+        FULL[f"{_free} either version {_version} of the license or at your option any later version"] = f"GPLfree GPL{_version}later"
+KNOWN = SENTENCES | FULL
+
+# A sentence ends at ! or ?, or at a stop that no digit follows ("Version 2.0" stays whole). It may end at a line's end, ; or :.
+STOP = "[!?]|[.](?![0-9])"
+# Who may not be named differs from text to text.
+HOLDER = ("neither the name of ", "[a-z0-9 |.]{1,200}?", " nor the names of (?:its|any|their|the) contributors")
+ANY_HOLDER = "neither the name of the copyright holder nor the names of its contributors"
+# The mark of a list's entry before a sentence.
+ENTRY = "[0-9]{1,2} |[a-z] |i{2,3} |iv "
+
+
+def _pattern() -> str:
+    """A known sentence between two marks; the longest of those that begin at a place."""
+    def gaps(words: str) -> str:
+        return words.replace(" ", "[ |]")
+
+    holder = gaps(HOLDER[0]) + HOLDER[1] + gaps(HOLDER[2]).replace("[ |]", "[ |.]", 1)  # after "Inc." or the like
+    every = [gaps(s).replace(gaps(ANY_HOLDER), holder) for s in sorted(KNOWN, key=len, reverse=True)]
+    return f"(?<=[|.])(?:{ENTRY})?(?:{'|'.join(every)})(?=[|.])"
+
+
+def marked(text: str = "text") -> Column:
+    """Words of a-z and 0-9 between single blanks; | where a sentence may end, and a stop where it must; a stop at both ends."""
+    out = F.concat(F.lit("\n"), F.lower(F.coalesce(text, F.lit(""))), F.lit("\n"))
+    out = F.regexp_replace(out, "[^a-z0-9.;:!?\\n\\r]+", " ")
+    out = F.translate(F.regexp_replace(out, STOP, "\x01"), ".\n\r;:\x01", " ||||.")
+    # Runs are shortened step by step, so that none is read again and again.
+    out = F.regexp_replace(out, " {2,}", " ")
+    out = F.regexp_replace(out, " ?[|][ |]*", "|")
+    out = F.regexp_replace(out, "[ |]?[.][ |.]*", ".")
+    return out
 
 
 def sentence_ids(text: str = "text") -> Column:
     """Identifiers of the known sentences of a text, in order; empty for null."""
-    # Punctuation only makes a sentence longer than its normalised form; shorter parts cannot match.
-    parts = F.filter(F.split(F.coalesce(text, F.lit("")), BREAK), lambda s: F.length(s) >= LEAST)
-    plain = F.transform(parts, lambda s: F.trim(F.regexp_replace(F.lower(s), NOT_WORD, " ")))
-    known = F.filter(plain, lambda s: F.length(s).between(LEAST, MOST) & s.isin(list(SENTENCES)))
-    names = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    return F.transform(known, lambda s: F.element_at(names, s))
+    found = F.regexp_extract_all(marked(text), F.lit(_pattern()), F.lit(0))
+    plain = F.transform(found, lambda s: F.regexp_replace(F.translate(s, "|.", "  "), f"^(?:{ENTRY})", ""))
+    plain = F.transform(plain, lambda s: F.regexp_replace(s, "".join(HOLDER), ANY_HOLDER))
+    names = F.create_map(*[F.lit(x) for pair in KNOWN.items() for x in pair])
+    return F.flatten(F.transform(plain, lambda s: F.split(F.element_at(names, s), " ")))
 
 
 def scanned(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -329,6 +329,68 @@ def test_ordered_licence_rules_use_up_sentences(spark):
     assert r["licences"] == "BSD-2-Clause,CC-BY-4.0" and r["unmatched"] == 1
 
 
+MIT_NOTICE = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+"""
+BSD_NOTICE = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+ENDORSE = """
+3) Neither the name of Some Company Inc. nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL3_NOTICE = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+"""
+GPL2_NOTICE = """ * This program is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU General Public License
+ * as published by the Free Software Foundation; either version 2
+ * of the License, or (at your option) any later version.
+"""
+APACHE_NOTICE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with
+# the License. You may obtain a copy of the
+# License at
+#     http://www.apache.org/licenses/LICENSE-2.0
+"""
+
+
+@pytest.mark.parametrize("text, licences", [
+    (MIT_NOTICE, "MIT"), (MIT_NOTICE.replace("\n", "\r\n"), "MIT"), (BSD_NOTICE, "BSD-2-Clause"), (BSD_NOTICE + ENDORSE, "BSD-3-Clause"),
+    (GPL3_NOTICE, "GPL-3.0-or-later"), (GPL2_NOTICE, "GPL-2.0-or-later"), (APACHE_NOTICE, "Apache-2.0"),
+    ("This project is licensed under the MIT License - see the\n[LICENSE](LICENSE) file for details", ""),
+    ("This project is licensed under the MIT License - see the LICENSE file\nfor details.", "MIT"), ("This project is licensed\nunder the MIT License.", "MIT"),
+    ("not licensed under the MIT License", ""), ("licensed. Under the MIT License", ""),
+])
+def test_licences_of_wrapped_notices(spark, text, licences):
+    r = licenses.scanned(ready(spark).createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert r["licences"] == licences and r["unmatched"] == 0
+
+
 def test_mixing_meets_limit_and_budget(spark):
     rng = np.random.default_rng(5)
     rows = [(i, "s%d" % min(int(rng.exponential(1.2)), 4), int(rng.integers(5, 90))) for i in range(4000)]

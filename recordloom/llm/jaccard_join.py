@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from recordloom.llm.components import smallest_reachable
 from recordloom.llm.scan import LOWER, blocks, mixed, span_hashes, word_spans
@@ -323,21 +324,49 @@ def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     null doc_id is never a component's name unless the component has no other. Other columns play no part.
     """
     known = stored(summaries(documents, doc_id, text))
-    joined = class_components(candidate_classes(documents, text, buckets))
-    names = known.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-    names = stored(names.join(joined.withColumnsRenamed({"id": "set_id"}), "set_id", "left").filter("copies > 1 or label is not null"))
-    names = names.withColumn("label", F.coalesce("label", "set_id"))
-    least = names.groupBy("label").agg(F.min("least").alias("component_id"))
+    names = _components(known, documents, text, buckets)
+    least = names.groupBy("label").agg(F.min("least.doc_id").alias("component_id"))
     named = stored(names.join(least, "label").select("set_id", "component_id"))
     return known.join(named, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _components(known: DataFrame, documents: DataFrame, text: str, buckets: int | None) -> DataFrame:
+    """set_id, label and the least row (no_id, doc_id, set_id) per class of a component of two rows or more."""
+    joined = class_components(candidate_classes(documents, text, buckets))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "set_id")
+    names = known.filter("set_id is not null").groupBy("set_id").agg(F.min(row).alias("least"), F.count("*").alias("copies"))
+    names = stored(names.join(joined.withColumnsRenamed({"id": "set_id"}), "set_id", "left").filter("copies > 1 or label is not null"))
+    return names.withColumn("label", F.coalesce("label", "set_id"))
+
+
+def _set_names(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for column in batches:
+        yield pa.array([set_name(s) if len(s) else None for _, s in shingle_sets(column)], pa.int64())
+
+
 def keep_one(documents: DataFrame) -> DataFrame:
-    """`documents` without those whose component has a smaller doc_id. Rows without a doc_id stay.
+    """One row of `documents` per component, and all rows without shingles.
 
-    Only ids are compared here: rows that repeat a doc_id are one document, and stay or go together.
+    The row with the least doc_id stays; one without a doc_id only where none has any. A row is told by its doc_id and its
+    set of shingles, so another text under a removed doc_id is not touched. Of rows equal in both, one stays.
     """
-    gone = stored(near_copies(documents).filter("component_id < doc_id").select("doc_id").distinct())
+    known = stored(summaries(documents))
+    names = _components(known, documents, "text", None)
+    best = names.groupBy("label").agg(F.min("least").alias("best"))
+    named = stored(names.join(best, "label").select("set_id", "best"))
+    rows = known.filter("set_id is not null").groupBy("doc_id", "set_id").agg(F.count("*").alias("copies")).join(named, "set_id")
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("set_id") == F.col("best.set_id"))
+    rows = stored(rows.select(F.col("doc_id").alias("_id"), F.col("set_id").alias("_name"), "copies", stays.alias("stays")).filter("not stays or copies > 1"))
+
+    out = documents.withColumn("_set", arrow_udf(_set_names, "long")(F.col("text").cast("binary")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_set") == F.col("_name"))
+    gone, repeated = rows.select("_id", "_name"), rows.filter("stays").select("_id", "_name")
     if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)  # at most 8 MB of ids; more are joined by a shuffle
-    return documents.join(gone, "doc_id", "left_anti").select(documents.columns)
+        gone = F.broadcast(gone)  # at most 16 MB of ids and names; more are joined by a shuffle
+    kept = out.join(gone, same, "left_anti").select(documents.columns)
+    if repeated.isEmpty():
+        return kept
+    # Tasks reduce equal rows before the shuffle.
+    one = out.join(repeated, same, "left_semi").groupBy(F.col("doc_id").cast("long"), "_set")
+    one = one.agg(F.first(F.struct(*documents.columns)).alias("row"))
+    return kept.unionByName(one.select("row.*"))

@@ -122,6 +122,18 @@ def test_near_copies_of_edited_groups(spark, seed):
     assert kept == {c for _, c in wanted.values()}
 
 
+def test_keep_one_keeps_one_row_of_repeated_and_missing_ids(spark):
+    other, third = prose(8), prose(9)
+    rows = [(5, BASE, 1), (5, BASE, 2), (7, edited(BASE, 50, "x"), 3), (7, other, 4), (None, BASE, 5)]
+    rows += [(None, third, n) for n in range(6, 12)] + [(9, prose(10), 12), (None, "", 13), (None, "", 14), (9, prose(11), 15)]
+    df = ready(spark).createDataFrame(rows, "doc_id long, text string, n int").repartition(4)
+    kept = jaccard_join.keep_one(df)
+    assert kept.columns == df.columns
+    kept = sorted(r["n"] for r in kept.collect())
+    assert [n for n in kept if n > 11] == [12, 13, 14, 15]
+    assert [(rows[n - 1][0], rows[n - 1][1]) for n in kept if n < 12] == [(5, BASE), (7, other), (None, third)]
+
+
 def test_near_copies_over_whole_table(spark, folder):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     got = QUERIES["op3_ngram_jaccard_join"](spark, folder).collect()

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.session import stored
@@ -25,6 +25,8 @@ ROUNDS = 2
 UNIT = 31  # letters; longer words are scored in runs of this many, none is left out
 SMOOTH = 0.05  # added to each piece's expected count
 UNKNOWN = 1e-7  # probability of a letter that is no piece
+FAR = 6.0  # spreads below the median of a language's texts at which a text is not of that language
+LEAST_SPREAD = 0.05  # of logarithms per letter
 CACHED_WORDS = 400_000
 COUNTED_WORDS = 500_000
 
@@ -200,6 +202,17 @@ class Model:
         self.languages, self.pieces, self.table = languages, pieces, table
 
 
+def _learned_rows(documents: DataFrame, sample_rows: int) -> tuple[list[str], DataFrame]:
+    """The languages in alphabetical order, and the rows that are learned from."""
+    usable = documents.filter("lang is not null and text is not null and doc_id is not null").filter(~is_held_out())
+    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    languages = sorted(sizes)
+    if not languages:
+        return [], usable
+    share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, sample_rows / sizes[lang]))])
+    return languages, usable.filter(F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
+
+
 def learn(documents: DataFrame, path: str | None = None, sample_rows: int = SAMPLE_ROWS, rounds: int = ROUNDS) -> Model:
     """A model from `text` and the non-null `lang` of rows that are not held out.
 
@@ -207,13 +220,9 @@ def learn(documents: DataFrame, path: str | None = None, sample_rows: int = SAMP
     one number per piece and language: the vocabulary is fixed, the languages are few.
     """
     pieces = read_vocabulary(path or vocabulary_path())
-    usable = documents.filter("lang is not null and text is not null and doc_id is not null").filter(~is_held_out())
-    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
-    languages = sorted(sizes)
+    languages, chosen = _learned_rows(documents, sample_rows)
     if not languages:
         return Model([], pieces, np.zeros((len(pieces), 0)))
-    share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, sample_rows / sizes[lang]))])
-    chosen = usable.filter(F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
     counted = chosen.select("lang", "text").mapInArrow(_count_words, "lang string, word string, n long")
     counted = stored(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
 
@@ -247,7 +256,7 @@ def _predict(model: Model):
         known: dict[str, int] = {}
         scores = np.zeros((CACHED_WORDS, len(model.languages)))
         for column in batches:
-            names, values = [], []
+            names, values, per_letter, letters = [], [], [], []
             texts = [units(t.as_py()) if t.is_valid else [] for t in column]
             for low in range(0, len(texts), 100):
                 part = texts[low : low + 100]
@@ -263,25 +272,32 @@ def _predict(model: Model):
                     if not words or not model.languages:
                         names.append("und")
                         values.append(0.0)
+                        per_letter.append(None)
+                        letters.append(0)
                         continue
                     total = scores[[known[w] for w in words]].sum(axis=0)
                     odds = np.exp(total - total.max())
                     names.append(model.languages[int(total.argmax())])
                     values.append(float(odds.max() / odds.sum()))
-            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(values, pa.float64())], ["lang_pred", "score"])
+                    letters.append(sum(map(len, words)))
+                    per_letter.append(float(total.max()) / letters[-1])
+            columns = [pa.array(names, pa.string()), pa.array(values, pa.float64()), pa.array(per_letter, pa.float64()), pa.array(letters, pa.int64())]
+            yield pa.StructArray.from_arrays(columns, ["lang_pred", "score", "per_letter", "letters"])
 
     return run
 
 
 def predicted(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`documents` with a struct `language` (lang_pred, score), from the whole text alone.
+    """`documents` with a struct `language` (lang_pred, score, per_letter, letters), from the whole text alone.
+
+    per_letter is the logarithm of the text's probability in lang_pred, divided by its letters.
 
     A null text, or one without a letter, is `und` with score 0; so is every text when nothing could be learned. Equal
     scores go to the first language in the alphabet.
     """
     from pyspark.sql.functions import arrow_udf
 
-    judge = arrow_udf(_typed(_predict(model)), "lang_pred string, score double")
+    judge = arrow_udf(_typed(_predict(model)), "lang_pred string, score double, per_letter double, letters long")
     return documents.withColumn("language", judge(F.col(text)))
 
 
@@ -299,11 +315,34 @@ def identified(documents: DataFrame, path: str | None = None) -> DataFrame:
     return judged.select("doc_id", is_held_out().alias("held_out"), "language.lang_pred", "language.score")
 
 
+def usual(documents: DataFrame, model: Model, sample_rows: int = SAMPLE_ROWS) -> dict[str, tuple[float, float, float]]:
+    """Per language the median and the spread of per_letter, and the median of letters, of the rows that were learned from."""
+    _, chosen = _learned_rows(documents, sample_rows)
+    own = predicted(chosen.select("lang", "text"), model).filter("language.lang_pred = lang")
+    quartiles = F.percentile_approx("language.per_letter", [0.25, 0.5, 0.75], 1000).alias("q")
+    rows = own.groupBy("lang").agg(quartiles, F.percentile_approx("language.letters", 0.5, 1000).alias("letters")).collect()
+    return {r["lang"]: (r["q"][1], max((r["q"][2] - r["q"][0]) / 1.349, LEAST_SPREAD), float(r["letters"])) for r in rows}
+
+
+def is_usual(of: dict[str, tuple[float, float, float]]) -> Column:
+    """Whether a text is not far less probable, letter by letter, than those its language was learned from.
+
+    Texts shorter than usual vary more, by the root of their length.
+    """
+    if not of:
+        return F.lit(True)
+    known = F.create_map(*[x for lang, v in of.items() for x in (F.lit(lang), F.array(*map(F.lit, v)))])[F.col("language.lang_pred")]
+    wide = F.greatest(F.lit(1.0), F.sqrt(known[2] / F.col("language.letters")))
+    return F.coalesce(F.col("language.per_letter") >= known[0] - FAR * known[1] * wide, F.lit(True))
+
+
 def keep_identified(documents: DataFrame, least_score: float = 0.5, path: str | None = None) -> DataFrame:
-    """`documents` without those whose language cannot be told: `und`, or a score below `least_score`.
+    """`documents` without those whose language cannot be told, or was not learned.
 
-    Texts are judged where they are read and never shuffled.
+    These are `und`, a score below `least_score`, and texts that are far less probable per letter than those learned from:
+    the score only compares learned languages, and is near 1 for any long text. Texts are judged where they are read and
+    never shuffled.
     """
-    judged = predicted(documents, learn(documents, path))
-    kept = judged.filter((F.col("language.lang_pred") != "und") & (F.col("language.score") >= least_score))
-    return kept.select(documents.columns)
+    model = learn(documents, path)
+    kept = predicted(documents, model).filter((F.col("language.lang_pred") != "und") & (F.col("language.score") >= least_score))
+    return kept.filter(is_usual(usual(documents, model) if model.languages else {})).select(documents.columns)

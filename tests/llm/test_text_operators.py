@@ -291,6 +291,20 @@ def test_language_of_odd_texts(documents, empty):
     assert {r["lang_pred"] for r in language.identified(documents.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_language_not_learned_is_rejected(spark):
+    rng = np.random.default_rng(0)
+
+    def text(parts, n):
+        return " ".join("".join(rng.choice(parts, int(rng.integers(1, 4)))) for _ in range(n))
+
+    english, french = ["the", "ing", "and", "er", "st", "on"], ["eau", "que", "oui", "ment", "le", "re"]
+    rows = [(i, text((english, french)[i % 2], 20 + i % 200), ("en", "fr")[i % 2]) for i in range(400)]
+    rows += [(1000 + i, text(list("abcdefghijklmnopqrstuvwxyz"), 150), None) for i in range(5)]
+    rows += [(2000 + i, text(["zgw", "przy", "szcz", "kno", "wsk"], 150), None) for i in range(5)] + [(3000, "привет мир " * 50, None)]
+    df = ready(spark).createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    assert {r["doc_id"] for r in language.keep_identified(df).collect()} == set(range(400))
+
+
 def test_units_are_letters_only():
     assert language.units("½ ² 12 _") == [] and language.units("Ab x² é½a\n") == ["ab", "x", "éa"]
     assert "".join(language.units("y" * 100)) == "y" * 100 and max(map(len, language.units("y" * 100))) == language.UNIT

@@ -26,10 +26,11 @@ LEAST_WORDS = 50
 CORE = 0.75  # share of a group that the estimate rests on
 STEPS = 3
 LEAST_GROUP = 200  # smaller groups use their language's estimate, smaller languages that of all documents
-BEYOND = 1e-9  # share of a normal population beyond the limit
+BEYOND = 1e-3  # share of a normal population beyond the limit
 VECTOR = ("v0", "v1", "v2", "v3")
-# Spread below which a difference says nothing: of log word length, log symbols, root shares of lines and words.
-FLOORS = (0.1, 0.02, 0.15, 0.15)
+# A ridge for statistics that are zero in most documents, whose own scatter is then zero or near it: log word length, log
+# symbols, root shares of lines and words. Each statistic can go beyond the limit by itself.
+FLOORS = (0.01, 0.02, 0.08, 0.08)
 DIM = len(VECTOR)
 PAIRS = [(i, j) for i in range(DIM) for j in range(i, DIM)]
 ESTIMATE = [f"m{i}" for i in range(DIM)] + [f"s{i}{j}" for i, j in PAIRS]

@@ -174,6 +174,19 @@ def test_quality_rejects_far_vectors_only(spark):
     assert {r["doc_id"] for r in quality.keep_good(df).collect()} == set(range(300))
 
 
+def test_quality_rejects_repeated_lines_and_repeated_words(spark):
+    rows = [(i, "\n".join(prose(50 * i + k, 12) for k in range(8)), "en", "a") for i in range(300)]
+    lines = ["%s %s" % (word(500 + i), word(600 + i)) for i in range(60)]
+    for i in range(10):
+        rows.append((1000 + i, "\n".join(prose(90_000 + 50 * i + k, 12) for k in range(8)) + ("\n" + lines[i]) * 6, "en", "a"))
+        again = prose(70_000 + i, 20)
+        rows.append((2000 + i, f"{again} {prose(80_000 + i, 60)} {again}", "en", "a"))
+    df = ready(spark).createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality.quality(df).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert {i for i, r in got.items() if r["kept"]} == set(range(300))
+
+
 def test_scatter_of_the_core_equals_numpy(spark):
     rows = [(prose(i, 60 + i), "en", "a") for i in range(250)]
     df = ready(spark).createDataFrame(rows, "text string, lang string, source string")

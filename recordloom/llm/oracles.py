@@ -1,6 +1,7 @@
 """The results of the queries in DuckDB's SQL, where SQL can express them."""
 
 from recordloom.llm.licenses import RULES, SENTENCES
+from recordloom.llm.secrets import ACCESS, DISTINCT_CHARACTERS, HEX, ISSUED, LEAST_ASSIGNED, LOOSE, PLACEHOLDER, WIDE_OWNERS
 
 _URLS = """
 with rules(h, p, v) as (values
@@ -49,4 +50,69 @@ from {before}
 """
 
 
-ORACLES: dict[str, str] = {"op5_url_filters": _URLS, "op8_license_scans": _licences()}
+
+def _any_case(name: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in name)
+
+
+def _secrets() -> str:
+    names = "|".join(map(_any_case, ("password", "passwd", "secret", "token", "api_?key")))
+    assign = rf"""(?:{names})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+    patterns = [assign, ACCESS, HEX, ISSUED, LOOSE]
+    scans = "\nunion all\n".join(
+        f"select row, owner, repository, {kind} as kind, regexp_extract_all(text, '{p}') as found, "
+        f"string_split_regex(text, '{p}') as gaps from texts"
+        for kind, p in enumerate(patterns)
+    )
+    mixed = "regexp_matches(value, '[0-9]') and regexp_matches(value, '[a-z]') and regexp_matches(value, '[A-Z]')"
+    return rf"""
+with texts as (
+  select row_number() over () as row, doc_id, coalesce(text, '') as text, coalesce(source, '') as owner,
+         coalesce(doc_id::varchar, '') as repository from documents),
+scans as ({scans}),
+sized as (
+  select row, owner, repository, kind, found,
+         list_transform(range(1, len(found) + 1), lambda i: length(gaps[i]) + length(found[i])) as sizes
+  from scans where len(found) > 0),
+placed as (
+  select row, owner, repository, kind, unnest(found) as word,
+         unnest(list_transform(range(1, len(found) + 1), lambda i: list_sum(sizes[1:i])))::bigint as stop from sized),
+spans as (
+  select *, stop - length(word) as start, case when kind = 0 then regexp_extract(word, '{assign}', 1) else word end as value
+  from placed),
+kept as (
+  select * from spans
+  where (kind <> 0 or length(value) >= {LEAST_ASSIGNED}) and (kind <> 4 or ({mixed}))),
+owners as (
+  select value, count(distinct owner) as n_owners from kept group by value),
+judged as (
+  select k.*, n_owners >= {WIDE_OWNERS} as copied,
+         n_owners = 1 and len(list_distinct(string_split(value, ''))) >= {DISTINCT_CHARACTERS}
+           and regexp_matches(value, '[0-9]') and not regexp_matches(value, '{PLACEHOLDER}') as live
+  from kept k join owners using (value)),
+added as (
+  select a.row, a.kind, a.start, a.stop from judged a
+  where a.kind >= 3 and a.live and not exists (
+    select 1 from judged b where b.row = a.row and b.start < a.stop and a.start < b.stop and (b.kind < 3 or (
+      b.live and (b.start, b.kind, b.stop) < (a.start, a.kind, a.stop))))),
+shown as (
+  select row, kind, start, stop, true as is_base from judged where kind < 3
+  union all select row, kind, start, stop, false from added),
+lines as (
+  select row, start, kind, is_base,
+         (['assign', 'access', 'hex', 'issued', 'loose'])[kind + 1] || ':' || start || ':' || stop as line from shown),
+joined as (
+  select row, string_agg(line, ',' order by start, kind) filter (is_base) as base, string_agg(line, ',' order by start, kind) as every,
+         count(*) filter (is_base and kind = 0) as n_assign, count(*) filter (is_base and kind = 1) as n_access,
+         count(*) filter (is_base and kind = 2) as n_hex
+  from lines group by row),
+totals as (
+  select row, count(*) filter (live) as n_live, count(*) filter (copied) as n_copied from judged group by row)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(every, '') as spans,
+       coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied
+from texts left join joined using (row) left join totals using (row)
+"""
+
+
+ORACLES: dict[str, str] = {"op5_url_filters": _URLS, "op8_license_scans": _licences(), "op11_secret_scans": _secrets()}

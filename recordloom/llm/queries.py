@@ -15,6 +15,7 @@ from recordloom.llm.licenses import scanned
 from recordloom.llm.mixing import mixture
 from recordloom.llm.packing import packed_documents
 from recordloom.llm.quality import quality
+from recordloom.llm.secrets import secrets
 from recordloom.llm.shards import SHARDS, placed
 from recordloom.llm.token_files import counted_documents
 from recordloom.llm.url_filter import judge_urls
@@ -108,3 +109,8 @@ def token_counts(spark, folder):
 @query("op6_mixing_weights")
 def mixing_weights(spark, folder):
     return mixture(table(spark, folder, "documents"))
+
+
+@query("op11_secret_scans")
+def secret_scans(spark, folder):
+    return secrets(table(spark, folder, "documents"))

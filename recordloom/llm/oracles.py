@@ -1,5 +1,6 @@
 """The results of the queries in DuckDB's SQL, where SQL can express them."""
 
+from recordloom.llm.divergence import LEAST_DOCUMENTS, SCALE, TOP_TERMS
 from recordloom.llm.licenses import RULES, SENTENCES
 from recordloom.llm.secrets import ACCESS, DISTINCT_CHARACTERS, HEX, ISSUED, LEAST_ASSIGNED, LOOSE, PLACEHOLDER, WIDE_OWNERS
 
@@ -115,4 +116,36 @@ from texts left join joined using (row) left join totals using (row)
 """
 
 
-ORACLES: dict[str, str] = {"op5_url_filters": _URLS, "op8_license_scans": _licences(), "op11_secret_scans": _secrets()}
+_DIVERGENCE = rf"""
+with texts as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text from documents),
+words as (
+  select row, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term from texts),
+kept as (
+  select lang, term, count(*) as total from words group by lang, term having count(distinct row) >= {LEAST_DOCUMENTS}),
+counts as (select lang, source, term, count(*) as n from words semi join kept using (lang, term) group by all),
+langs as (select lang, count(*) as v, sum(total) as uses from kept group by lang),
+groups as (
+  select g.lang, g.source, coalesce((select sum(n) from counts c where c.lang = g.lang and c.source = g.source), 0)::hugeint + coalesce(v, 0) as size
+  from (select distinct lang, source from texts) g left join langs using (lang)),
+shares as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n, (1 + ({SCALE}::hugeint * (coalesce(c.n, 0) + 1)) // g.size)::hugeint as p,
+         (1 + ({SCALE}::hugeint * (k.total + 1)) // (l.uses + l.v)::hugeint)::hugeint as q
+  from groups g join kept k using (lang) join langs l using (lang) left join counts c using (lang, source, term)),
+pairs as (
+  select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+every as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(p.value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+  union all
+  select lang, source, 'term', term, (((p - q) * (p - q)) // q)::bigint from shares where n > 0 and p > q),
+ranked as (
+  select *, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank from every)
+select * from ranked where part = 'pair' or rank <= {TOP_TERMS}
+"""
+
+
+ORACLES: dict[str, str] = {"op5_url_filters": _URLS, "op8_license_scans": _licences(), "op11_secret_scans": _secrets(), "op12_source_divergence": _DIVERGENCE}

@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from recordloom.llm.ann import neighbours
+from recordloom.llm.divergence import divergence
 from recordloom.llm.jaccard_join import near_copies
 from recordloom.llm.language import identified
 from recordloom.llm.licenses import scanned
@@ -114,3 +115,8 @@ def mixing_weights(spark, folder):
 @query("op11_secret_scans")
 def secret_scans(spark, folder):
     return secrets(table(spark, folder, "documents"))
+
+
+@query("op12_source_divergence")
+def source_divergence(spark, folder):
+    return divergence(table(spark, folder, "documents"))

@@ -20,6 +20,7 @@ from recordloom.llm.secrets import secrets
 from recordloom.llm.shards import SHARDS, placed
 from recordloom.llm.token_files import counted_documents
 from recordloom.llm.url_filter import judge_urls
+from recordloom.llm.variants import variants
 from recordloom.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +121,8 @@ def secret_scans(spark, folder):
 @query("op12_source_divergence")
 def source_divergence(spark, folder):
     return divergence(table(spark, folder, "documents"))
+
+
+@query("op13_spelling_variants")
+def spelling_variants(spark, folder):
+    return variants(table(spark, folder, "documents"))

@@ -52,7 +52,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (lang, source), counts in uses.items():
             terms = pa.array(list(counts), pa.binary()).cast(pa.string())
             n, docs = list(counts.values()), [texts[lang, source][t] for t in counts]
-            columns = [pa.array([lang] * len(n)), pa.array([source] * len(n)), terms, pa.array(n, pa.int64()), pa.array(docs, pa.int64())]
+            columns = [pa.array([lang] * len(n), pa.string()), pa.array([source] * len(n), pa.string()), terms, pa.array(n, pa.int64()), pa.array(docs, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
         uses.clear()
         texts.clear()

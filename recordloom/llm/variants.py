@@ -1,9 +1,11 @@
 """Spelling variants: words that differ by one inserted, deleted or replaced character, found by pivotal grams.
 
-A word's bigrams are ordered by how rare they are among all words. Its prefix are the three rarest (and those that tie
-with the third); its pivots are two of them that share no character, with the least sum of frequencies, chosen by a
-dynamic program over positions. One edit cannot touch both pivots. So of two near words, the one whose prefix ends
-earlier in the order has a pivot that the edit left alone, and that gram is in the other's prefix.
+A word's bigrams are ordered by how rare they are among all words, equal ones from the left. Its prefix are the first
+three; its pivots are two of them that share no character, with the least sum of frequencies, chosen by a dynamic
+program over positions. One edit cannot touch both pivots. So of two near words, the one whose prefix ends earlier in
+the order has a pivot that the edit left alone, and that gram is in the other's prefix. Where both prefixes end with the
+same bigram, up to two more of that bigram may stand before it in the other word, so it is indexed for its first five
+places.
 
 Position limits: the edit lies on one side of that gram, the other side is equal letter by letter; and on the edited
 side either its outer half or its inner half is equal as well. Pivots and prefix grams are therefore indexed under four
@@ -28,6 +30,8 @@ LEAST_LENGTH = 7
 LEAST_COUNT = 2
 ALTERED = 31  # runs whose hash this divides lose a letter
 DOMINANCE = 10
+PREFIX = 3
+TIED = PREFIX + 2  # places of the prefix's last gram that are indexed: an edit makes two new ones at most
 COUNTED = 200_000  # words a task counts before it hands them on
 PIECE = 1 << 20  # bytes of a long text that are split at once
 AT_ONCE = 1 << 17  # letters of words that are indexed at once
@@ -188,8 +192,10 @@ def _entries(frequency: np.ndarray, indexed: bool):
     def of(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         grams, sides = _grams(letters), Sides(letters)
         ranks = order[grams]
-        last = np.partition(ranks, 2, axis=1)[:, 2]
-        in_prefix = ranks <= last[:, None]
+        last = np.partition(ranks, PREFIX - 1, axis=1)[:, PREFIX - 1]
+        rarer, tied = ranks < last[:, None], ranks == last[:, None]
+        places = TIED if indexed else PREFIX - rarer.sum(axis=1, keepdims=True)
+        in_prefix = rarer | (tied & (np.cumsum(tied, axis=1) <= places))
         if indexed:
             rows, at = np.nonzero(in_prefix)
         else:

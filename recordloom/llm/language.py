@@ -22,13 +22,17 @@ from recordloom.session import stored
 
 SAMPLE_ROWS = 10_000  # labelled documents per language, about; all when there are fewer
 ROUNDS = 2
-UNIT = 31  # letters; longer words are scored in runs of this many, none is left out
+LEARNED = 31  # letters; longer words are learned from in parts of this many, and scored whole
 SMOOTH = 0.05  # added to each piece's expected count
 UNKNOWN = 1e-7  # probability of a letter that is no piece
+SCALED = 16  # letters after which sums are scaled; each is at least UNKNOWN times the one before
 FAR = 6.0  # spreads below the median of a language's texts at which a text is not of that language
 LEAST_SPREAD = 0.05  # of logarithms per letter
-CACHED_WORDS = 400_000
-COUNTED_WORDS = 500_000
+CACHED_WORDS = 150_000
+COUNTED_WORDS = 150_000
+AT_ONCE = 60_000  # letters of words that are segmented together
+TEXTS_AT_ONCE = 500
+WORDS_AT_ONCE = 50_000
 
 BEGIN = "▁"  # the vocabulary's mark of a word's begin
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -47,7 +51,7 @@ def read_vocabulary(path: str) -> list[str]:
 
     model = SentencePieceProcessor(model_file=path)
     every = (model.id_to_piece(i) for i in range(model.get_piece_size()))
-    return [p for p in dict.fromkeys(every) if LETTERS.fullmatch(p.removeprefix(BEGIN) or "a") and p == p.lower() and len(p) <= UNIT + 1]
+    return [p for p in dict.fromkeys(every) if LETTERS.fullmatch(p.removeprefix(BEGIN) or "a") and p == p.lower() and len(p) <= LEARNED + 1]
 
 
 def _hashes(points: np.ndarray) -> np.ndarray:
@@ -89,11 +93,18 @@ class Segmenter:
             points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(rows), length)
             yield rows, np.concatenate([np.full((len(rows), 1), ord(BEGIN)), points], axis=1).astype(np.uint64)
 
-    def matches(self, points: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
-        """(end, length) -> number of the piece that ends there in each row; `size` means none."""
+    def chunks(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same in parts of at most AT_ONCE letters, or one word."""
+        for rows, points in self.groups(words):
+            step = max(1, AT_ONCE // points.shape[1])
+            for low in range(0, len(rows), step):
+                yield rows[low : low + step], points[low : low + step]
+
+    def matches(self, points: np.ndarray) -> Iterator[list[tuple[int, np.ndarray]]]:
+        """For each end in turn the lengths of pieces that end there, with their numbers in each row; `size` means none."""
         sums = _hashes(points)
-        found = {}
         for end in range(1, points.shape[1] + 1):
+            found = []
             for length in range(1, min(end, self.longest) + 1):
                 if length not in self.by_length:
                     continue
@@ -102,21 +113,21 @@ class Segmenter:
                 at = np.minimum(np.searchsorted(hashes, part), len(hashes) - 1)
                 hit = hashes[at] == part
                 if length == 1 or hit.any():
-                    found[end, length] = np.where(hit, numbers[at], self.size)
-        return found
+                    found.append((length, np.where(hit, numbers[at], self.size)))
+            yield found
+
+
+def _probability(table: np.ndarray, length: int, numbers: np.ndarray) -> np.ndarray:
+    return np.maximum(table[numbers], UNKNOWN) if length == 1 else table[numbers]
 
 
-def _forward(found: dict, width: int, table: np.ndarray, rows: int) -> list[np.ndarray]:
+def _forward(found: list, table: np.ndarray, rows: int) -> list[np.ndarray]:
     """Sums over all segmentations of the first characters; the last row of `table` is for no piece."""
-    sums = [np.ones((rows, table.shape[1]))]
-    for end in range(1, width + 1):
-        total = np.zeros((rows, table.shape[1]))
-        for length in range(1, end + 1):
-            if (numbers := found.get((end, length))) is not None:
-                probability = table[numbers]
-                if length == 1:
-                    probability = np.maximum(probability, UNKNOWN)
-                total += sums[end - length] * probability
+    sums = [np.ones(rows)]
+    for end, pieces in enumerate(found, 1):
+        total = np.zeros(rows)
+        for length, numbers in pieces:
+            total += sums[end - length] * _probability(table, length, numbers)
         sums.append(total)
     return sums
 
@@ -126,46 +137,58 @@ def with_none(table: np.ndarray) -> np.ndarray:
 
 
 def log_probabilities(segmenter: Segmenter, table: np.ndarray, words: list[str]) -> np.ndarray:
-    """Words by languages. `table` is pieces by languages."""
+    """Words by languages. `table` is pieces by languages.
+
+    Only the sums over the last characters, as many as the longest piece has, are held; before they get too small for
+    floating point they are scaled up, so words may have any length.
+    """
     full = with_none(table)
     out = np.zeros((len(words), table.shape[1]))
-    for rows, points in segmenter.groups(words):
-        for low in range(0, len(rows), 20_000):
-            part = points[low : low + 20_000]
-            out[rows[low : low + 20_000]] = np.log(_forward(segmenter.matches(part), part.shape[1], full, len(part))[-1])
+    for rows, points in segmenter.chunks(words):
+        sums, scale = [np.ones((len(rows), table.shape[1]))], 0.0
+        for end, pieces in enumerate(segmenter.matches(points), 1):
+            total = np.zeros_like(sums[0])
+            for length, numbers in pieces:
+                total += sums[-length] * _probability(full, length, numbers)
+            sums = [*sums[1 - segmenter.longest :], total] if segmenter.longest > 1 else [total]
+            if end % SCALED == 0:
+                sums, scale = [s / total for s in sums], scale + np.log(total)
+        out[rows] = np.log(sums[-1]) + scale
     return out
 
 
 def expected_counts(segmenter: Segmenter, probabilities: np.ndarray, words: list[str], counts: np.ndarray) -> np.ndarray:
     """Expected uses of each piece in words of one language that occur `counts` times."""
-    full = with_none(probabilities[:, None])
+    full = with_none(probabilities[:, None])[:, 0]
     uses = np.zeros(segmenter.size + 1)
-    for all_rows, all_points in segmenter.groups(words):
-        for low in range(0, len(all_rows), 20_000):
-            rows, points = all_rows[low : low + 20_000], all_points[low : low + 20_000]
-            width = points.shape[1]
-            found = segmenter.matches(points)
-            ahead = _forward(found, width, full, len(rows))
-            behind = [np.zeros(len(rows)) for _ in range(width)] + [counts[rows] / ahead[-1][:, 0]]
-            for end in range(width, 0, -1):
-                for length in range(1, end + 1):
-                    if (numbers := found.get((end, length))) is not None:
-                        probability = full[numbers, 0]
-                        if length == 1:
-                            probability = np.maximum(probability, UNKNOWN)
-                        share = probability * behind[end]
-                        behind[end - length] += share
-                        uses += np.bincount(numbers, share * ahead[end - length][:, 0], minlength=segmenter.size + 1)
+    for rows, points in segmenter.chunks(words):
+        found = list(segmenter.matches(points))
+        ahead = _forward(found, full, len(rows))
+        behind = [np.zeros(len(rows)) for _ in found] + [counts[rows] / ahead[-1]]
+        used, shares = [], []
+        for end in range(len(found), 0, -1):
+            for length, numbers in found[end - 1]:
+                share = _probability(full, length, numbers) * behind[end]
+                behind[end - length] += share
+                used.append(numbers)
+                shares.append(share * ahead[end - length])
+        uses += np.bincount(np.concatenate(used), np.concatenate(shares), minlength=segmenter.size + 1)
     return uses[:-1]
 
 
 def units(text: str) -> list[str]:
-    """Lower-case runs of letters; very long ones in several parts."""
+    """Lower-case runs of letters."""
     found = LETTERS.findall(text.lower())
     if not "".join(found).isalpha():  # numerals such as ½ pass for letters in the pattern
         found = [w for w in ("".join(filter(str.isalpha, w)) for w in found) if w]
-    if any(len(w) > UNIT for w in found):
-        found = [w[at : at + UNIT] for w in found for at in range(0, len(w), UNIT)]
+    return found
+
+
+def short_units(text: str) -> list[str]:
+    """The same with very long ones in several parts, for learning."""
+    found = units(text)
+    if any(len(w) > LEARNED for w in found):
+        found = [w[at : at + LEARNED] for w in found for at in range(0, len(w), LEARNED)]
     return found
 
 
@@ -181,7 +204,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            for word, n in Counter(units(text.as_py())).items():
+            for word, n in Counter(short_units(text.as_py())).items():
                 counts[lang, word] += n
             if len(counts) > COUNTED_WORDS:
                 yield flush()
@@ -240,30 +263,40 @@ def learn(documents: DataFrame, path: str | None = None, sample_rows: int = SAMP
 def _expectation(pieces: list[str], languages: list[str], table: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         segmenter, total = Segmenter(pieces), np.zeros_like(table)
-        for rows in batches:
-            for lang, part in rows.groupby("lang"):
+        held: list[pd.DataFrame] = []
+
+        def add() -> None:
+            for lang, part in pd.concat(held).groupby("lang"):
                 at = languages.index(lang)
                 total[:, at] += expected_counts(segmenter, table[:, at], part["word"].tolist(), part["n"].to_numpy(float))
+            held.clear()
+
+        for rows in batches:
+            held.append(rows)
+            if sum(map(len, held)) >= WORDS_AT_ONCE:
+                add()
+        if held:
+            add()
         piece, lang = np.nonzero(total)
         yield pd.DataFrame({"lang": np.array(languages, dtype=object)[lang], "piece": piece.astype(np.int32), "uses": total[piece, lang]})
 
     return run
 
 
-def _predict(model: Model):
+def _predict(model: Model, lengths: bool):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         segmenter = Segmenter(model.pieces)
         known: dict[str, int] = {}
         scores = np.zeros((CACHED_WORDS, len(model.languages)))
         for column in batches:
             names, values, per_letter, letters = [], [], [], []
-            texts = [units(t.as_py()) if t.is_valid else [] for t in column]
-            for low in range(0, len(texts), 100):
-                part = texts[low : low + 100]
-                new = list({w for words in part for w in words} - known.keys())
+            for low in range(0, len(column), TEXTS_AT_ONCE):
+                part = [units(t.as_py()) if t.is_valid else [] for t in column[low : low + TEXTS_AT_ONCE]]
+                different = set().union(*part)
+                new = list(different - known.keys())
                 if len(known) + len(new) > len(scores):
                     known.clear()
-                    new = list({w for words in part for w in words})
+                    new = list(different)
                     scores = scores if len(new) <= len(scores) else np.zeros((len(new), len(model.languages)))
                 if new and model.languages:
                     scores[len(known) : len(known) + len(new)] = log_probabilities(segmenter, model.table, new)
@@ -272,23 +305,27 @@ def _predict(model: Model):
                     if not words or not model.languages:
                         names.append("und")
                         values.append(0.0)
-                        per_letter.append(None)
-                        letters.append(0)
+                        if lengths:
+                            per_letter.append(None)
+                            letters.append(0)
                         continue
-                    total = scores[[known[w] for w in words]].sum(axis=0)
-                    odds = np.exp(total - total.max())
-                    names.append(model.languages[int(total.argmax())])
-                    values.append(float(odds.max() / odds.sum()))
-                    letters.append(sum(map(len, words)))
-                    per_letter.append(float(total.max()) / letters[-1])
-            columns = [pa.array(names, pa.string()), pa.array(values, pa.float64()), pa.array(per_letter, pa.float64()), pa.array(letters, pa.int64())]
-            yield pa.StructArray.from_arrays(columns, ["lang_pred", "score", "per_letter", "letters"])
+                    total = scores[list(map(known.__getitem__, words))].sum(axis=0)
+                    best = int(total.argmax())
+                    names.append(model.languages[best])
+                    values.append(float(1 / np.exp(total - total[best]).sum()))
+                    if lengths:
+                        letters.append(sum(map(len, words)))
+                        per_letter.append(float(total[best]) / letters[-1])
+            columns = [pa.array(names, pa.string()), pa.array(values, pa.float64())]
+            if lengths:
+                columns += [pa.array(per_letter, pa.float64()), pa.array(letters, pa.int64())]
+            yield pa.StructArray.from_arrays(columns, ["lang_pred", "score", "per_letter", "letters"][: len(columns)])
 
     return run
 
 
-def predicted(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`documents` with a struct `language` (lang_pred, score, per_letter, letters), from the whole text alone.
+def predicted(documents: DataFrame, model: Model, text: str = "text", lengths: bool = False) -> DataFrame:
+    """`documents` with a struct `language` (lang_pred, score; with `lengths` also per_letter, letters), from the whole text alone.
 
     per_letter is the logarithm of the text's probability in lang_pred, divided by its letters.
 
@@ -297,7 +334,8 @@ def predicted(documents: DataFrame, model: Model, text: str = "text") -> DataFra
     """
     from pyspark.sql.functions import arrow_udf
 
-    judge = arrow_udf(_typed(_predict(model)), "lang_pred string, score double, per_letter double, letters long")
+    kind = "lang_pred string, score double" + (", per_letter double, letters long" if lengths else "")
+    judge = arrow_udf(_typed(_predict(model, lengths)), kind)
     return documents.withColumn("language", judge(F.col(text)))
 
 
@@ -318,7 +356,7 @@ def identified(documents: DataFrame, path: str | None = None) -> DataFrame:
 def usual(documents: DataFrame, model: Model, sample_rows: int = SAMPLE_ROWS) -> dict[str, tuple[float, float, float]]:
     """Per language the median and the spread of per_letter, and the median of letters, of the rows that were learned from."""
     _, chosen = _learned_rows(documents, sample_rows)
-    own = predicted(chosen.select("lang", "text"), model).filter("language.lang_pred = lang")
+    own = predicted(chosen.select("lang", "text"), model, lengths=True).filter("language.lang_pred = lang")
     quartiles = F.percentile_approx("language.per_letter", [0.25, 0.5, 0.75], 1000).alias("q")
     rows = own.groupBy("lang").agg(quartiles, F.percentile_approx("language.letters", 0.5, 1000).alias("letters")).collect()
     return {r["lang"]: (r["q"][1], max((r["q"][2] - r["q"][0]) / 1.349, LEAST_SPREAD), float(r["letters"])) for r in rows}
@@ -341,8 +379,9 @@ def keep_identified(documents: DataFrame, least_score: float = 0.5, path: str |
 
     These are `und`, a score below `least_score`, and texts that are far less probable per letter than those learned from:
     the score only compares learned languages, and is near 1 for any long text. Texts are judged where they are read and
-    never shuffled.
+    never shuffled. All columns come back as they were, whatever their names.
     """
     model = learn(documents, path)
-    kept = predicted(documents, model).filter((F.col("language.lang_pred") != "und") & (F.col("language.score") >= least_score))
-    return kept.filter(is_usual(usual(documents, model) if model.languages else {})).select(documents.columns)
+    rows = documents.select(F.struct("*").alias("document"), "text")
+    kept = predicted(rows, model, lengths=True).filter((F.col("language.lang_pred") != "und") & (F.col("language.score") >= least_score))
+    return kept.filter(is_usual(usual(documents, model) if model.languages else {})).select("document.*")

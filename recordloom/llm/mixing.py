@@ -160,6 +160,7 @@ def mixture(documents: DataFrame, **target) -> DataFrame:
 
 
 def keep_mixed(documents: DataFrame, **target) -> DataFrame:
-    """`documents`, each as often as the mix takes it."""
+    """`documents`, each as often as the mix takes it. All columns come back as they were, whatever their names."""
     counted = stored(documents.select("doc_id", "source", token_counts("text").alias("n_tokens")))
-    return mixed(documents, mix_plan(counted, **target)).filter("text is not null and text <> ''").select(documents.columns)
+    rows = documents.select("doc_id", "source", F.struct("*").alias("document")).filter("document.text <> ''")
+    return mixed(rows, mix_plan(counted, **target)).select("document.*")

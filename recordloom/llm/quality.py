@@ -2,9 +2,11 @@
 
 Each document that passes the base rules becomes a vector of four transformed rates. For each language and source the
 minimum-covariance-determinant estimate of centre and scatter is found by concentration steps: distances under the
-present estimate, then mean and covariance of the nearest three quarters. A document is rejected when its Mahalanobis
-distance is beyond a far quantile of chi-square. Every step is an aggregation over all vectors; only one row per
-language and source is ever turned into a matrix, by tasks.
+present estimate, then mean and covariance of the nearest three quarters, until the determinant falls no further. Two
+starts are followed, medians with quartile ranges and mean with covariance; the smaller determinant wins. Languages and
+the whole corpus get estimates in the same way, and each estimate is drawn towards the wider one as if that were PRIOR
+further rows. A document is rejected when its Mahalanobis distance is beyond a far quantile of chi-square. Every step is
+an aggregation over all vectors; only one row per group is ever turned into a matrix, by tasks.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from recordloom.session import stored
 
 LEAST_WORDS = 50
 CORE = 0.75  # share of a group that the estimate rests on
-STEPS = 3
-LEAST_GROUP = 200  # smaller groups use their language's estimate, smaller languages that of all documents
+FALL = 0.01  # of the logarithm of the determinant; a group stops when a step brings less
+PRIOR = 50  # rows that the wider estimate counts for
 BEYOND = 1e-3  # share of a normal population beyond the limit
 VECTOR = ("v0", "v1", "v2", "v3")
 # A ridge for statistics that are zero in most documents, whose own scatter is then zero or near it: log word length, log
@@ -62,7 +64,7 @@ def _counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def with_counts(documents: DataFrame, text: str = "text") -> DataFrame:
-    """`documents` with a struct `counts`."""
+    """`documents` with a struct `counts` in place of any column of that name."""
     return documents.withColumn("counts", arrow_udf(_counts, STATS_TYPE)(F.col(text).cast("binary")))
 
 
@@ -85,78 +87,94 @@ def distance() -> Column:
     return sum(terms[1:], terms[0])
 
 
-def _inverses(scale: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            rows = rows.copy()
-            for at in rows.index:
-                scatter = np.zeros((DIM, DIM))
-                for i, j in PAIRS:
-                    scatter[i, j] = scatter[j, i] = rows.at[at, f"s{i}{j}"]
-                precision = np.linalg.inv(scatter * scale + np.diag(np.square(FLOORS)))
-                for i, j in PAIRS:
-                    rows.at[at, f"s{i}{j}"] = precision[i, j]
-            yield rows.rename(columns=dict(zip(ESTIMATE, PARAMETERS, strict=True)))
-
-    return run
-
-
-def _parameters(estimates: DataFrame, scale: float) -> DataFrame:
-    columns = estimates.select(*KEYS, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ESTIMATE])
-    schema = "group_lang string, group_source string, " + ", ".join(f"{c} double" for c in PARAMETERS)
-    return stored(columns.mapInPandas(_inverses(scale), schema))
-
-
-def _moments() -> list[Column]:
+def _inverses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """PARAMETERS and the logarithm of the determinant from ESTIMATE."""
+    for rows in batches:
+        rows = rows.copy()
+        rows["det"] = 0.0
+        for i, j in PAIRS:
+            rows[f"p{i}{j}"] = 0.0
+        for at in rows.index:
+            scatter = np.diag(np.square(FLOORS))
+            for i, j in PAIRS:
+                scatter[i, j] += rows.at[at, f"s{i}{j}"]
+                scatter[j, i] = scatter[i, j]
+            precision = np.linalg.inv(scatter)
+            rows.at[at, "det"] = np.linalg.slogdet(scatter)[1]
+            for i, j in PAIRS:
+                rows.at[at, f"p{i}{j}"] = precision[i, j]
+        yield rows
+
+
+def _parameters(estimates: DataFrame, *keys: str) -> DataFrame:
+    columns = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ESTIMATE]
+    types = dict(estimates.dtypes)
+    numbers = [*ESTIMATE, "det", *[f"p{i}{j}" for i, j in PAIRS]]
+    schema = ", ".join([f"{k} {types[k]}" for k in keys] + [f"{c} double" for c in numbers])
+    return stored(estimates.select(*keys, *columns).mapInPandas(_inverses, schema))
+
+
+def _moments(scale: float) -> list[Column]:
     means = [F.avg(v).alias(f"m{i}") for i, v in enumerate(VECTOR)]
-    return means + [F.covar_pop(VECTOR[i], VECTOR[j]).alias(f"s{i}{j}") for i, j in PAIRS]
-
-
-def group_names(vectors: DataFrame) -> DataFrame:
-    """For each lang and source (null as blank) the group whose estimate it uses."""
-    sizes = vectors.groupBy("lang", "source").count()
-    per_lang = sizes.groupBy("lang").agg(F.sum("count").alias("of_lang"))
-    big, lang_big = F.col("count") >= LEAST_GROUP, F.col("of_lang") >= LEAST_GROUP
-    return stored(
-        sizes.join(per_lang, "lang").select(
-            "lang", "source",
-            F.when(big | lang_big, F.concat(F.lit("l:"), "lang")).otherwise("").alias("group_lang"),
-            F.when(big, F.concat(F.lit("s:"), "source")).otherwise("").alias("group_source"),
-        )
-    )
+    return means + [(F.covar_pop(VECTOR[i], VECTOR[j]) * scale).alias(f"s{i}{j}") for i, j in PAIRS]
 
 
 def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source")})
 
 
+def _starts(every: DataFrame) -> DataFrame:
+    """KEYS, start and ESTIMATE: medians with quartile ranges, and mean with covariance."""
+    quartiles = [F.percentile_approx(v, [0.25, 0.5, 0.75], 10_000).alias(v) for v in VECTOR]
+    measured = stored(every.groupBy(*KEYS).agg(*quartiles, *_moments(1.0)))
+    spread = [F.pow((F.col(v)[2] - F.col(v)[0]) / 1.349, 2) for v in VECTOR]
+    robust = [F.col(v)[1].alias(f"m{i}") for i, v in enumerate(VECTOR)]
+    robust += [(spread[i] if i == j else F.lit(0.0)).alias(f"s{i}{j}") for i, j in PAIRS]
+    first = measured.select(*KEYS, F.lit(0).alias("start"), *robust)
+    return first.unionByName(measured.select(*KEYS, F.lit(1).alias("start"), *ESTIMATE))
+
+
+def _concentrated(every: DataFrame) -> DataFrame:
+    """KEYS and ESTIMATE of smallest determinant. Groups that have come to rest take no part in further steps."""
+    place = [*KEYS, "start"]
+    best = active = _parameters(_starts(every), *place).withColumn("det", F.lit(float("inf")))
+    while True:
+        measured = every.join(active.select(*place, *PARAMETERS), list(KEYS)).withColumn("d2", distance())
+        measured = measured.select(*place, *VECTOR, "d2")
+        core = stored(measured.groupBy(*place).agg(F.percentile_approx("d2", CORE, 10_000).alias("core")))
+        near = measured.join(core, place).filter("d2 <= core")
+        moved = _parameters(near.groupBy(*place).agg(*_moments(CONSISTENT)), *place)
+        before = best.select(*place, F.col("det").alias("before"))
+        active = stored(moved.join(before, place).filter(F.col("det") < F.col("before") - FALL).drop("before"))
+        if active.isEmpty():
+            break
+        best = stored(best.join(active.select(*place), place, "left_anti").unionByName(active))
+    estimate = F.min_by(F.struct(*ESTIMATE), F.struct("det", "start")).alias("e")
+    return stored(best.groupBy(*KEYS).agg(estimate).select(*KEYS, "e.*"))
+
+
+def _drawn(rows: DataFrame, wider: DataFrame, on: str) -> DataFrame:
+    """`rows` (KEYS, n, ESTIMATE) drawn towards the row of `wider` with the same `on`."""
+    side = wider.select(on, *[F.col(c).alias(f"_{c}") for c in ESTIMATE])
+    mean = lambda c: (F.col("n") * F.col(c) + PRIOR * F.col(f"_{c}")) / (F.col("n") + PRIOR)
+    return rows.join(side, on).select(*KEYS, "n", *[mean(c).alias(c) for c in ESTIMATE])
+
+
 def fit(counted: DataFrame) -> DataFrame:
     """PARAMETERS per lang and source, from `counted` (lang, source, counts): one row for each pair that passes the base rules."""
-    vectors = stored(_keyed(counted.filter(~base_failed())).select("lang", "source", *vector()))
-    names = group_names(vectors)
-    grouped = stored(vectors.join(names, ["lang", "source"]).select(*KEYS, *VECTOR))
-    # A group that lends its estimate to smaller ones holds all rows of the language, or all rows.
-    wider = [
-        vectors.withColumns({"group_lang": F.concat(F.lit("l:"), "lang"), "group_source": F.lit("")}),
-        vectors.withColumns({"group_lang": F.lit(""), "group_source": F.lit("")}),
-    ]
-    wanted = names.filter("group_source = ''").select(*KEYS).distinct()
-    every = grouped.filter("group_source <> ''")
-    for rows in wider:
-        every = every.unionByName(rows.select(*KEYS, *VECTOR).join(wanted, list(KEYS), "left_semi"))
-    every = stored(every)
-
-    quartiles = every.groupBy(*KEYS).agg(*[F.percentile_approx(v, [0.25, 0.5, 0.75], 1000).alias(v) for v in VECTOR])
-    spread = [F.pow((F.col(v)[2] - F.col(v)[0]) / 1.349, 2) for v in VECTOR]
-    start = [F.col(v)[1].alias(f"m{i}") for i, v in enumerate(VECTOR)]
-    start += [(spread[i] if i == j else F.lit(0.0)).alias(f"s{i}{j}") for i, j in PAIRS]
-    parameters = _parameters(quartiles.select(*KEYS, *start), 1.0)
-    for _ in range(STEPS):
-        measured = every.join(parameters, list(KEYS)).withColumn("d2", distance()).select(*KEYS, *VECTOR, "d2")
-        core = stored(measured.groupBy(*KEYS).agg(F.percentile_approx("d2", CORE, 10_000).alias("core")))
-        near = measured.join(core, list(KEYS)).filter("d2 <= core")
-        parameters = _parameters(near.groupBy(*KEYS).agg(*_moments()), CONSISTENT)
-    return stored(names.join(parameters, list(KEYS)).select("lang", "source", *PARAMETERS))
+    vectors = _keyed(counted.filter(~base_failed())).select("lang", "source", *vector())
+    lang, source, none = F.concat(F.lit("l:"), "lang"), F.concat(F.lit("s:"), "source"), F.lit("")
+    keys = [F.struct(a.alias(KEYS[0]), b.alias(KEYS[1])) for a, b in ((lang, source), (lang, none), (none, none))]
+    every = stored(vectors.select(F.explode(F.array(*keys)).alias("key"), *VECTOR).select("key.*", *VECTOR))
+    sizes = every.groupBy(*KEYS).agg(F.count("*").alias("n"))
+    found = stored(_concentrated(every).join(sizes, list(KEYS)))
+    whole = found.filter(f"{KEYS[0]} = ''").withColumn("corpus", F.lit(0))
+    languages = found.filter(f"{KEYS[0]} <> '' and {KEYS[1]} = ''").withColumn("corpus", F.lit(0))
+    languages = stored(_drawn(languages, whole, "corpus"))
+    own = _drawn(found.filter(f"{KEYS[1]} <> ''"), languages, KEYS[0])
+    fitted = _parameters(own, *KEYS)
+    names = [F.substring(k, 3, 1 << 30).alias(name) for k, name in zip(KEYS, ("lang", "source"), strict=True)]
+    return fitted.select(*names, *PARAMETERS)
 
 
 def judged(counted: DataFrame, parameters: DataFrame) -> DataFrame:
@@ -183,6 +201,10 @@ def quality(documents: DataFrame) -> DataFrame:
 
 
 def keep_good(documents: DataFrame) -> DataFrame:
-    """`documents` without those that the rules reject. Texts are scanned twice and never shuffled."""
+    """`documents` without those that the rules reject. Texts are scanned twice and never shuffled.
+
+    All columns come back as they were, whatever their names.
+    """
     counted = stored(with_counts(documents.select("lang", "source", "text")).drop("text"))
-    return judged(with_counts(documents), fit(counted)).filter("kept").select(documents.columns)
+    rows = documents.select("lang", "source", "text", F.struct("*").alias("document"))
+    return judged(with_counts(rows), fit(counted)).filter("kept").select("document.*")

@@ -187,22 +187,48 @@ def test_quality_rejects_repeated_lines_and_repeated_words(spark):
     assert {i for i, r in got.items() if r["kept"]} == set(range(300))
 
 
-def test_scatter_of_the_core_equals_numpy(spark):
-    rows = [(prose(i, 60 + i), "en", "a") for i in range(250)]
-    df = ready(spark).createDataFrame(rows, "text string, lang string, source string")
-    counted = quality.with_counts(df).drop("text").cache()
-    fitted = quality.fit(counted).first()
-    x = np.array([list(r) for r in counted.filter(~quality.base_failed()).select(*quality.vector()).collect()])
-    floors = np.diag(np.square(quality.FLOORS))
+def concentrated(x):
+    """Centre and scatter of least determinant by the same steps in numpy."""
+    floors, best = np.diag(np.square(quality.FLOORS)), []
     q = np.percentile(x, [25, 50, 75], axis=0, method="inverted_cdf")
-    centre, precision = q[1], np.linalg.inv(np.diag(((q[2] - q[0]) / 1.349) ** 2) + floors)
-    for _ in range(quality.STEPS):
-        d2 = np.einsum("ni,ij,nj->n", x - centre, precision, x - centre)
-        core = x[d2 <= np.percentile(d2, 75, method="inverted_cdf")]
-        centre = core.mean(axis=0)
-        precision = np.linalg.inv(np.cov(core.T, bias=True) * quality.CONSISTENT + floors)
-    assert np.allclose([fitted[f"m{i}"] for i in range(4)], centre)
-    assert np.allclose([fitted[f"p{i}{j}"] for i, j in quality.PAIRS], [precision[i, j] for i, j in quality.PAIRS])
+    for centre, scatter in ((q[1], np.diag(((q[2] - q[0]) / 1.349) ** 2)), (x.mean(axis=0), np.cov(x.T, bias=True).reshape(4, 4))):
+        det = np.inf
+        while True:
+            d2 = np.einsum("ni,ij,nj->n", x - centre, np.linalg.inv(scatter + floors), x - centre)
+            core = x[d2 <= np.percentile(d2, 75, method="inverted_cdf")]
+            moved = core.mean(axis=0), np.cov(core.T, bias=True).reshape(4, 4) * quality.CONSISTENT
+            now = np.linalg.slogdet(moved[1] + floors)[1]
+            if not now < det - quality.FALL:
+                break
+            (centre, scatter), det = moved, now
+        best.append((det, centre, scatter))
+    return min(best, key=lambda b: b[0])[1:]
+
+
+def drawn(own, n, wider):
+    return tuple((n * a + quality.PRIOR * b) / (n + quality.PRIOR) for a, b in zip(own, wider, strict=True))
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_quality_verdicts_equal_numpy_in_every_group(spark, sf):
+    docs = ready(spark).read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    columns = ["doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source")]
+    rows = quality.with_counts(docs).filter(~quality.base_failed()).select(*columns, *quality.vector()).collect()
+    x = np.array([list(r)[3:] for r in rows])
+    langs, groups = np.array([r["lang"] for r in rows]), np.array([r["lang"] + "|" + r["source"] for r in rows])
+    whole, want, close = concentrated(x), {}, set()
+    for lang in set(langs):
+        of_lang = drawn(concentrated(x[langs == lang]), (langs == lang).sum(), whole)
+        for group in set(groups[langs == lang]):
+            at = np.flatnonzero(groups == group)
+            centre, scatter = drawn(concentrated(x[at]), len(at), of_lang)
+            away = x[at] - centre
+            d2 = np.einsum("ni,ij,nj->n", away, np.linalg.inv(scatter + np.diag(np.square(quality.FLOORS))), away)
+            want |= {rows[i]["doc_id"]: d <= quality.LIMIT for i, d in zip(at, d2, strict=True)}
+            close |= {rows[i]["doc_id"] for i, d in zip(at, d2, strict=True) if abs(d - quality.LIMIT) < 1e-6}
+    got = {r["doc_id"]: r["kept"] for r in quality.quality(docs).collect() if not r["base_failed"]}
+    assert got.keys() == want.keys() and not close
+    assert got == want and 0 < sum(got.values()) < len(got)
 
 
 def pieces_of(text):
@@ -320,7 +346,9 @@ def test_language_not_learned_is_rejected(spark):
 
 def test_units_are_letters_only():
     assert language.units("½ ² 12 _") == [] and language.units("Ab x² é½a\n") == ["ab", "x", "éa"]
-    assert "".join(language.units("y" * 100)) == "y" * 100 and max(map(len, language.units("y" * 100))) == language.UNIT
+    assert language.units("y" * 100) == ["y" * 100]
+    parts = language.short_units("y" * 100)
+    assert "".join(parts) == "y" * 100 and max(map(len, parts)) == language.LEARNED
 
 
 def test_forward_pass_sums_all_segmentations():
@@ -340,6 +368,14 @@ def test_forward_pass_sums_all_segmentations():
     for w, got in zip(words, logs):
         totals = [sum(np.prod([table[pieces.index(p), k] for p in way]) for way in ways("▁" + w)) for k in (0, 1)]
         assert np.allclose(got, np.log(totals))
+    long = "ab" * 40_000 + "b"
+    far = language.log_probabilities(segmenter, table * 1e-3, [long, "ab"])[0]
+    chain = np.zeros((len(long) + 2, 2))
+    text = "▁" + long
+    for end in range(1, len(text) + 1):
+        logs = [chain[end - len(p)] + np.log(table[i] * 1e-3) for i, p in enumerate(pieces) if text.startswith(p, end - len(p)) and len(p) <= end]
+        chain[end] = np.logaddexp.reduce(logs, axis=0)
+    assert np.allclose(far, chain[-1])
     uses = language.expected_counts(segmenter, table[:, 0], words, np.array([2.0, 1, 3, 1]))
     want = np.zeros(len(pieces))
     for w, n in zip(words, [2, 1, 3, 1]):
@@ -461,6 +497,24 @@ def test_mixing_odd_rows(documents, empty):
     assert mixing.keep_mixed(empty).count() == 0 and mixing.mixture(documents).count() > 0
 
 
+HELPERS = (
+    "counts kept base_failed distance2 v0 v1 v2 v3 m0 p00 d2 key group_lang language lang_pred score per_letter letters document "
+    "passes times mix_block mix_pass blocks last_place last_block last_key _source rest weight quota n_tokens "
+    "set_id component_id label owner row hash n_shingles"
+).split()
+
+
+@pytest.mark.parametrize("stage", [language.keep_identified, quality.keep_good, jaccard_join.keep_one, mixing.keep_mixed])
+def test_stages_return_columns_named_like_their_helpers(spark, folder, stage):
+    plain = ready(spark).read.parquet(f"{folder}/documents.parquet")
+    docs = plain.withColumns({name: F.concat(F.lit(f"{name} "), "doc_id") for name in HELPERS})
+    kept = stage(docs)
+    assert kept.dtypes == docs.dtypes
+    rows = kept.select("doc_id", *HELPERS).collect()
+    assert rows and all(r[name] == f"{name} {r['doc_id']}" for r in rows for name in HELPERS)
+    assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in stage(plain).select("doc_id").collect())
+
+
 @pytest.mark.parametrize("run", [
     jaccard_join.near_copies, jaccard_join.keep_one, quality.quality, quality.keep_good, packing.packed_documents,
     language.identified, language.keep_identified, licenses.scanned, mixing.mixture, token_files.counted_documents,

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -90,20 +91,13 @@ def distance() -> Column:
 def _inverses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """PARAMETERS and the logarithm of the determinant from ESTIMATE."""
     for rows in batches:
-        rows = rows.copy()
-        rows["det"] = 0.0
+        scatter = np.zeros((len(rows), DIM, DIM))
         for i, j in PAIRS:
-            rows[f"p{i}{j}"] = 0.0
-        for at in rows.index:
-            scatter = np.diag(np.square(FLOORS))
-            for i, j in PAIRS:
-                scatter[i, j] += rows.at[at, f"s{i}{j}"]
-                scatter[j, i] = scatter[i, j]
-            precision = np.linalg.inv(scatter)
-            rows.at[at, "det"] = np.linalg.slogdet(scatter)[1]
-            for i, j in PAIRS:
-                rows.at[at, f"p{i}{j}"] = precision[i, j]
-        yield rows
+            scatter[:, i, j] = scatter[:, j, i] = rows[f"s{i}{j}"]
+        scatter += np.diag(np.square(FLOORS))
+        precision = np.linalg.inv(scatter)
+        inverse = {f"p{i}{j}": precision[:, i, j] for i, j in PAIRS}
+        yield rows.assign(det=np.linalg.slogdet(scatter)[1], **inverse)
 
 
 def _parameters(estimates: DataFrame, *keys: str) -> DataFrame:
@@ -111,7 +105,7 @@ def _parameters(estimates: DataFrame, *keys: str) -> DataFrame:
     types = dict(estimates.dtypes)
     numbers = [*ESTIMATE, "det", *[f"p{i}{j}" for i, j in PAIRS]]
     schema = ", ".join([f"{k} {types[k]}" for k in keys] + [f"{c} double" for c in numbers])
-    return stored(estimates.select(*keys, *columns).mapInPandas(_inverses, schema))
+    return estimates.select(*keys, *columns).mapInPandas(_inverses, schema)
 
 
 def _moments(scale: float) -> list[Column]:
@@ -137,20 +131,19 @@ def _starts(every: DataFrame) -> DataFrame:
 def _concentrated(every: DataFrame) -> DataFrame:
     """KEYS and ESTIMATE of smallest determinant. Groups that have come to rest take no part in further steps."""
     place = [*KEYS, "start"]
-    best = active = _parameters(_starts(every), *place).withColumn("det", F.lit(float("inf")))
-    while True:
+    active = stored(_parameters(_starts(every), *place).withColumn("det", F.lit(float("inf"))))
+    steps = [active]
+    while not active.isEmpty():
         measured = every.join(active.select(*place, *PARAMETERS), list(KEYS)).withColumn("d2", distance())
         measured = measured.select(*place, *VECTOR, "d2")
-        core = stored(measured.groupBy(*place).agg(F.percentile_approx("d2", CORE, 10_000).alias("core")))
+        core = measured.groupBy(*place).agg(F.percentile_approx("d2", CORE, 10_000).alias("core"))
         near = measured.join(core, place).filter("d2 <= core")
         moved = _parameters(near.groupBy(*place).agg(*_moments(CONSISTENT)), *place)
-        before = best.select(*place, F.col("det").alias("before"))
+        before = active.select(*place, F.col("det").alias("before"))
         active = stored(moved.join(before, place).filter(F.col("det") < F.col("before") - FALL).drop("before"))
-        if active.isEmpty():
-            break
-        best = stored(best.join(active.select(*place), place, "left_anti").unionByName(active))
+        steps.append(active)
     estimate = F.min_by(F.struct(*ESTIMATE), F.struct("det", "start")).alias("e")
-    return stored(best.groupBy(*KEYS).agg(estimate).select(*KEYS, "e.*"))
+    return reduce(DataFrame.unionByName, steps).groupBy(*KEYS).agg(estimate).select(*KEYS, "e.*")
 
 
 def _drawn(rows: DataFrame, wider: DataFrame, on: str) -> DataFrame:
@@ -172,7 +165,7 @@ def fit(counted: DataFrame) -> DataFrame:
     languages = found.filter(f"{KEYS[0]} <> '' and {KEYS[1]} = ''").withColumn("corpus", F.lit(0))
     languages = stored(_drawn(languages, whole, "corpus"))
     own = _drawn(found.filter(f"{KEYS[1]} <> ''"), languages, KEYS[0])
-    fitted = _parameters(own, *KEYS)
+    fitted = stored(_parameters(own, *KEYS))
     names = [F.substring(k, 3, 1 << 30).alias(name) for k, name in zip(KEYS, ("lang", "source"), strict=True)]
     return fitted.select(*names, *PARAMETERS)
 

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordloom.llm.tokens import forget
 from recordloom.session import stored
 
 SAMPLE_ROWS = 10_000  # labelled documents per language, about; all when there are fewer
@@ -193,6 +194,7 @@ def short_units(text: str) -> list[str]:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     counts: Counter[tuple[str, str]] = Counter()
 
     def flush():
@@ -285,6 +287,7 @@ def _expectation(pieces: list[str], languages: list[str], table: np.ndarray):
 
 def _predict(model: Model, lengths: bool):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        forget()
         segmenter = Segmenter(model.pieces)
         known: dict[str, int] = {}
         scores = np.zeros((CACHED_WORDS, len(model.languages)))

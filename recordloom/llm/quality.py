@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from recordloom.llm.text_stats import STATS_TYPE, text_counts
+from recordloom.llm.tokens import forget
 from recordloom.session import stored
 
 LEAST_WORDS = 50
@@ -60,6 +61,7 @@ CONSISTENT = CORE / chi_square(chi_square_quantile(CORE, DIM), DIM + 2)
 
 
 def _counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    forget()
     for column in batches:
         yield text_counts(column)
 

@@ -75,3 +75,9 @@ def tokens(path: str) -> WordTokens:
     if path not in _tokenizers:
         _tokenizers[path] = WordTokens(path)
     return _tokenizers[path]
+
+
+def forget() -> None:
+    """Drop the cached words of this worker: for tasks of other kinds, which run in the same workers and need the memory."""
+    for words in _tokenizers.values():
+        words.clear()

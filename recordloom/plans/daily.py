@@ -18,12 +18,14 @@ from recordloom.operators.cleaning import deliveries
 from recordloom.operators.history import delta, first_load, merge, rebuild
 from recordloom.operators.metrics import observed
 from recordloom.plans import marts
-from recordloom.session import settled_keys
+from recordloom.session import settled_keys, stored
 from recordloom.sources.pages import read_pages
 from recordloom.sources.tables import (
     bronze_states,
     compact_history,
     history_runs,
+    ids_of_states,
+    next_run,
     read_bronze,
     read_current,
     read_history,
@@ -59,10 +61,10 @@ def ingest_day(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return 0
+    pages = stored(pages)  # parsed once: rows, log and rejects come from the same reading
     rows, counted = observed(flatten_bundles(pages, spec), f"{spec.bronze_table} {day}")
     write_bronze(rows, f"{bronze}/{spec.bronze_table}", day)
-    headers = read_pages(spark, landing, spec, [day], one_per_line, headers_only=True)
-    write_ingestion_log(audit_pages(headers), log)
+    write_ingestion_log(audit_pages(pages), log)
     if rejects is not None:
         lost = rejected_pages(pages).drop("resource_type", "ingestion_date")
         lost.write.mode("overwrite").parquet(f"{rejects}/resource_type={spec.name}/ingestion_date={day}")
@@ -76,39 +78,49 @@ def advance_history(
     spec: ResourceSpec,
     taken: Mapping[str, str],
     run_at: datetime,
-    replaced: bool = False,
+    replaced: DataFrame | None = None,
 ) -> None:
     """Add a batch of bronze rows to the stored history, unless it holds what `taken` names already.
 
     `earlier` are all other bronze rows. They are read when there is no history yet, for ids whose batch rows are older
-    than what the history has seen, and when the batch has `replaced` rows that the history took before: what is gone
-    from bronze can only be taken back by building the history anew.
+    than what the history has seen, and for the ids in `replaced`: those of days that the history took before and that
+    hold other rows now. What is gone from bronze can only be taken back by deriving these ids anew; ids that bronze does
+    not hold any more leave the history.
     """
     spark = batch.sparkSession
     known = taken_states(spark, root)
     if taken and all(known.get(source) == state for source, state in taken.items()):
         return
     runs = history_runs(spark, root)
-    run = runs[-1]["run"] + 1 if runs else 1
+    run, seen = next_run(spark, root)
     arriving, before = deliveries(batch, spec), deliveries(earlier, spec)
-    if not runs or replaced:
-        write_history_run(rebuild(before.unionByName(arriving), run_at), root, run, taken=dict(taken))
+    if not runs:
+        write_history_run(rebuild(before.unionByName(arriving), run_at), root, run, taken=dict(taken), seen=seen)
         return
     if run - runs[-1]["base"] >= COMPACT_AFTER:
         compact_history(spark, root)
-        run += 1
+        run, seen = next_run(spark, root)
+    derived = None
+    if replaced is not None:
+        derived, _ = settled_keys(replaced.select(ID))
+        anew = rebuild(before.unionByName(arriving).join(derived, ID, "left_semi"), run_at)
+        arriving = arriving.join(derived, ID, "left_anti")
     touched, count = settled_keys(arriving.select(ID))
     if count:
         rows, late = delta(read_current(spark, root), arriving, before, run_at)
     else:
         rows, late = read_current(spark, root).limit(0), None
-    write_history_run(rows, root, run, touched, late, dict(taken))
+    if derived is not None:
+        rows, touched = rows.unionByName(anew), touched.unionByName(derived)
+        late = derived if late is None else late.select(ID).unionByName(derived)
+    write_history_run(rows, root, run, touched, late, dict(taken), seen)
 
 
 def update_history(spark: SparkSession, bronze: str, root: str, spec: ResourceSpec, run_at: datetime) -> None:
     """Bring the history of a resource type up to its bronze table, whatever days were added, backfilled or run again.
 
-    Each day has a state; days whose state the history has not taken are the batch.
+    Each day has a state; days whose state the history has not taken are the batch. For a day that it has taken in another
+    state, the ids of both states are derived anew from bronze, and only those are written.
     """
     table, target = f"{bronze}/{spec.bronze_table}", f"{root}/{spec.silver_table}"
     states, known = bronze_states(spark, table), taken_states(spark, target)
@@ -117,9 +129,11 @@ def update_history(spark: SparkSession, bronze: str, root: str, spec: ResourceSp
         return
     rows = read_bronze(spark, table, spec)
     is_pending = F.col("ingestion_date").isin([date.fromisoformat(day) for day in pending])
-    advance_history(
-        rows.filter(is_pending), rows.filter(~is_pending), target, spec, pending, run_at, any(d in known for d in pending)
-    )
+    replaced = {known[day]: state for day, state in pending.items() if day in known}
+    ids = ids_of_states(spark, table, [*replaced.keys(), *replaced.values()]) if replaced else None
+    if replaced and ids is None:  # bronze keeps no ids: all are derived anew
+        ids = read_history(spark, target).select(ID).unionByName(deliveries(rows, spec).select(ID))
+    advance_history(rows.filter(is_pending), rows.filter(~is_pending), target, spec, pending, run_at, ids)
 
 
 def update_history_in_run_time(spark: SparkSession, bronze: str, root: str, spec: ResourceSpec, run_at: datetime) -> None:
@@ -131,13 +145,13 @@ def update_history_in_run_time(spark: SparkSession, bronze: str, root: str, spec
         return
     days = F.col("ingestion_date").isin([date.fromisoformat(day) for day in pending])
     arriving = deliveries(read_bronze(spark, table, spec).filter(days), spec)
-    runs = history_runs(spark, target)
-    if not runs:
-        write_history_run(first_load(arriving, run_at), target, 1, taken=pending)
+    run, seen = next_run(spark, target)
+    if not seen:
+        write_history_run(first_load(arriving, run_at), target, run, taken=pending, seen=seen)
         return
     touched, _ = settled_keys(arriving.select(ID))
     mine = read_current(spark, target).join(touched, ID, "left_semi")
-    write_history_run(merge(mine, arriving, run_at), target, runs[-1]["run"] + 1, touched, taken=pending)
+    write_history_run(merge(mine, arriving, run_at), target, run, touched, taken=pending, seen=seen)
 
 
 def read_histories(spark: SparkSession, root: str, specs: Iterable[ResourceSpec]) -> dict[str, DataFrame]:

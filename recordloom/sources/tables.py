@@ -9,9 +9,10 @@ Compaction writes the whole history as a new base; vacuum removes the folders th
 
 from __future__ import annotations
 
-import time
 import uuid
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,8 +36,10 @@ def write_bronze(bronze: DataFrame, root: str, day: str | None = None) -> None:
     """Add days to the table of its resource type; a repeated day replaces itself instead of doubling.
 
     With `day` all rows are of that day, and it is replaced also when there are none any more. Without, the days are
-    those that `bronze` has rows for. Each day written gets a new state, which histories compare with what they took.
+    those that `bronze` has rows for. Each day written gets a new state, which histories compare with what they took,
+    and the ids of that state are kept beside the table, so that a history can tell later what a replaced day had held.
     """
+    spark = bronze.sparkSession
     if day is None:
         days = [str(r[0]) for r in bronze.select("ingestion_date").distinct().collect()]  # one value per day
         write_partitions(bronze, root, "ingestion_date")
@@ -44,9 +47,27 @@ def write_bronze(bronze: DataFrame, root: str, day: str | None = None) -> None:
         days = [day]
         bronze.drop("ingestion_date").write.mode("overwrite").parquet(f"{root}/ingestion_date={day}")
     if days:
-        states = [(d, uuid.uuid4().hex, time.time_ns()) for d in days]
-        mark = bronze.sparkSession.createDataFrame(states, "source string, state string, at long")
-        mark.coalesce(1).write.mode("append").parquet(f"{root}-states")
+        at = max((m["at"] for m in _marks(spark, f"{root}-states")), default=0) + 1
+        states = spark.createDataFrame([(d, uuid.uuid4().hex, at) for d in days], "source string, state string, at long")
+        states = states.coalesce(1)
+        if ID in bronze.columns:
+            written = spark.read.parquet(root).select(F.col("ingestion_date").cast("string").alias("source"), F.trim(ID).alias(ID))
+            ids = written.filter(F.col("source").isin(days) & (F.col(ID) != "")).distinct()
+            # The states of the days are few; they are fixed in the query, as they are written below.
+            named = F.create_map(*[F.lit(x) for row in states.collect() for x in (row["source"], row["state"])])
+            write_partitions(ids.select(ID, named[F.col("source")].alias("state")), f"{root}-ids", "state")
+        states.write.mode("append").parquet(f"{root}-states")
+
+
+def ids_of_states(spark: SparkSession, root: str, states: Sequence[str]) -> DataFrame | None:
+    """Ids that the days of a bronze table held in the given states of theirs; None if the table keeps none for them."""
+    try:
+        kept = spark.read.schema(f"{ID} string, state string").parquet(f"{root}-ids")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return kept.filter(F.col("state").isin(list(states))).select(ID).distinct()
 
 
 def bronze_states(spark: SparkSession, root: str) -> dict[str, str]:
@@ -85,12 +106,15 @@ def write_history_run(
     touched: DataFrame | None = None,
     late: DataFrame | None = None,
     taken: dict[str, str] | None = None,
+    seen: int | None = None,
 ) -> None:
     """Store what a run made.
 
     `touched` are the ids in `rows`; `late` are those of them for which `rows` holds the complete history. Without
     `touched`, `rows` is the complete history of all ids, and nothing written by earlier runs counts any more. `taken`
-    maps sources to the states of theirs that the history now holds.
+    maps sources to the states of theirs that the history now holds. `seen` is the newest run that `rows` were made from.
+    When another writer has finished a run since, or has taken this one's number, nothing is marked and RunTaken is
+    raised: reading again and repeating the step is safe.
     """
     spark = rows.sparkSession
     write, marks = uuid.uuid4().hex, history_runs(spark, root)
@@ -104,11 +128,42 @@ def write_history_run(
         rows.withColumns({"run": F.lit(run).cast("long"), "write": F.lit(write)}), f"{root}/rows", "is_current", "write"
     )
     base = run if touched is None or not marks else marks[-1]["base"]
+    _claim_run(spark, root, run, seen)
     row = (run, write, base, taken or {})
     mark = spark.createDataFrame([row], "run long, write string, base long, taken map<string,string>")
     mark.coalesce(1).write.mode("append").parquet(f"{root}/runs")
 
 
+class RunTaken(RuntimeError):
+    """Another writer finished or began the run in the meantime."""
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def _claim_run(spark: SparkSession, root: str, run: int, seen: int | None) -> None:
+    """Take the run's number by a file that only one writer can create."""
+    newest = max((m["run"] for m in history_runs(spark, root)), default=0)
+    if newest >= run or (seen is not None and newest != seen):
+        raise RunTaken(f"run {newest} of {root} was finished while run {run} was made")
+    files, claim = _files(spark, f"{root}/claims/run={run}")
+    if not files.createNewFile(claim):
+        raise RunTaken(f"run {run} of {root} was begun by another writer")
+
+
+def next_run(spark: SparkSession, root: str) -> tuple[int, int]:
+    """The number for a new run, and the newest finished one (0 before the first).
+
+    A number whose writer crashed before its run was marked stays unused.
+    """
+    seen = max((m["run"] for m in history_runs(spark, root)), default=0)
+    files, folder = _files(spark, f"{root}/claims")
+    claimed = [int(f.getPath().getName().removeprefix("run=")) for f in files.listStatus(folder)] if files.exists(folder) else []
+    return max([seen, *claimed]) + 1, seen
+
+
 def _marks(spark: SparkSession, path: str) -> list:
     try:
         return spark.read.parquet(path).collect()
@@ -174,7 +229,8 @@ def compact_history(spark: SparkSession, root: str) -> None:
     """Write the whole history as a new base, so that reading joins nothing."""
     marks = history_runs(spark, root)
     if len(_counting(marks)) > 1:
-        write_history_run(read_history(spark, root), root, marks[-1]["run"] + 1)
+        run, seen = next_run(spark, root)
+        write_history_run(read_history(spark, root), root, run, seen=seen)
 
 
 def vacuum_history(spark: SparkSession, root: str) -> int:

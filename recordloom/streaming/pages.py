@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from recordloom.operators.audit import audit_pages
 from recordloom.operators.bundles import flatten_bundles, rejected_pages
 from recordloom.plans.daily import advance_history
+from recordloom.session import stored
 from recordloom.sources.pages import stream_pages
 from recordloom.sources.tables import read_bronze
 from recordloom.specs import ResourceSpec
@@ -40,6 +41,7 @@ def ingest_available(
 
     def store(pages: DataFrame, batch: int) -> None:
         session = pages.sparkSession
+        pages = stored(pages)  # parsed once: rows, log and rejects come from the same reading
         kept = session.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
         place = f"stream={kept}/batch={batch}"
         flatten_bundles(pages, spec).write.mode("overwrite").parquet(f"{bronze}/{place}")

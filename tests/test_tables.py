@@ -213,3 +213,98 @@ def test_history_in_run_time_is_stored(spark):
         daily.update_history_in_run_time(spark, bronze_root, root, ENCOUNTER, RUN[at])
     rows = store.read_history(spark, f"{root}/silver_encounter_by_run")
     assert (rows.count(), rows.filter("is_current").count()) == (4, 3)
+
+
+def test_repeated_day_writes_the_ids_of_its_old_and_new_rows_only(spark):
+    bronze_root, root = new_folder(spark, "bronze"), new_folder(spark, "silver")
+    table, target = f"{bronze_root}/bronze_encounter", f"{root}/silver_encounter"
+    many = [(f"o{i}", "1", "2020-01-01", "q") for i in range(50)]
+    days = {"2024-01-02": DAYS[0] + many, "2024-01-03": [(" 1", "2", "2020-01-02", "b"), ("3", "1", "2020-01-02", "n"), ("  ", "1", "2020-01-02", "n")]}
+    for day, rows in days.items():
+        store.write_bronze(versions_of(spark, rows, day), table, day)
+    daily.update_history(spark, bronze_root, root, ENCOUNTER, RUN[0])
+    days["2024-01-03"] = [("3", "2", "2020-01-05", "m"), ("4", "1", "2020-01-05", "new")]
+    days["2024-01-04"] = [("o7", "2", "2020-01-09", "later"), ("4", "2", "2020-01-03", "late")]
+    for day in ("2024-01-03", "2024-01-04"):
+        store.write_bronze(versions_of(spark, days[day], day), table, day)
+    daily.update_history(spark, bronze_root, root, ENCOUNTER, RUN[1])
+    clean = [r for rows in days.values() for r in rows]
+    assert view(store.read_history(spark, target)) == brute_force(clean)
+    marks = store.history_runs(spark, target)
+    assert [m["run"] for m in marks] == [1, 2] and marks[1]["base"] == 1
+    last = F.col("write") == marks[1]["write"]
+    written = spark.read.parquet(f"{target}/rows").filter(last)
+    assert {r[0] for r in written.select("resource_id").collect()} == {"1", "3", "4", "o7"}
+    touched = spark.read.parquet(f"{target}/touched").filter(last)
+    assert {tuple(r) for r in touched.select("resource_id", "corrected").collect()} == {("1", True), ("3", True), ("4", True), ("o7", False)}
+    days["2024-01-03"] = []
+    store.write_bronze(versions_of(spark, [], "2024-01-03"), table, "2024-01-03")
+    daily.update_history(spark, bronze_root, root, ENCOUNTER, RUN[2])
+    assert view(store.read_history(spark, target)) == brute_force([r for rows in days.values() for r in rows])
+
+
+def test_second_writer_of_a_run_is_refused(spark):
+    root = new_folder(spark, "history")
+    run_days(spark, root, 2)
+    run, seen = store.next_run(spark, root)
+    rows = store.read_current(spark, root)
+    run_days_again = bronze(spark, DAYS[2])
+    daily.advance_history(run_days_again, bronze(spark, all_rows(2)), root, ENCOUNTER, {"2": "once"}, RUN[2])
+    touched = rows.select("resource_id")
+    with pytest.raises(store.RunTaken):
+        store.write_history_run(rows, root, run, touched, seen=seen)
+    with pytest.raises(store.RunTaken):  # a later number does not help: the rows were made from an older history
+        store.write_history_run(rows, root, run + 1, touched, seen=seen)
+    assert view(store.read_history(spark, root)) == brute_force(all_rows(3))
+    files, claim = store._files(spark, f"{root}/claims/run=4")
+    files.createNewFile(claim)  # a writer that crashed after it had taken its number
+    with pytest.raises(store.RunTaken):
+        store.write_history_run(rows, root, 4, touched)
+    daily.advance_history(bronze(spark, DAYS[3]), bronze(spark, all_rows(3)), root, ENCOUNTER, {"3": "once"}, RUN[3])
+    assert [m["run"] for m in store.history_runs(spark, root)] == [1, 2, 3, 5]
+    assert view(store.read_history(spark, root)) == brute_force(all_rows(4))
+
+
+def test_states_of_a_day_are_ordered_without_a_clock(spark):
+    root = new_folder(spark, "bronze")
+    for rows in (DAYS[0], DAYS[1], DAYS[2]):
+        store.write_bronze(versions_of(spark, rows, "2024-01-02"), root, "2024-01-02")
+    marks = sorted(spark.read.parquet(f"{root}-states").collect(), key=lambda m: m["at"])
+    assert [m["at"] for m in marks] == [1, 2, 3] and store.bronze_states(spark, root) == {"2024-01-02": marks[-1]["state"]}
+    old = store.ids_of_states(spark, root, [marks[0]["state"]])
+    assert {r[0] for r in old.collect()} == {"1", "2"}
+    assert store.ids_of_states(spark, new_folder(spark, "none"), ["x"]) is None
+
+
+PAGES = {
+    "page_0001.json": '{"resourceType":"Bundle","id":"page_0001","link":[{"relation":"next","url":"u2"}],"entry":[{"fullUrl":"a","resource":{"resourceType":"Patient","id":"1"}}]}',
+    "page_0002.json": '{"resourceType":"Bundle","id":"page_0002","entry":[{"fullUrl":"b","resource":"not a record"}]}',
+    "page_0003.json": '{"resourceType":"Bundle","id":"page_0003","entry":[{"fullUrl":"c"}]}',
+    "page_0004.json": '{"resourceType":"Bundle", broken',
+    "page_0005.json": '{"resourceType":"Other","id":"page_0005"}',
+}
+
+
+def test_daily_and_streamed_logs_agree_and_pages_are_parsed_once(spark, tmp_path, monkeypatch):
+    day = tmp_path / "landing" / "Patient" / "2024-01-02"
+    day.mkdir(parents=True)
+    for name, text in PAGES.items():
+        (day / name).write_text(text)
+    reads = []
+    read_pages = daily.read_pages
+    monkeypatch.setattr(daily, "read_pages", lambda *a, **k: reads.append(a) or read_pages(*a, **k))
+    paths = {n: str(tmp_path / n) for n in ("bronze", "log", "rejects", "s-bronze", "s-log", "s-rejects", "progress")}
+    landing = str(tmp_path / "landing")
+    rows = daily.ingest_day(spark, landing, paths["bronze"], paths["log"], PATIENT, "2024-01-02", False, paths["rejects"])
+    assert len(reads) == 1 and rows == store.read_bronze(spark, f"{paths['bronze']}/{PATIENT.bronze_table}").count()
+    ingest_available(
+        spark, landing, paths["s-bronze"], paths["progress"], PATIENT, one_per_line=False, log=paths["s-log"], rejects=paths["s-rejects"]
+    )
+    columns = ["log_id", "page_number", "records_fetched", "status", "error_message", "ingestion_date"]
+    logs = [{tuple(r) for r in store.read_ingestion_log(spark, paths[n]).select(columns).collect()} for n in ("log", "s-log")]
+    assert logs[0] == logs[1] and len(logs[0]) == 5
+    lost = [{tuple(r) for r in spark.read.parquet(paths[n]).select("page_path", "reason", "entries_lost").collect()} for n in ("rejects", "s-rejects")]
+    assert lost[0] == lost[1] and len(lost[0]) >= 3
+    assert {tuple(r)[1:] for r in store.read_bronze(spark, paths["s-bronze"]).select("stream", "resource_id").collect()} == {
+        tuple(r) for r in store.read_bronze(spark, f"{paths['bronze']}/{PATIENT.bronze_table}").select("resource_id").collect()
+    }

@@ -138,7 +138,7 @@ def _concentrated(every: DataFrame) -> DataFrame:
     while not active.isEmpty():
         measured = every.join(active.select(*place, *PARAMETERS), list(KEYS)).withColumn("d2", distance())
         measured = measured.select(*place, *VECTOR, "d2")
-        core = measured.groupBy(*place).agg(F.percentile_approx("d2", CORE, 10_000).alias("core"))
+        core = stored(measured.groupBy(*place).agg(F.percentile_approx("d2", CORE, 10_000).alias("core")))  # small: rows stay put
         near = measured.join(core, place).filter("d2 <= core")
         moved = _parameters(near.groupBy(*place).agg(*_moments(CONSISTENT)), *place)
         before = active.select(*place, F.col("det").alias("before"))

@@ -401,6 +401,7 @@ ORACLES: dict[str, str] = {
     "customer_code_set": f"with {DIAGNOSES} {CODE_KPIS}",
     "customer_item_kpis": f"with {MEASURES} {MEASURE_KPIS}",
     "patient_summary": f"with {DIM}, {VISITS}, {DIAGNOSES}, {MEASURES} {SUMMARY}",
+    "patient_summary_by_runs": f"with {DIM}, {VISITS}, {DIAGNOSES}, {MEASURES} {SUMMARY}",
     "gold_view_counts": f"""
         with {DIM}, {VISITS}, {DIAGNOSES}, {MEASURES}
         select 'dim_patient' as table_name, count(*) as total_rows from dim

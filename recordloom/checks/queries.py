@@ -19,7 +19,7 @@ from recordloom.operators.changes import detect_changes, rows_to_write
 from recordloom.operators.cleaning import deliveries, first_deliveries
 from recordloom.operators.landing import land_pages, to_pages
 from recordloom.operators.metrics import layer_metrics
-from recordloom.plans import daily, marts
+from recordloom.plans import daily, marts, summary
 from recordloom.session import new_folder, pin, stored
 from recordloom.sources import star_tables as star
 from recordloom.sources import tables as store
@@ -572,6 +572,30 @@ def patient_summary(spark, folder):
     return summary.withColumn("condition_list", F.array_join("condition_list", "|"))
 
 
+@query
+def patient_summary_by_runs(spark, folder):
+    """The summary kept by run: a day with records at wrong patients, then that day run again and another one added."""
+    bronze, silver, root = (new_folder(spark, n) for n in ("bronze", "silver", "summary"))
+    t = lambda n: _table(spark, folder, n)
+    orders, lines = t("orders"), t("lineitem")
+    wrong = orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 5 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")))
+    records = {
+        "Encounter": lambda o, keep: star.encounters(o.filter(f"o_orderkey {keep}"), lines),
+        "Observation": lambda o, keep: star.observations(lines.filter(f"l_orderkey {keep}"), o),
+        "Condition": lambda o, keep: star.conditions(lines.filter(f"l_orderkey {keep}"), o, t("part")),
+    }
+    for days, at in (([("02", wrong, "% 3 <> 2")], FIRST_RUN), ([("02", orders, "% 3 = 1"), ("03", orders, "% 3 <> 1")], SECOND_RUN)):
+        for name, make in records.items():
+            spec = spec_for(name)
+            for day, source, keep in days:
+                rows = star.bronze_rows(make(source, keep), spec, f"2024-01-{day}")
+                store.write_bronze(rows, f"{bronze}/{spec.bronze_table}", f"2024-01-{day}")
+            daily.update_history(spark, bronze, silver, spec, at)
+        summary.refresh_summary(spark, silver, root)
+    kept = summary.kept_summary(spark, root, _dim_patient(spark, folder))
+    return kept.withColumn("condition_list", F.array_join("condition_list", "|"))
+
+
 @query
 def gold_view_counts(spark, folder):
     """Rows of the five views, through SQL."""

@@ -169,28 +169,28 @@ def observations_with_encounter(facts: DataFrame, visits: DataFrame) -> DataFram
     return facts.join(context, "encounter_id", "left")
 
 
-def _timed(text: str, readable_first: bool) -> Column:
+def timed(text: str, readable_first: bool) -> Column:
     """A text with its instant, in an order that puts readable texts first (or last)."""
     at = instant(text)
     readable = at.isNull() if readable_first else at.isNotNull()
     return F.when(F.col(text).isNotNull(), F.struct(readable.alias("readable"), at.alias("at"), F.col(text).alias("text")))
 
 
-def _earliest(text: str) -> Column:
-    """Text of the earliest instant; texts that are no instant count only if there is no other."""
-    return F.min(_timed(text, True))["text"]
+def earliest(text: str) -> Column:
+    """The earliest instant with its text; texts that are no instant count only if there is no other."""
+    return F.min(timed(text, True))
 
 
-def _latest(text: str) -> Column:
-    return F.max(_timed(text, False))["text"]
+def latest(text: str) -> Column:
+    return F.max(timed(text, False))
 
 
 def encounter_kpis(visits: DataFrame) -> DataFrame:
     """Per patient: encounters, first and last start, mean of the rounded durations."""
     return visits.groupBy("patient_id").agg(
         F.count("encounter_id").alias("total_encounters"),
-        _earliest("period_start").alias("first_encounter"),
-        _latest("period_start").alias("last_encounter"),
+        earliest("period_start")["text"].alias("first_encounter"),
+        latest("period_start")["text"].alias("last_encounter"),
         F.avg(F.col("duration_hours").cast("decimal(18,2)")).alias("avg_duration_hours"),
     )
 
@@ -216,7 +216,7 @@ def observation_kpis(measured: DataFrame) -> DataFrame:
     """
     per_code = measured.groupBy("patient_id", "observation_code").agg(
         F.count("observation_id").alias("n"),
-        F.max(_timed("effective_datetime", False)).alias("last"),
+        latest("effective_datetime").alias("last"),
     )
     return per_code.groupBy("patient_id").agg(
         F.sum("n").alias("total_observations"),
@@ -236,9 +236,13 @@ def patient_summary(
     visits = encounter_kpis(encounters(encounter_history))
     diagnoses = condition_kpis(condition_history)
     measures = observation_kpis(observations(observation_history))
+    return with_kpis(patients, visits, diagnoses, measures)
 
+
+def with_kpis(patients: DataFrame, *sides: DataFrame) -> DataFrame:
+    """Rows of dim_patient with aggregates that have one row per patient each."""
     joined = patients
-    for side in (visits, diagnoses, measures):
+    for side in sides:
         joined = joined.join(side, "patient_id", "left")
     mean = F.round("avg_duration_hours", 2).cast("double")
     return joined.fillna(0, list(COUNTS)).withColumn("avg_duration_hours", mean).select(*PATIENT_SUMMARY)

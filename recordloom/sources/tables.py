@@ -128,7 +128,7 @@ def write_history_run(
         rows.withColumns({"run": F.lit(run).cast("long"), "write": F.lit(write)}), f"{root}/rows", "is_current", "write"
     )
     base = run if touched is None or not marks else marks[-1]["base"]
-    _claim_run(spark, root, run, seen)
+    claim_run(spark, root, run, seen)
     row = (run, write, base, taken or {})
     mark = spark.createDataFrame([row], "run long, write string, base long, taken map<string,string>")
     mark.coalesce(1).write.mode("append").parquet(f"{root}/runs")
@@ -138,17 +138,17 @@ class RunTaken(RuntimeError):
     """Another writer finished or began the run in the meantime."""
 
 
-def _files(spark: SparkSession, path: str) -> tuple:
+def files_of(spark: SparkSession, path: str) -> tuple:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
-def _claim_run(spark: SparkSession, root: str, run: int, seen: int | None) -> None:
+def claim_run(spark: SparkSession, root: str, run: int, seen: int | None) -> None:
     """Take the run's number by a file that only one writer can create."""
     newest = max((m["run"] for m in history_runs(spark, root)), default=0)
     if newest >= run or (seen is not None and newest != seen):
         raise RunTaken(f"run {newest} of {root} was finished while run {run} was made")
-    files, claim = _files(spark, f"{root}/claims/run={run}")
+    files, claim = files_of(spark, f"{root}/claims/run={run}")
     if not files.createNewFile(claim):
         raise RunTaken(f"run {run} of {root} was begun by another writer")
 
@@ -159,7 +159,7 @@ def next_run(spark: SparkSession, root: str) -> tuple[int, int]:
     A number whose writer crashed before its run was marked stays unused.
     """
     seen = max((m["run"] for m in history_runs(spark, root)), default=0)
-    files, folder = _files(spark, f"{root}/claims")
+    files, folder = files_of(spark, f"{root}/claims")
     claimed = [int(f.getPath().getName().removeprefix("run=")) for f in files.listStatus(folder)] if files.exists(folder) else []
     return max([seen, *claimed]) + 1, seen
 
@@ -186,7 +186,8 @@ def taken_states(spark: SparkSession, root: str) -> dict[str, str]:
     return states
 
 
-def _counting(marks: list) -> list:
+def counting(marks: list) -> list:
+    """The newest base and the runs after it."""
     return [m for m in marks if m["run"] >= marks[-1]["base"]]
 
 
@@ -216,26 +217,26 @@ def read_history(spark: SparkSession, root: str) -> DataFrame | None:
     nothing is joined.
     """
     marks = history_runs(spark, root)
-    return _history_rows(spark, root, _counting(marks)) if marks else None
+    return _history_rows(spark, root, counting(marks)) if marks else None
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     """The current rows as of the newest finished run; reads current partitions only."""
     marks = history_runs(spark, root)
-    return _history_rows(spark, root, _counting(marks), F.col("is_current") == "true") if marks else None
+    return _history_rows(spark, root, counting(marks), F.col("is_current") == "true") if marks else None
 
 
 def compact_history(spark: SparkSession, root: str) -> None:
     """Write the whole history as a new base, so that reading joins nothing."""
     marks = history_runs(spark, root)
-    if len(_counting(marks)) > 1:
+    if len(counting(marks)) > 1:
         run, seen = next_run(spark, root)
         write_history_run(read_history(spark, root), root, run, seen=seen)
 
 
 def vacuum_history(spark: SparkSession, root: str) -> int:
     """Remove folders of writes that do not count any more; returns how many. Nobody may be reading or writing."""
-    kept = {m["write"] for m in _counting(history_runs(spark, root))}
+    kept = {m["write"] for m in counting(history_runs(spark, root))}
     removed = 0
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for folder in ("rows/is_current=true", "rows/is_current=false", "touched"):

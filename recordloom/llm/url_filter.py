@@ -40,26 +40,39 @@ def _places(key: Column, blocks: int) -> tuple[Column, list[Column]]:
     return F.pmod(first, F.lit(blocks)), masks
 
 
-def bloom_filter(keys: DataFrame, key: str, blocks: int) -> DataFrame:
-    """One row: `words`, the bits of all blocks in order."""
+def bloom_filter(keys: DataFrame, key: str, blocks: int) -> bytes:
+    """The bits of all blocks in order, 32 bytes each.
+
+    Each block is made by itself, and the bytes of at most MOST_BLOCKS blocks are strung together.
+    """
     block, masks = _places(F.col(key), blocks)
     bits = keys.select(block.alias("block"), *[m.alias(f"w{i}") for i, m in enumerate(masks)])
     filled = bits.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
-    by_block = filled.select(F.struct("block", F.array(*[f"w{i}" for i in range(WORDS)]).alias("words")).alias("entry"))
-    # At most MOST_BLOCKS entries, each once.
-    filled_map = by_block.agg(F.map_from_entries(F.collect_list("entry")).alias("known"))
-    every = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
-    empty = F.array(*[F.lit(0).cast("long")] * WORDS)
-    return filled_map.select(F.flatten(F.transform(every, lambda b: F.coalesce(F.try_element_at("known", b), empty))).alias("words"))
+    every = keys.sparkSession.range(blocks).select(F.col("id").alias("block")).join(filled, "block", "left")
+    digits = F.concat(*[F.lpad(F.hex(F.coalesce(f"w{i}", F.lit(0).cast("long"))), 16, "0") for i in range(WORDS)])
+    in_order = F.array_sort(F.collect_list(F.struct("block", digits.alias("digits"))))
+    return bytes(every.agg(F.unhex(F.array_join(F.transform(in_order, lambda b: b["digits"]), ""))).first()[0])
 
 
 def may_hold(words: Column, key: Column, blocks: int) -> Column:
-    """False only if no such key went into the filter."""
+    """False only if no such key went into the filter; later words are looked at only where the earlier ones fit."""
     block, masks = _places(key, blocks)
-    hits = [F.get(words, (block * WORDS + i).cast("int")).bitwiseAND(m) == m for i, m in enumerate(masks)]
+    at = (block * (8 * WORDS) + 1).cast("int")
+    word = [F.conv(F.hex(F.substring(words, at + 8 * i, F.lit(8))), 16, -10).cast("long") for i in range(WORDS)]
+    hits = [w.bitwiseAND(m) == m for w, m in zip(word, masks, strict=True)]
     return hits[0] & hits[1] & hits[2] & hits[3]
 
 
+def _candidates(labels: list[int], lengths: list[int]) -> Column:
+    """Each of the host's last labels with each beginning of the path, as far as the URL reaches."""
+    listed = lambda numbers: f"cast(array({', '.join(map(str, numbers))}) as array<int>)"
+    return F.expr(
+        f"flatten(transform(filter({listed(labels)}, k -> k <= size(split(host, '[.]'))), "
+        f"k -> transform(filter({listed(lengths)}, n -> n <= length(path)), "
+        "n -> concat(substring_index(host, '.', -k), substring(path, 1, n)))))"
+    )
+
+
 def judge_urls(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str = "url", unlisted: str = "allow") -> DataFrame:
     """page_id, host, path, rule and verdict for every row of `pages`.
 
@@ -67,7 +80,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url
     subdomains when the URL's path starts with the rule's. The longest fitting rule wins, of equally long ones the one
     with the longer host. Without one, rule is null and the verdict `unlisted`: the URL is in no list. A null or
     malformed URL has an empty host and path and fits no rule. Repeated rows come back as often; other columns play no
-    part.
+    part. Only URLs that pass the filter are shuffled; the others are judged where they are read.
     """
     listed = stored(rules.select(F.concat("host", "path").alias("rule"), "host", "path", "verdict"))
     shape = listed.agg(
@@ -78,28 +91,19 @@ def judge_urls(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url
     host, path = host_and_path(url)
     parsed = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
     blocks = max(1, min(MOST_BLOCKS, -(-shape["n"] // ENTRIES_PER_BLOCK)))
-    tails = [F.substring_index("host", ".", -k) for k in shape["labels"]]
-    depth = F.size(F.split("host", "[.]"))
-    keys = [
-        F.when((depth >= k) & (F.length("path") >= length), F.concat(tail, F.substring("path", 1, length)))
-        for k, tail in zip(shape["labels"], tails, strict=True)
-        for length in shape["lengths"]
-    ]
-    filter_row = stored(bloom_filter(listed, "rule", blocks))
-    candidates = F.array_compact(F.array(*keys)) if keys else F.array().cast("array<string>")
-    # The filter is one row of at most 2 MiB, sent to every task.
-    probed = parsed.crossJoin(F.broadcast(filter_row)).withColumn(
-        "hits", F.filter(candidates, lambda key: may_hold(F.col("words"), key, blocks))
-    )
-    probed = probed.drop("words")
-    hit = probed.select("page_id", "host", "path", F.posexplode_outer("hits").alias("at", "key"))
+    # At most 2 MiB, a constant of the plan: rows do not carry it.
+    words = F.lit(bloom_filter(listed, "rule", blocks))
+    candidates = _candidates(shape["labels"], shape["lengths"])
+    probed = parsed.withColumn("hits", F.filter(candidates, lambda key: may_hold(words, key, blocks)))
+    none = F.lit(None).cast("string")
+    passed = probed.filter(F.size("hits") == 0).select("page_id", "host", "path", none.alias("rule"), F.lit(unlisted).alias("verdict"))
+    hit = probed.filter(F.size("hits") > 0).select("page_id", "host", "path", F.posexplode("hits").alias("at", "key"))
     joined = hit.join(listed.select(F.col("rule").alias("key"), "verdict"), "key", "left")
     found = F.when(F.col("verdict").isNotNull(), F.struct(F.length("key").alias("n"), F.col("host_part"), F.col("key"), F.col("verdict")))
     joined = joined.withColumn("host_part", F.length(F.substring_index("key", "/", 1)))
-    best = joined.groupBy("page_id", "host", "path").agg(
-        F.max(found).alias("best"), F.count_if(F.coalesce("at", F.lit(0)) == 0).alias("times")
-    )
+    best = joined.groupBy("page_id", "host", "path").agg(F.max(found).alias("best"), F.count_if(F.col("at") == 0).alias("times"))
     each = best.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
-    return each.select(
+    judged = each.select(
         "page_id", "host", "path", F.col("best.key").alias("rule"), F.coalesce("best.verdict", F.lit(unlisted)).alias("verdict")
     )
+    return judged.unionByName(passed)

@@ -401,6 +401,45 @@ ORACLES: dict[str, str] = {
     "customer_code_set": f"with {DIAGNOSES} {CODE_KPIS}",
     "customer_item_kpis": f"with {MEASURES} {MEASURE_KPIS}",
     "patient_summary": f"with {DIM}, {VISITS}, {DIAGNOSES}, {MEASURES} {SUMMARY}",
+    "feed_link_chains": """
+        with recursive ordered as (
+            select o_custkey % 3 as feed_group, o_custkey, o_orderkey,
+                   lead(o_orderkey) over mine as following,
+                   first_value(o_orderkey) over (partition by o_custkey order by o_orderdate, o_orderkey) as opening,
+                   first_value(o_orderkey) over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as closing
+            from orders window mine as (partition by o_custkey order by o_orderdate, o_orderkey)
+        ), nodes as (
+            select feed_group, cast(o_orderkey as varchar) as url, cast(case
+                       when o_orderkey % 10 = 3 then nullif(closing, o_orderkey)
+                       when o_custkey % 4 = 0 and following is null then opening
+                       else following end as varchar) as next_url
+            from ordered where o_orderkey % 17 <> 0
+        ), edges as (
+            select a.feed_group, a.url, a.next_url from nodes a join nodes b on a.feed_group = b.feed_group and a.next_url = b.url
+        ), reached as (
+            select feed_group, url as origin, url from nodes
+            union
+            select r.feed_group, r.origin, e.next_url from reached r join edges e on r.feed_group = e.feed_group and r.url = e.url
+        ), on_cycle as (
+            select e.feed_group, e.url from edges e
+            join reached r on r.feed_group = e.feed_group and r.origin = e.next_url and r.url = e.url
+        ), cyclic as (
+            select r.feed_group, r.origin as url, min(r.url) as least from reached r join on_cycle c using (feed_group, url)
+            group by r.feed_group, r.origin
+        ), tails as (
+            select r.feed_group, r.origin as url, n.url as tail, n.next_url as missing
+            from reached r join nodes n using (feed_group, url) anti join edges e using (feed_group, url)
+        ), lengths as (select feed_group, origin as url, count(*) - 1 as steps from reached group by all),
+        ranked as (
+            select n.feed_group, n.url, coalesce(t.tail, c.least) as "end",
+                   case when c.least is not null then 'cycle' when t.missing is null then 'complete' else 'broken' end as ending,
+                   t.missing, case when c.least is null then l.steps end as steps,
+                   not exists (select 1 from nodes p where p.feed_group = n.feed_group and p.next_url = n.url and p.url <> n.url) as head
+            from nodes n left join tails t using (feed_group, url) left join cyclic c using (feed_group, url)
+            join lengths l using (feed_group, url)
+        )
+        select feed_group, "end", ending, missing, count(*) as pages, max(steps) as longest, count_if(head) as heads, 0 as forks
+        from ranked group by all""",
     "patient_summary_by_runs": f"with {DIM}, {VISITS}, {DIAGNOSES}, {MEASURES} {SUMMARY}",
     "gold_view_counts": f"""
         with {DIM}, {VISITS}, {DIAGNOSES}, {MEASURES}

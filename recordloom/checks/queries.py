@@ -8,10 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordloom.functions.columns import age_years, reference_key, span_hours, trimmed
+from recordloom.operators import chains
 from recordloom.operators import history as h
 from recordloom.operators.audit import audit_pages, day_totals
 from recordloom.operators.bundles import LINEAGE, rejected_pages
@@ -204,6 +205,26 @@ def audit_day_totals(spark, folder):
     return day_totals(audit_pages(_damaged_pages(spark, folder)))
 
 
+@query
+def feed_link_chains(spark, folder):
+    """Orders as pages that link to the next one of their customer, with breaks, cycles and shortcuts."""
+    orders = _table(spark, folder, "orders")
+    mine = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    whole = mine.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    following = (
+        F.when(F.col("o_orderkey") % 10 == 3, F.nullif(F.last("o_orderkey").over(whole), "o_orderkey"))
+        .when((F.col("o_custkey") % 4 == 0) & F.lead("o_orderkey").over(mine).isNull(), F.first("o_orderkey").over(whole))
+        .otherwise(F.lead("o_orderkey").over(mine))
+    )
+    linked = orders.select(
+        (F.col("o_custkey") % 3).alias("feed_group"),
+        F.col("o_orderkey").cast("string").alias("url"),
+        following.cast("string").alias("next_url"),
+    )
+    landed = linked.filter("cast(url as long) % 17 <> 0")
+    return chains.feeds(chains.ranked_pages(landed, ["feed_group"]), ["feed_group"])
+
+
 @query
 def rejected_pages_report(spark, folder):
     lost = rejected_pages(_damaged_pages(spark, folder))

@@ -25,6 +25,7 @@ from recordloom.session import stored
 REPEAT_LIMIT = 1.25
 BLOCK_DOCUMENTS = 1000
 SEED = 17
+SLICE_BITS = 18  # of a block's place: a source has at most 2^18 slices
 LEVELS = 5  # of bisection per job
 JOBS = 8
 
@@ -108,10 +109,15 @@ def mix_plan(counted: DataFrame, budget_tokens: int | None = None, entropy: floa
     keyed = sized.join(weights.select("source", "blocks"), "source").withColumn("block", _block())
     totals = keyed.groupBy("source", "block").agg(F.sum("n_tokens").alias("block_tokens"))
     totals = stored(totals.withColumn("place", _place()))
-    # Two levels of sums: a source has a thousandth as many blocks as documents.
+    # Sums in two levels, so that no task holds all blocks of a source: over slices of the places, then in the cut slice.
+    totals = totals.withColumn("slice", F.shiftright("place", 64 - SLICE_BITS))
+    slices = totals.groupBy("source", "slice").agg(F.sum("block_tokens").alias("slice_tokens"))
+    over_slices = F.sum("slice_tokens").over(Window.partitionBy("source").orderBy("slice")) - F.col("slice_tokens")
+    slices = slices.withColumn("start", over_slices).join(weights.select("source", "rest"), "source")
+    slices = slices.filter("start <= rest and rest < start + slice_tokens").select("source", "slice", "start", "rest")
     along = Window.partitionBy("source").orderBy("place", "block")
-    before = F.sum("block_tokens").over(along) - F.col("block_tokens")
-    cut = totals.withColumn("before", before).join(weights.select("source", "rest"), "source")
+    before = F.col("start") + F.sum("block_tokens").over(along) - F.col("block_tokens")
+    cut = totals.join(stored(slices), ["source", "slice"]).withColumn("before", before)
     cut = stored(cut.filter("before <= rest and rest < before + block_tokens"))
     inside = keyed.join(cut.select("source", "block", "before", "rest"), ["source", "block"])
     by_key = inside.groupBy("source", "block", "before", "rest", _key("order").alias("key")).agg(F.sum("n_tokens").alias("n_tokens"))
@@ -133,9 +139,10 @@ def _place() -> Column:
 
 
 def mixed(documents: DataFrame, plan: DataFrame) -> DataFrame:
-    """`documents` as often as the plan takes each, with `mix_pass` (from 0) and `mix_block`.
+    """`documents` as often as the plan takes each, with `mix_pass` (from 0), `mix_block`, `mix_place` and `mix_order`.
 
-    Documents without tokens take no part and are left out. A null source is a source of its own. Rows that repeat a
+    A pass goes through a source's blocks by (mix_place, mix_block) and through a block's documents by mix_order, so
+    sorting by these follows the permutation. Equal doc_ids share a mix_order. Documents without tokens take no part and are left out. A null source is a source of its own. Rows that repeat a
     doc_id are taken or left together in the last pass.
     """
     side = plan.select(F.col("source").alias("_source"), "passes", "blocks", "last_place", "last_block", "last_key")
@@ -145,13 +152,14 @@ def mixed(documents: DataFrame, plan: DataFrame) -> DataFrame:
     earlier = (place < F.col("last_place")) | ((place == F.col("last_place")) & (block < F.col("last_block")))
     partly = (block == F.col("last_block")) & (_key("order") < F.coalesce("last_key", F.lit((1 << 63) - 1)))
     times = F.col("passes") + F.coalesce(earlier | partly, F.lit(False)).cast("long")
-    rows = joined.withColumns({"mix_block": block, "times": times}).filter("times > 0")
+    rows = joined.withColumns({"mix_block": block, "mix_place": place, "mix_order": _key("order"), "times": times})
+    rows = rows.filter("times > 0")
     rows = rows.withColumn("mix_pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
     return rows.drop("_source", "passes", "blocks", "last_place", "last_block", "last_key", "times")
 
 
 def mixture(documents: DataFrame, **target) -> DataFrame:
-    """doc_id, source, n_tokens, mix_pass, mix_block and the source's weight: one row for each time a document is taken."""
+    """One row for each time a document is taken: doc_id, source, n_tokens, the columns of `mixed`, the source's weight."""
     counted = stored(documents.select("doc_id", "source", token_counts("text").alias("n_tokens")))
     plan = mix_plan(counted, **target)
     taken = mixed(counted.filter("n_tokens > 0"), plan)

@@ -491,6 +491,32 @@ def test_mixing_meets_limit_and_budget(spark):
     assert abs(sum(by_source.values()) - total) < 90 * len(plan)
 
 
+@pytest.mark.parametrize("slice_bits", [1, 18])
+def test_mixing_follows_its_permutation(spark, monkeypatch, slice_bits):
+    """Who is taken, and how often, against running sums along the returned places; many blocks in a slice and few."""
+    monkeypatch.setattr(mixing, "BLOCK_DOCUMENTS", 20)
+    monkeypatch.setattr(mixing, "SLICE_BITS", slice_bits)
+    rng = np.random.default_rng(7)
+    rows = [(i // 2 if i < 40 else i, [None, "a", "b", "b", "b"][i % 5], int(rng.integers(0, 60))) for i in range(1500)]
+    df = ready(spark).createDataFrame(rows, "doc_id long, source string, n_tokens long").filter("n_tokens > 0")
+    plan = mixing.mix_plan(df, repeats=1.6)
+    none = F.lit(None).cast("long")
+    whole = plan.withColumns({"passes": F.lit(1).cast("long"), "last_place": none, "last_block": none, "last_key": none})
+    steps = {}
+    for r in mixing.mixed(df, whole).collect():
+        place = (r["mix_place"], r["mix_block"], r["mix_order"])
+        steps.setdefault(r["source"] or "", {}).setdefault(place, []).append((r["doc_id"], r["n_tokens"]))
+    want = Counter()
+    for p in plan.collect():
+        upto, rest = 0, p["quota"] - p["passes"] * p["n_tokens"]
+        for _, together in sorted(steps[p["source"]].items()):
+            upto += sum(n for _, n in together)
+            for doc, n in together:
+                want[(p["source"], doc, n)] += p["passes"] + (upto <= rest)
+    got = Counter((r["source"] or "", r["doc_id"], r["n_tokens"]) for r in mixing.mixed(df, plan).collect())
+    assert got == +want
+
+
 def test_mixing_odd_rows(documents, empty):
     kept = mixing.keep_mixed(documents)
     assert kept.columns == documents.columns and kept.filter("text is null or text = ''").isEmpty()
@@ -499,7 +525,7 @@ def test_mixing_odd_rows(documents, empty):
 
 HELPERS = (
     "counts kept base_failed distance2 v0 v1 v2 v3 m0 p00 d2 key group_lang language lang_pred score per_letter letters document "
-    "passes times mix_block mix_pass blocks last_place last_block last_key _source rest weight quota n_tokens "
+    "passes times mix_block mix_pass mix_place mix_order blocks last_place last_block last_key _source rest weight quota n_tokens "
     "set_id component_id label owner row hash n_shingles"
 ).split()
 

@@ -288,6 +288,36 @@ ORACLES: dict[str, str] = {
                case when c_custkey % 2 = 0 then date '2024-01-02' else date '2024-01-03' end as ingestion_date,
                case when c_custkey % 10 <> 9 then c_name end as name_text,
                cast(c_custkey % 2 as int) as batch from customer""",
+    "stream_unique_versions": """
+        select cast(o_orderkey as varchar) as resource_id, '1' as meta_version_id, date '2024-01-02' as ingestion_date,
+               o_orderstatus as status, cast(0 as int) as batch from orders
+        union all
+        select cast(o_orderkey as varchar), '2', date '2024-01-03', o_orderstatus, cast(1 as int) from orders
+        where o_orderstatus = 'F'""",
+    "variant_flatten_lineitem": f"select * exclude (moment) from ({OBSERVATION_ROWS})",
+    "schema_drift_orders": """
+        with found as (
+            select date '2024-01-02' as ingestion_date, 'priority' as path, null as declared, 'object' as found,
+                   count(*) filter (o_orderkey % 3 = 0) as records from orders
+            union all select date '2024-01-02', 'subject.display', null, 'string', count(*) filter (o_orderkey % 5 = 0) from orders
+            union all select date '2024-01-02', 'type[].userSelected', null, 'boolean', count(*) from orders
+            union all select date '2024-01-03', 'status', 'string', 'array', count(*) from orders
+            union all select date '2024-01-03', 'period', 'object', 'number', count(*) from orders)
+        select 'Encounter' as resource_type, *, case when declared is null then 'unknown' else 'retyped' end as drift
+        from found where records > 0""",
+    "layer_balance_orders": """
+        with sent as (
+            select date '2024-01-02' as ingestion_date, o_orderkey, 'record' as kind from orders where o_orderkey % 2 = 0
+            union all
+            select date '2024-01-03', o_orderkey, case when o_orderkey % 11 = 0 then 'empty' when o_orderkey % 7 = 0 then 'blank'
+                   else 'record' end from orders
+        ), ranked as (select *, row_number() over (partition by o_orderkey, kind order by ingestion_date) as place from sent)
+        select 'Encounter' as resource_type, ingestion_date, cast(0 as bigint) as pages_in_error, count(*) as entries,
+               count(*) as written, count(*) filter (kind = 'empty') as without_resource,
+               count(*) filter (kind = 'blank') as blank_ids, count(*) filter (kind = 'record' and place > 1) as repeats,
+               count(*) filter (kind = 'record' and place = 1) as kept, cast(0 as bigint) as unaccounted,
+               cast(0 as bigint) as ids_missing
+        from ranked group by ingestion_date""",
     "bronze_merge_schema_append": f"""
         select cast(o_orderkey as varchar) as resource_id,
                case when o_orderdate >= {CUT} then o_orderpriority end as type_code,

@@ -18,15 +18,18 @@ from recordloom.operators.audit import audit_pages, day_totals
 from recordloom.operators.bundles import LINEAGE, rejected_pages
 from recordloom.operators.changes import detect_changes, rows_to_write
 from recordloom.operators.cleaning import deliveries, first_deliveries
+from recordloom.operators.drift import schema_drift
 from recordloom.operators.landing import land_pages, to_pages
 from recordloom.operators.metrics import layer_metrics
+from recordloom.operators.raw import flatten_raw, raw_records
 from recordloom.plans import daily, marts, summary
 from recordloom.session import new_folder, pin, stored
 from recordloom.sources import star_tables as star
 from recordloom.sources import tables as store
-from recordloom.sources.pages import in_window, read_pages
+from recordloom.sources.pages import in_window, read_page_texts, read_pages
 from recordloom.specs import CONDITION, ENCOUNTER, OBSERVATION, PATIENT, RESOURCES, spec_for
 from recordloom.streaming.pages import ingest_available
+from recordloom.streaming.unique import ingest_unique
 
 FIRST_RUN = datetime(2024, 2, 1, tzinfo=timezone.utc)
 SECOND_RUN = datetime(2024, 2, 2, tzinfo=timezone.utc)
@@ -244,6 +247,66 @@ def pages_stream_available_now(spark, folder):
     return rows.select("resource_id", "ingestion_date", "name_text", "batch")
 
 
+@query
+def stream_unique_versions(spark, folder):
+    """Orders land, then all of them again on the next day with those of one status changed; each version reaches bronze once."""
+    landing, bronze, checkpoint = (new_folder(spark, n) for n in ("landing", "bronze", "progress"))
+    records = star.encounters(_table(spark, folder, "orders"))
+    status, meta = F.col("r.status"), F.col("r.meta")
+    changed = records.withColumn(
+        "r", F.when(status == "F", F.col("r").withField("meta", meta.withField("versionId", F.lit("2")))).otherwise(F.col("r"))
+    )
+    for day, delivered in (("2024-01-02", records), ("2024-01-03", changed)):
+        land_pages(delivered, landing, ENCOUNTER, day)
+        ingest_unique(spark, landing, bronze, checkpoint, ENCOUNTER)
+    return store.read_bronze(spark, bronze).select("resource_id", "meta_version_id", "ingestion_date", "status", "batch")
+
+
+@query
+def variant_flatten_lineitem(spark, folder):
+    """Whole records stored as VARIANT, then flat columns taken from the stored table."""
+    landing, root = new_folder(spark, "landing"), new_folder(spark, "raw")
+    records = star.observations(_table(spark, folder, "lineitem"), _table(spark, folder, "orders"))
+    land_pages(records, landing, OBSERVATION, star.DAY)
+    raw_records(read_page_texts(spark, landing, OBSERVATION, [star.DAY], one_per_line=True)).write.parquet(root)
+    return _flat(flatten_raw(spark.read.parquet(root), OBSERVATION))
+
+
+@query
+def schema_drift_orders(spark, folder):
+    """Orders with fields nobody declared, at the top, in an object and in an array, and with values of another kind."""
+    landing = new_folder(spark, "landing")
+    orders = _table(spark, folder, "orders")
+    number = F.expr("cast(split(full_url, ':')[2] as bigint)")
+    r = F.col("r")
+    some = lambda n, value: F.when(number % n == 0, value)
+    added = r.withField("priority", some(3, F.struct(number.alias("rank")))).withField(
+        "subject", r["subject"].withField("display", some(5, F.lit("name")))
+    )
+    shaped = added.withField("type", F.transform(r["type"], lambda t: t.withField("userSelected", F.lit(True))))
+    retyped = r.withField("status", F.array(r["status"])).withField("period", number)
+    for day, body in (("2024-01-02", shaped), ("2024-01-03", retyped)):
+        land_pages(star.encounters(orders).withColumn("r", body), landing, ENCOUNTER, day)
+    texts = read_page_texts(spark, landing, ENCOUNTER, ["2024-01-02", "2024-01-03"], one_per_line=True)
+    return schema_drift(raw_records(texts), ENCOUNTER)
+
+
+@query
+def layer_balance_orders(spark, folder):
+    """Two days of orders, the second with those of the first again, blank ids, and entries without a resource."""
+    landing, bronze, silver, log = (new_folder(spark, n) for n in ("landing", "bronze", "silver", "log"))
+    orders = _table(spark, folder, "orders")
+    records = star.encounters(orders)
+    number = F.expr("cast(split(full_url, ':')[2] as bigint)")
+    blank = F.col("r").withField("id", F.lit("  "))
+    second = F.when(number % 11 == 0, F.lit(None)).when(number % 7 == 0, blank).otherwise(F.col("r"))
+    for day, sent in (("2024-01-02", records.filter(number % 2 == 0)), ("2024-01-03", records.withColumn("r", second))):
+        land_pages(sent, landing, ENCOUNTER, day)
+        daily.ingest_day(spark, landing, bronze, log, ENCOUNTER, day)
+    daily.update_history(spark, bronze, silver, ENCOUNTER, FIRST_RUN)
+    return daily.balance_of(spark, bronze, log, silver, ENCOUNTER)
+
+
 @query
 def bronze_merge_schema_append(spark, folder):
     """A column that exists from the second day on, and a repeated second day."""

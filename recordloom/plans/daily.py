@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.operators.audit import audit_pages
+from recordloom.operators.balance import day_balance
 from recordloom.operators.bundles import flatten_bundles, rejected_pages
 from recordloom.operators.cleaning import deliveries
 from recordloom.operators.history import delta, first_load, merge, rebuild
@@ -27,10 +28,13 @@ from recordloom.sources.tables import (
     ids_of_states,
     next_run,
     read_bronze,
+    read_counts,
     read_current,
     read_history,
+    read_ingestion_log,
     taken_states,
     write_bronze,
+    write_counts,
     write_history_run,
     write_ingestion_log,
 )
@@ -64,11 +68,13 @@ def ingest_day(
     pages = stored(pages)  # parsed once: rows, log and rejects come from the same reading
     rows, counted = observed(flatten_bundles(pages, spec), f"{spec.bronze_table} {day}")
     write_bronze(rows, f"{bronze}/{spec.bronze_table}", day)
+    written = counted.get["total_rows"]
+    write_counts(spark, f"{bronze}/{spec.bronze_table}", spec.name, day, written)
     write_ingestion_log(audit_pages(pages), log)
     if rejects is not None:
         lost = rejected_pages(pages).drop("resource_type", "ingestion_date")
         lost.write.mode("overwrite").parquet(f"{rejects}/resource_type={spec.name}/ingestion_date={day}")
-    return counted.get["total_rows"]
+    return written
 
 
 def advance_history(
@@ -154,6 +160,14 @@ def update_history_in_run_time(spark: SparkSession, bronze: str, root: str, spec
     write_history_run(merge(mine, arriving, run_at), target, run, touched, taken=pending, seen=seen)
 
 
+def balance_of(spark: SparkSession, bronze: str, log: str, root: str, spec: ResourceSpec) -> DataFrame:
+    """Balance of all days of a resource type, from the stored log, counts, bronze and history."""
+    table = f"{bronze}/{spec.bronze_table}"
+    landed = read_ingestion_log(spark, log).filter(F.col("resource_type") == spec.name)
+    held = read_history(spark, f"{root}/{spec.silver_table}")
+    return day_balance(landed, read_bronze(spark, table, spec), spec, held, read_counts(spark, table))
+
+
 def read_histories(spark: SparkSession, root: str, specs: Iterable[ResourceSpec]) -> dict[str, DataFrame]:
     return {spec.name: read_history(spark, f"{root}/{spec.silver_table}") for spec in specs}
 

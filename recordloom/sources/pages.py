@@ -50,6 +50,14 @@ def read_pages(
     return _with_lineage(reader.json([landing_path(root, spec.name, d) for d in days]), spec)
 
 
+def read_page_texts(
+    spark: SparkSession, root: str, spec: ResourceSpec, days: Sequence[str], one_per_line: bool = False
+) -> DataFrame:
+    """The same pages as text in `value`, unparsed."""
+    reader = spark.read.option("wholetext", not one_per_line)
+    return _with_lineage(reader.text([landing_path(root, spec.name, d) for d in days]), spec)
+
+
 def stream_pages(
     spark: SparkSession,
     root: str,

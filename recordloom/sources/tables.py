@@ -87,6 +87,16 @@ def read_bronze(spark: SparkSession, root: str, spec: ResourceSpec | None = None
     return spark.read.schema(spec.bronze_ddl).parquet(root)
 
 
+def write_counts(spark: SparkSession, root: str, resource: str, day: str, rows: int) -> None:
+    """Keep how many rows were written of a day, in place of what was kept for it before."""
+    kept = spark.createDataFrame([(resource, day, rows)], "resource_type string, ingestion_date string, rows long")
+    write_partitions(kept.coalesce(1), f"{root}-counts", "resource_type", "ingestion_date")
+
+
+def read_counts(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema("rows long, resource_type string, ingestion_date date").parquet(f"{root}-counts")
+
+
 def empty_ingestion_log(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], INGESTION_LOG_DDL)
 

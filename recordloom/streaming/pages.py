@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,32 @@ from recordloom.sources.tables import read_bronze
 from recordloom.specs import ResourceSpec
 
 
+class Place(NamedTuple):
+    """Where a micro-batch is written: a partition named by its stream and its number."""
+
+    stream: str
+    batch: int
+
+    @property
+    def path(self) -> str:
+        return f"stream={self.stream}/batch={self.batch}"
+
+
+def batch_place(spark: SparkSession, checkpoint: str, batch: int) -> Place:
+    kept = spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+    return Place(kept, batch)
+
+
+def take_batch(
+    spark: SparkSession, bronze: str, history: str, spec: ResourceSpec, place: Place, run_at: datetime | None
+) -> None:
+    """Add the bronze rows of a micro-batch to the history, once."""
+    rows = read_bronze(spark, bronze, spec)
+    mine = (F.col("stream") == place.stream) & (F.col("batch") == place.batch)
+    arrived, before = (rows.filter(c).drop("stream", "batch") for c in (mine, ~mine))
+    advance_history(arrived, before, history, spec, {f"{place.stream}/{place.batch}": "done"}, run_at)
+
+
 def ingest_available(
     spark: SparkSession,
     landing: str,
@@ -42,19 +69,14 @@ def ingest_available(
     def store(pages: DataFrame, batch: int) -> None:
         session = pages.sparkSession
         pages = stored(pages)  # parsed once: rows, log and rejects come from the same reading
-        kept = session.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
-        place = f"stream={kept}/batch={batch}"
-        flatten_bundles(pages, spec).write.mode("overwrite").parquet(f"{bronze}/{place}")
+        place = batch_place(session, checkpoint, batch)
+        flatten_bundles(pages, spec).write.mode("overwrite").parquet(f"{bronze}/{place.path}")
         if log is not None:
-            audit_pages(pages).write.mode("overwrite").parquet(f"{log}/{place}")
+            audit_pages(pages).write.mode("overwrite").parquet(f"{log}/{place.path}")
         if rejects is not None:
-            rejected_pages(pages).write.mode("overwrite").parquet(f"{rejects}/{place}")
-        if history is None:
-            return
-        rows = read_bronze(session, bronze, spec)
-        mine = (F.col("stream") == kept) & (F.col("batch") == batch)
-        arrived, before = (rows.filter(c).drop("stream", "batch") for c in (mine, ~mine))
-        advance_history(arrived, before, history, spec, {f"{kept}/{batch}": "done"}, run_at)
+            rejected_pages(pages).write.mode("overwrite").parquet(f"{rejects}/{place.path}")
+        if history is not None:
+            take_batch(session, bronze, history, spec, place, run_at)
 
     pages = stream_pages(spark, landing, spec, one_per_line, files_per_batch)
     query = (

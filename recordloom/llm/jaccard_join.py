@@ -32,6 +32,7 @@ WORDS = 5
 FACTORS = np.array([3, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 ORDERS = 3
 FLUSH_TOKENS = 1 << 20  # packed per task before rows are written
+SLICE_TOKENS = 1 << 20  # about what a task holds at once of the tokens dealt to it
 BROADCAST_IDS = 1_000_000
 KNOWN_SETS = 1 << 20  # sets a task remembers, so that it sends copies once
 
@@ -149,16 +150,32 @@ def _unpacked(table: pa.Table):
     }
 
 
-def _whole(function):
-    """Run `function` on all rows of a partition at once; their number follows from the number of partitions."""
+def _by_bucket(function):
+    """Run `function` on all rows of one bucket at a time. A partition's rows are sorted by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if held := list(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            bucket = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1), len(bucket)]
+            for low, high in zip(edges[:-1], edges[1:], strict=True):
+                if held and high > low and held[0].column(0)[0].as_py() != bucket[low]:
+                    yield from function(pa.Table.from_batches(held)).to_batches()
+                    held = []
+                if high > low:
+                    held.append(batch.slice(low, high - low))
+        if held:
             yield from function(pa.Table.from_batches(held)).to_batches()
 
     return run
 
 
+def _dealt(packed: DataFrame, partitions: int, slices: int) -> DataFrame:
+    """Rows of a bucket in one partition, and bucket by bucket there."""
+    spread = packed.repartitionById(partitions, F.col("bucket") % partitions)
+    return spread.sortWithinPartitions("bucket") if slices > 1 else spread
+
+
 def _count(buckets: int):
     def run(table: pa.Table) -> pa.Table:
         flat = _unpacked(table)
@@ -205,7 +222,8 @@ def _prefixes(table: pa.Table) -> pa.Table:
     flat = _unpacked(table)
     order = np.argsort(flat["owner"], kind="stable")
     owner, size, tokens, df = (flat[c][order] for c in ("owner", "size", "tokens", "df"))
-    rows = []
+    names = ["set_id", "n", "central", "tokens", "first"] + [f"order{k}" for k in range(1, ORDERS)]
+    own_values, lists, places = [], [[] for _ in range(ORDERS + 1)], []
     starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else []
     for low, high in zip(starts, np.append(starts, len(owner))[1:], strict=True):
         n, own = int(size[low]), int(size[low]) - int(high - low)
@@ -213,21 +231,34 @@ def _prefixes(table: pa.Table) -> pa.Table:
         if own >= length:  # the whole prefix is this text's own
             continue
         t, f = tokens[low:high], df[low:high]
-        ranked = [t[np.lexsort(_order_key(k, t, f))[: length - own]] for k in range(ORDERS)]
-        first = [{"token": int(x), "pos": own + at} for at, x in enumerate(ranked[0])]
-        rows.append((int(owner[low]), n, float(np.log2(f).sum() / n), np.sort(t), first, *ranked[1:]))
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(_CANDIDATE_TYPES)
-    names = ["set_id", "n", "central", "tokens", "first"] + [f"order{k}" for k in range(1, ORDERS)]
-    return pa.Table.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _CANDIDATE_TYPES, strict=True)], names)
-
-
-def candidate_classes(documents: DataFrame, text: str = "text", buckets: int | None = None) -> DataFrame:
-    """Classes that may have a near copy, with the tokens they share with any other and their prefixes."""
+        for k in range(ORDERS):
+            lists[k].append(t[np.lexsort(_order_key(k, t, f))[: length - own]])
+        lists[ORDERS].append(np.sort(t))
+        places.append(np.arange(own, own + len(lists[0][-1]), dtype=np.int32))
+        own_values.append((int(owner[low]), n, float(np.log2(f).sum() / n)))
+    if not own_values:
+        return pa.table({n: pa.array([], t) for n, t in zip(names, _CANDIDATE_TYPES, strict=True)})
+    first, *others, whole = [_lists(np.concatenate(parts), [len(x) for x in parts], pa.int64()) for parts in lists]
+    entries = pa.StructArray.from_arrays([first.values, pa.array(np.concatenate(places))], fields=list(_STRUCTS.value_type))
+    scalars = [pa.array(list(c), t) for c, t in zip(zip(*own_values, strict=True), _CANDIDATE_TYPES[:3], strict=True)]
+    return pa.Table.from_arrays([*scalars, whole, pa.ListArray.from_arrays(first.offsets, entries), *others], names)
+
+
+def candidate_classes(
+    documents: DataFrame, text: str = "text", buckets: int | None = None, shingles: int = 0
+) -> DataFrame:
+    """Classes that may have a near copy, with the tokens they share with any other and their prefixes.
+
+    `shingles` is about how many tokens all sets have. Tokens are dealt to `buckets` partitions, and within each to as many
+    slices as keep one near SLICE_TOKENS, so that what a task holds does not grow with the input.
+    """
     spark = documents.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(1, -(-shingles // (partitions * SLICE_TOKENS)))
+    buckets = partitions * slices
     packed = documents.select(F.col(text).cast("binary").alias("text")).mapInArrow(_token_rows(buckets), PACKED)
-    shared = packed.repartitionById(buckets, F.col("bucket")).mapInArrow(_whole(_count(buckets)), SHARED)
-    return stored(shared.repartitionById(buckets, F.col("bucket")).mapInArrow(_whole(_prefixes), CANDIDATES))
+    shared = _dealt(packed, partitions, slices).mapInArrow(_by_bucket(_count(buckets)), SHARED)
+    return stored(_dealt(shared, partitions, slices).mapInArrow(_by_bucket(_prefixes), CANDIDATES))
 
 
 def need(n: Column | str, m: Column | str) -> Column:
@@ -332,7 +363,8 @@ def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 def _components(known: DataFrame, documents: DataFrame, text: str, buckets: int | None) -> DataFrame:
     """set_id, label and the least row (no_id, doc_id, set_id) per class of a component of two rows or more."""
-    joined = class_components(candidate_classes(documents, text, buckets))
+    shingles = known.agg(F.sum("n_shingles")).first()[0] or 0
+    joined = class_components(candidate_classes(documents, text, buckets, shingles))
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "set_id")
     names = known.filter("set_id is not null").groupBy("set_id").agg(F.min(row).alias("least"), F.count("*").alias("copies"))
     names = stored(names.join(joined.withColumnsRenamed({"id": "set_id"}), "set_id", "left").filter("copies > 1 or label is not null"))

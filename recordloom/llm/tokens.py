@@ -10,6 +10,8 @@ import os
 import unicodedata
 from array import array
 
+import pyarrow as pa
+
 CACHED_WORDS = 600_000
 LONGEST_CACHED = 48
 
@@ -81,3 +83,4 @@ def forget() -> None:
     """Drop the cached words of this worker: for tasks of other kinds, which run in the same workers and need the memory."""
     for words in _tokenizers.values():
         words.clear()
+    pa.default_memory_pool().release_unused()

@@ -290,9 +290,9 @@ ORACLES: dict[str, str] = {
                cast(c_custkey % 2 as int) as batch from customer""",
     "stream_unique_versions": """
         select cast(o_orderkey as varchar) as resource_id, '1' as meta_version_id, date '2024-01-02' as ingestion_date,
-               o_orderstatus as status, cast(0 as int) as batch from orders
+               o_orderstatus as status from orders
         union all
-        select cast(o_orderkey as varchar), '2', date '2024-01-03', o_orderstatus, cast(1 as int) from orders
+        select cast(o_orderkey as varchar), '2', date '2024-01-03', o_orderstatus from orders
         where o_orderstatus = 'F'""",
     "variant_flatten_lineitem": f"select * exclude (moment) from ({OBSERVATION_ROWS})",
     "schema_drift_orders": """

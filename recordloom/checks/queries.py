@@ -259,7 +259,7 @@ def stream_unique_versions(spark, folder):
     for day, delivered in (("2024-01-02", records), ("2024-01-03", changed)):
         land_pages(delivered, landing, ENCOUNTER, day)
         ingest_unique(spark, landing, bronze, checkpoint, ENCOUNTER)
-    return store.read_bronze(spark, bronze).select("resource_id", "meta_version_id", "ingestion_date", "status", "batch")
+    return store.read_bronze(spark, bronze).select("resource_id", "meta_version_id", "ingestion_date", "status")
 
 
 @query

@@ -1,7 +1,8 @@
 """Feeds as chains of pages: where each page's next links lead, found by list ranking with doubled pointers.
 
 Each round every page that has not reached an end looks up where the page it points to points, so pointers double their
-reach: a feed of n pages takes log2(n) joins on the URL, however the pages were named, numbered or landed.
+reach: a feed of n pages takes log2(n) joins on the URL, however the pages were named, numbered or landed. Rounds follow the
+longest feed, also where feeds go round, and not the number of pages.
 """
 
 from __future__ import annotations
@@ -50,10 +51,10 @@ def ranked_pages(links: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
         found.cast("long").alias("steps"),
         F.col("url").alias("least"),
         found.alias("going"),
+        F.lit(True).alias("lowered"),
     )
-    frames, reach = [stored(pointers)], 1
-    most = frames[0].filter("going").count()  # no way without a cycle is longer
-    while reach <= most and not frames[-1].filter("going").isEmpty():
+    frames = [stored(pointers)]
+    while not frames[-1].filter("going").isEmpty() and not _all_round(frames, by):
         going, ended = frames[-1].filter("going"), [f.filter("not going") for f in frames]
         ahead = reduce(DataFrame.unionByName, [*ended, going]).select(
             *by, F.col("url").alias("at"), *[F.col(c).alias(f"{c}_ahead") for c in ("at", "steps", "least", "going")]
@@ -65,9 +66,9 @@ def ranked_pages(links: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
             (F.col("steps") + F.col("steps_ahead")).alias("steps"),
             F.least("least", "least_ahead").alias("least"),
             F.col("going_ahead").alias("going"),
+            (F.col("least_ahead") < F.col("least")).alias("lowered"),
         )
         frames.append(stored(moved))
-        reach *= 2
     # What still goes on points into a cycle, and has seen all of it; the page pointed to has seen nothing else.
     endless = frames[-1].filter("going")
     around = endless.select(*by, F.col("url").alias("at"), F.col("least").alias("end"))
@@ -84,6 +85,18 @@ def ranked_pages(links: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
     return ranked.withColumn("head", F.coalesce("head", F.lit(True)))
 
 
+def _all_round(frames: Sequence[DataFrame], by: Sequence[str]) -> bool:
+    """Whether all that still goes on goes round, and has seen the least URL of its cycle.
+
+    The pages pointed to get fewer each round until only those of cycles are left. Once none of them has found a lesser URL
+    in a round, no cycle is longer than what each has seen.
+    """
+    if len(frames) == 1 or not frames[-1].filter("going and lowered").isEmpty():
+        return False
+    before, now = (f.filter("going").select(*by, "at").distinct().count() for f in frames[-2:])
+    return before == now
+
+
 def feeds(ranked: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
     """One row per feed: its end, pages, steps of its longest way, beginnings, and URLs that landed with different links.
 

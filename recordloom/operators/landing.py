@@ -33,6 +33,12 @@ def with_row_index(df: DataFrame) -> DataFrame:
     return joined.withColumn("index", F.col("_start") + in_part).drop("_at", "_part", "_start")
 
 
+def entry_texts(records: DataFrame) -> DataFrame:
+    """Records (`full_url`, `r`) as the JSON text of their bundle entries, in `entry`; narrow."""
+    entry = F.struct(F.col("full_url").alias("fullUrl"), F.col("r").alias("resource"))
+    return records.select(F.to_json(entry).alias("entry"))
+
+
 def to_pages(
     records: DataFrame, spec: ResourceSpec, page_size: int = PAGE_SIZE, base_url: str = BASE_URL
 ) -> DataFrame:
@@ -41,13 +47,15 @@ def to_pages(
     All pages but the last are full, and each but the last links to the next. See with_row_index for
     what `records` must hold to.
     """
+    return paged(entry_texts(records), spec, page_size, base_url)
+
+
+def paged(entries: DataFrame, spec: ResourceSpec, page_size: int = PAGE_SIZE, base_url: str = BASE_URL) -> DataFrame:
+    """The same from `entry_texts`: records are stored, sorted and shuffled as text, and written as it."""
     url = f"{base_url}/{spec.name}?_count={page_size}&page="
-    numbered = with_row_index(records.select("full_url", "r")).withColumn(
-        "page_number", F.floor(F.col("index") / page_size) + 1
-    )
-    entry = F.struct("index", F.col("full_url").alias("fullUrl"), F.col("r").alias("resource"))
+    numbered = with_row_index(entries).withColumn("page_number", F.floor(F.col("index") / page_size) + 1)
     pages = numbered.groupBy("page_number").agg(
-        F.collect_list(entry).alias("entries"), F.ceil(F.max("total") / page_size).alias("pages")
+        F.collect_list(F.struct("index", "entry")).alias("entries"), F.ceil(F.max("total") / page_size).alias("pages")
     )
 
     def link(relation, number):
@@ -56,15 +64,16 @@ def to_pages(
     number = F.col("page_number")
     here, onward = link("self", number), link("next", number + 1)
     in_order = F.array_sort("entries")  # by index, the first field
-    bundle = F.struct(
-        F.lit("Bundle").alias("resourceType"),
-        F.format_string("page_%04d", number).alias("id"),
-        F.when(number < F.col("pages"), F.array(here, onward)).otherwise(F.array(here)).alias("link"),
-        F.transform(in_order, lambda e: F.struct(e["fullUrl"].alias("fullUrl"), e["resource"].alias("resource"))).alias(
-            "entry"
-        ),
+    head = F.to_json(
+        F.struct(
+            F.lit("Bundle").alias("resourceType"),
+            F.format_string("page_%04d", number).alias("id"),
+            F.when(number < F.col("pages"), F.array(here, onward)).otherwise(F.array(here)).alias("link"),
+        )
     )
-    return pages.select("page_number", F.to_json(bundle).alias("value"))
+    texts = F.array_join(F.transform(in_order, lambda e: e["entry"]), ",")
+    value = F.concat(F.rtrim(head, F.lit("}")), F.lit(',"entry":['), texts, F.lit("]}"))
+    return pages.select("page_number", value.alias("value"))
 
 
 def land_pages(
@@ -81,6 +90,6 @@ def land_pages(
     cannot number them differently on the second try.
     """
     path = landing_path(root, spec.name, day)
-    pages = to_pages(stored(records), spec, page_size).select("value")
+    pages = paged(stored(entry_texts(records)), spec, page_size).select("value")
     pages.write.mode("overwrite").option("maxRecordsPerFile", 1 if one_per_file else 0).text(path)
     return path

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from recordloom.operators.bundles import LINEAGE, flatten_bundles, flatten_records
 from recordloom.operators.cleaning import deliveries
-from recordloom.operators.landing import to_pages
+from recordloom.operators.landing import entry_texts, paged
 from recordloom.session import stored
 from recordloom.sources.pages import parse_pages
 from recordloom.specs import (
@@ -230,7 +230,8 @@ def bronze_rows(records: DataFrame, spec: ResourceSpec, day: str = DAY, landed:
 
 def pages_of(records: DataFrame, spec: ResourceSpec, stable: bool = False) -> DataFrame:
     """Records written to JSON pages and parsed again; `stable` when they are a narrow scan."""
-    texts = to_pages(records if stable else stored(records), spec)
+    entries = entry_texts(records)
+    texts = paged(entries if stable else stored(entries), spec)
     return parse_pages(texts, spec).withColumns(
         {
             "page_path": F.concat_ws("/", F.lit(DAY), "id"),

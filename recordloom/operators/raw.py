@@ -19,18 +19,13 @@ def raw_records(texts: DataFrame) -> DataFrame:
     Narrow. An entry without a resource has NULL. Pages that are not JSON, name a key twice, or are beyond the size of a
     VARIANT give no rows; `unread_pages` lists them.
     """
-    pages = texts.withColumn("page", F.try_parse_json("value")).withColumns(
-        {
-            "link": F.try_variant_get("page", "$.link", LINK),
-            "entries": F.try_variant_get("page", "$.entry", "array<variant>"),
-        }
-    )
-    entries = with_lineage(pages).select(F.explode("entries").alias("entry"), *LINEAGE)
-    return entries.select(
-        F.try_variant_get("entry", "$.fullUrl", "string").alias("full_url"),
-        F.try_variant_get("entry", "$.resource", "variant").alias("resource"),
-        *LINEAGE,
-    )
+    pages = texts.withColumn("page", F.try_parse_json("value"))
+    pages = with_lineage(pages.withColumn("link", F.try_variant_get("page", "$.link", LINK)))
+    # Taken apart in one step and exploded as an expression: of a bare column Spark would test first that it has entries,
+    # and for that parse and take apart each page once more.
+    listed = F.try_variant_get("page", "$.entry", "array<struct<fullUrl:string,resource:variant>>")
+    entries = pages.select(F.explode(listed).alias("entry"), *LINEAGE)
+    return entries.select(F.col("entry.fullUrl").alias("full_url"), F.col("entry.resource").alias("resource"), *LINEAGE)
 
 
 def unread_pages(texts: DataFrame) -> DataFrame:

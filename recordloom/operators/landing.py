@@ -87,9 +87,9 @@ def land_pages(
     """Write the pages of one resource type and day, replacing that day; returns the folder.
 
     Default is one page per line, many per file. The records are stored first, so that a lost executor
-    cannot number them differently on the second try.
+    cannot number them differently on the second try. Files are compressed, each is read by one task.
     """
     path = landing_path(root, spec.name, day)
     pages = paged(stored(entry_texts(records)), spec, page_size).select("value")
-    pages.write.mode("overwrite").option("maxRecordsPerFile", 1 if one_per_file else 0).text(path)
+    pages.write.mode("overwrite").option("maxRecordsPerFile", 1 if one_per_file else 0).text(path, compression="lz4")
     return path

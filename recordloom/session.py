@@ -71,7 +71,7 @@ def stored(df: DataFrame) -> DataFrame:
     order each time, and has their size.
     """
     path = new_folder(df.sparkSession, "stage")
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -153,6 +153,9 @@ def files_of(spark: SparkSession, path: str) -> tuple:
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
+_files = files_of
+
+
 def claim_run(spark: SparkSession, root: str, run: int, seen: int | None) -> None:
     """Take the run's number by a file that only one writer can create."""
     newest = max((m["run"] for m in history_runs(spark, root)), default=0)

@@ -26,6 +26,7 @@ from pyspark.sql.functions import arrow_udf
 
 from recordloom.llm.components import smallest_reachable
 from recordloom.llm.scan import LOWER, blocks, mixed, span_hashes, word_spans
+from recordloom.llm.tokens import forget
 from recordloom.session import stored
 
 WORDS = 5
@@ -110,6 +111,7 @@ def _packed(bucket: np.ndarray, owner: np.ndarray, size: np.ndarray, columns: li
 
 def _token_rows(buckets: int):
     def run(batches):
+        forget()
         names = [f.split()[0] for f in PACKED.split(", ")]
         known: set[int] = set()
         held, total = [], 0
@@ -372,6 +374,7 @@ def _components(known: DataFrame, documents: DataFrame, text: str, buckets: int
 
 
 def _set_names(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    forget()
     for column in batches:
         yield pa.array([set_name(s) if len(s) else None for _, s in shingle_sets(column)], pa.int64())
 

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from recordloom.llm.tokens import forget
 from recordloom.session import stored
 
-SAMPLE_ROWS = 10_000  # labelled documents per language, about; all when there are fewer
 ROUNDS = 2
 LEARNED = 31  # letters; longer words are learned from in parts of this many, and scored whole
 SMOOTH = 0.05  # added to each piece's expected count
@@ -227,28 +226,23 @@ class Model:
         self.languages, self.pieces, self.table = languages, pieces, table
 
 
-def _learned_rows(documents: DataFrame, sample_rows: int) -> tuple[list[str], DataFrame]:
-    """The languages in alphabetical order, and the rows that are learned from."""
-    usable = documents.filter("lang is not null and text is not null and doc_id is not null").filter(~is_held_out())
-    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
-    languages = sorted(sizes)
-    if not languages:
-        return [], usable
-    share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, sample_rows / sizes[lang]))])
-    return languages, usable.filter(F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
+def _is_learned(doc_id: str = "doc_id", lang: str = "lang", text: str = "text") -> Column:
+    given = F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull()
+    return given & ~is_held_out(doc_id)
 
 
-def learn(documents: DataFrame, path: str | None = None, sample_rows: int = SAMPLE_ROWS, rounds: int = ROUNDS) -> Model:
-    """A model from `text` and the non-null `lang` of rows that are not held out.
+def learn(documents: DataFrame, path: str | None = None, rounds: int = ROUNDS) -> Model:
+    """A model from `text` and the non-null `lang` of all rows that are not held out.
 
-    About `sample_rows` rows per language count, chosen by a hash of doc_id; all where there are fewer. The driver gets
-    one number per piece and language: the vocabulary is fixed, the languages are few.
+    Tasks and shuffles hold words with their counts. The driver gets one number per piece and language: the vocabulary is
+    fixed, the languages are few.
     """
     pieces = read_vocabulary(path or vocabulary_path())
-    languages, chosen = _learned_rows(documents, sample_rows)
+    usable = documents.filter(_is_learned())
+    languages = sorted(row["lang"] for row in usable.select("lang").distinct().collect())
     if not languages:
         return Model([], pieces, np.zeros((len(pieces), 0)))
-    counted = chosen.select("lang", "text").mapInArrow(_count_words, "lang string, word string, n long")
+    counted = usable.select("lang", "text").mapInArrow(_count_words, "lang string, word string, n long")
     counted = stored(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
 
     start = 1.0 / (np.arange(len(pieces)) + 10.0)
@@ -356,10 +350,12 @@ def identified(documents: DataFrame, path: str | None = None) -> DataFrame:
     return judged.select("doc_id", is_held_out().alias("held_out"), "language.lang_pred", "language.score")
 
 
-def usual(documents: DataFrame, model: Model, sample_rows: int = SAMPLE_ROWS) -> dict[str, tuple[float, float, float]]:
-    """Per language the median and the spread of per_letter, and the median of letters, of the rows that were learned from."""
-    _, chosen = _learned_rows(documents, sample_rows)
-    own = predicted(chosen.select("lang", "text"), model, lengths=True).filter("language.lang_pred = lang")
+def usual(judged: DataFrame) -> dict[str, tuple[float, float, float]]:
+    """Per language the median and the spread of per_letter, and the median of letters, of all texts that were learned from.
+
+    `judged` has lang, `language` with lengths, and `learned`, whether the model saw the row.
+    """
+    own = judged.filter("learned and language.lang_pred = lang")
     quartiles = F.percentile_approx("language.per_letter", [0.25, 0.5, 0.75], 1000).alias("q")
     rows = own.groupBy("lang").agg(quartiles, F.percentile_approx("language.letters", 0.5, 1000).alias("letters")).collect()
     return {r["lang"]: (r["q"][1], max((r["q"][2] - r["q"][0]) / 1.349, LEAST_SPREAD), float(r["letters"])) for r in rows}
@@ -381,10 +377,11 @@ def keep_identified(documents: DataFrame, least_score: float = 0.5, path: str |
     """`documents` without those whose language cannot be told, or was not learned.
 
     These are `und`, a score below `least_score`, and texts that are far less probable per letter than those learned from:
-    the score only compares learned languages, and is near 1 for any long text. Texts are judged where they are read and
-    never shuffled. All columns come back as they were, whatever their names.
+    the score only compares learned languages, and is near 1 for any long text. Model and limits come from all labelled
+    rows that are not held out. Texts are judged where they are read and never shuffled. All columns come back as they were, whatever their names.
     """
     model = learn(documents, path)
-    rows = documents.select(F.struct("*").alias("document"), "text")
-    kept = predicted(rows, model, lengths=True).filter((F.col("language.lang_pred") != "und") & (F.col("language.score") >= least_score))
-    return kept.filter(is_usual(usual(documents, model) if model.languages else {})).select("document.*")
+    rows = documents.select(F.struct("*").alias("document"), "text", "lang", _is_learned().alias("learned"))
+    judged = stored(predicted(rows, model, lengths=True).drop("text"))  # each text is judged once, for the limits and by them
+    kept = judged.filter((F.col("language.lang_pred") != "und") & (F.col("language.score") >= least_score))
+    return kept.filter(is_usual(usual(judged) if model.languages else {})).select("document.*")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from recordloom.llm.tokens import default_path, tokens
+from recordloom.llm.tokens import default_path, release, tokens
 from recordloom.session import stored
 
 REPEAT_LIMIT = 1.25
@@ -32,6 +32,7 @@ JOBS = 8
 
 def _token_counter(path: str):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()  # what tasks of other kinds left free in this worker
         words = tokens(path)
         for column in batches:
             yield pa.array([len(words.ids(text.as_py())) // 4 for text in column], pa.int64())

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.llm.tokens import default_path, tokens
+from recordloom.llm.tokens import default_path, release, tokens
 from recordloom.session import stored
 
 CAPACITY = 2048
@@ -31,6 +31,7 @@ PLACED = "group long, row long, bin int, offset int, fill int, bins int, bound i
 
 def _cut(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         words = tokens(path)
         end = np.array([end_id], dtype="<u4").tobytes()
         row = TaskContext.get().partitionId() << 33

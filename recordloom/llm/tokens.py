@@ -6,6 +6,7 @@ spaces, one after the other. A part is looked up before the tokenizer is asked;
 
 from __future__ import annotations
 
+import ctypes
 import os
 import unicodedata
 from array import array
@@ -83,4 +84,13 @@ def forget() -> None:
     """Drop the cached words of this worker: for tasks of other kinds, which run in the same workers and need the memory."""
     for words in _tokenizers.values():
         words.clear()
+    release()
+
+
+def release() -> None:
+    """Give memory that is free in this worker back to the system; allocators keep it otherwise, for the worker's life."""
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # only the C library of Linux has it
+        pass

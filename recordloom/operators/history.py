@@ -104,7 +104,7 @@ def _history_of(rows: DataFrame, run_at: Column, hot_rows: int) -> DataFrame:
     `hot_rows` rows or more are cut into time slices instead.
     """
     ordinary, hot = split_hot(rows, ID, hot_rows)
-    once = first_deliveries(ordinary.repartition(ID))
+    once = with_order(first_deliveries(ordinary.drop(*ORDER).repartition(ID)))  # shuffled and sorted without what is derived
     whole = _by_id().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     result = _link(once.withColumn("last_seen", F.max(F.greatest(position(), "_seen")).over(whole)), run_at, False)
     if hot is not None:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from recordloom.operators.landing import land_pages, to_pages
 from recordloom.operators.metrics import layer_metrics
 from recordloom.operators.raw import flatten_raw, raw_records
 from recordloom.plans import daily, marts, summary
-from recordloom.session import new_folder, pin, stored
+from recordloom.session import new_folder, pin, side_by_side, stored
 from recordloom.sources import star_tables as star
 from recordloom.sources import tables as store
 from recordloom.sources.pages import in_window, read_page_texts, read_pages
@@ -668,13 +669,16 @@ def patient_summary_by_runs(spark, folder):
         "Observation": lambda o, keep: star.observations(lines.filter(f"l_orderkey {keep}"), o),
         "Condition": lambda o, keep: star.conditions(lines.filter(f"l_orderkey {keep}"), o, t("part")),
     }
+
+    def advance(name, days, at):
+        spec = spec_for(name)
+        for day, source, keep in days:
+            rows = star.bronze_rows(records[name](source, keep), spec, f"2024-01-{day}")
+            store.write_bronze(rows, f"{bronze}/{spec.bronze_table}", f"2024-01-{day}")
+        daily.update_history(spark, bronze, silver, spec, at)
+
     for days, at in (([("02", wrong, "% 3 <> 2")], FIRST_RUN), ([("02", orders, "% 3 = 1"), ("03", orders, "% 3 <> 1")], SECOND_RUN)):
-        for name, make in records.items():
-            spec = spec_for(name)
-            for day, source, keep in days:
-                rows = star.bronze_rows(make(source, keep), spec, f"2024-01-{day}")
-                store.write_bronze(rows, f"{bronze}/{spec.bronze_table}", f"2024-01-{day}")
-            daily.update_history(spark, bronze, silver, spec, at)
+        side_by_side(spark, (partial(advance, name, days, at) for name in records))
         summary.refresh_summary(spark, silver, root)
     kept = summary.kept_summary(spark, root, _dim_patient(spark, folder))
     return kept.withColumn("condition_list", F.array_join("condition_list", "|"))

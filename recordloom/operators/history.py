@@ -57,15 +57,18 @@ def _sliced(rows: DataFrame) -> DataFrame:
     return rows.repartitionByRange(ID, *ORDER).withColumn("_slice", F.spark_partition_id())
 
 
-def _neighbour(rows: DataFrame, name: str, value: Column, ahead: bool, sliced: bool) -> DataFrame:
+def _neighbour(
+    rows: DataFrame, name: str, value: Column, ahead: bool, sliced: bool, along: dict[str, Column] | None = None
+) -> DataFrame:
     """Add `value` of the previous (or, `ahead`, the next) version of the same id.
 
+    `along` are more columns over windows of the whole id, for rows that are not sliced: they share the pass.
     Sliced rows look inside their slice first. Only the outermost rows of the slices, two per slice,
     are brought together per id to look across the borders.
     """
     look = F.lead if ahead else F.lag
     if not sliced:
-        return rows.withColumn(name, look(value).over(_by_id()))
+        return rows.withColumns({**(along or {}), name: look(value).over(_by_id())})
     in_slice = Window.partitionBy(ID, "_slice").orderBy(*ORDER)
     marked = rows.withColumns(
         {
@@ -81,10 +84,10 @@ def _neighbour(rows: DataFrame, name: str, value: Column, ahead: bool, sliced: b
     return marked.withColumn(name, found).drop("_near", "_first", "_last")
 
 
-def _link(rows: DataFrame, run_at: Column, sliced: bool) -> DataFrame:
-    """Unique versions with last_seen to history rows: drop unchanged ones, set validity."""
+def _link(rows: DataFrame, run_at: Column, sliced: bool, along: dict[str, Column] | None = None) -> DataFrame:
+    """Unique versions with last_seen (in the rows or `along`) to history rows: drop unchanged ones, set validity."""
     value = content([c for c in rows.columns if c != "_slice"])
-    kept = _neighbour(rows, "_before", value, False, sliced).filter(~F.col("_before").eqNullSafe(value))
+    kept = _neighbour(rows, "_before", value, False, sliced, along).filter(~F.col("_before").eqNullSafe(value))
     linked = _neighbour(kept, "_after", F.struct("_at"), True, sliced)
     is_open = F.col("_after").isNull()
     return linked.withColumns(
@@ -97,16 +100,16 @@ def _link(rows: DataFrame, run_at: Column, sliced: bool) -> DataFrame:
     ).drop("_before", "_after", "_slice", "_written", "_seen", *ORDER)
 
 
-def _history_of(rows: DataFrame, run_at: Column, hot_rows: int) -> DataFrame:
+def _history_of(rows: DataFrame, run_at: Column, hot_rows: int, among: DataFrame | None = None) -> DataFrame:
     """History rows of deliveries; `_written` is the time an already stored row was last written, `_seen` its last_seen.
 
     Ordinary ids need one shuffle: de-duplication and all neighbour windows share it. Ids with
-    `hot_rows` rows or more are cut into time slices instead.
+    `hot_rows` rows or more are cut into time slices instead; they are looked up `among` rows that are cheaper to read.
     """
-    ordinary, hot = split_hot(rows, ID, hot_rows)
+    ordinary, hot = split_hot(rows, ID, hot_rows, among)
     once = with_order(first_deliveries(ordinary.drop(*ORDER).repartition(ID)))  # shuffled and sorted without what is derived
     whole = _by_id().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    result = _link(once.withColumn("last_seen", F.max(F.greatest(position(), "_seen")).over(whole)), run_at, False)
+    result = _link(once, run_at, False, {"last_seen": F.max(F.greatest(position(), "_seen")).over(whole)})
     if hot is not None:
         spread = stored(first_deliveries(hot))  # read by the totals, the range bounds and the slices
         seen = stored(spread.groupBy(ID).agg(F.max(F.greatest(position(), "_seen")).alias("last_seen")))
@@ -121,10 +124,16 @@ def _never() -> Column:
 # --- whole histories --------------------------------------------------------------------------
 
 
-def rebuild(deliveries: DataFrame, run_at: datetime | Column, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The history of everything delivered, in source time."""
+def rebuild(
+    deliveries: DataFrame, run_at: datetime | Column, hot_rows: int = HOT_ROWS, among: DataFrame | None = None
+) -> DataFrame:
+    """The history of everything delivered, in source time.
+
+    Hot ids are looked up in `among`, if given: rows that hold at least the deliveries of each of the ids, and that need
+    no join to be read.
+    """
     rows = deliveries.withColumns({"_written": F.lit(None).cast("timestamp"), "_seen": _never()})
-    return _history_of(rows, _moment(run_at), hot_rows)
+    return _history_of(rows, _moment(run_at), hot_rows, among)
 
 
 def current_rows(history: DataFrame) -> DataFrame:
@@ -162,28 +171,35 @@ def apply(
 # --- one batch more, newer versions only ------------------------------------------------------
 
 
-def _split_current(current: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Current rows as (rows of ids not in the batch, stored rows of ids in the batch).
+def _split_current(current: DataFrame, batch: DataFrame, touched: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Current rows as (rows of ids not in the batch, stored rows of ids in the batch); `touched` are the batch's ids.
 
     The current set is only scanned, unless the batch has too many ids to broadcast.
     """
-    touched, _ = settled_keys(batch.select(ID))
+    if touched is None:
+        touched, _ = settled_keys(batch.select(ID))
     return current.join(touched, ID, "left_anti"), stored(current.join(touched, ID, "left_semi"))
 
 
-def _continue(starts: DataFrame, batch: DataFrame, run_at: Column, hot_rows: int) -> DataFrame:
-    """Link the newer versions of the batch behind the current rows of their ids."""
+def _continue(
+    starts: DataFrame, batch: DataFrame, run_at: Column, hot_rows: int, among: DataFrame | None = None
+) -> DataFrame:
+    """Link the newer versions of the batch behind the current rows of their ids.
+
+    Ids without a current row start with the batch. The start adds one row to an id, so hot ids are looked up in the
+    batch, or `among` rows that hold at least the batch, without the joins below.
+    """
+    among = batch if among is None else among
+    if starts.isEmpty():
+        return rebuild(batch, run_at, hot_rows, among)
     seen = starts.select(ID, "last_seen")
     is_newer = F.col("last_seen").isNull() | (position() > F.col("last_seen"))
     newer = batch.join(seen, ID, "left").filter(is_newer).drop("last_seen")
     # A replayed version may have been seen without being kept, so what was seen is carried along.
     open_rows = with_order(starts).withColumns({"_written": F.col("scd_updated_at"), "_seen": F.col("last_seen")})
     open_rows = open_rows.drop(*HISTORY_COLUMNS)
-    # Read three times below, and small next to the history: the batch and the rows it continues.
-    chains = stored(
-        open_rows.unionByName(newer.withColumns({"_written": F.lit(None).cast("timestamp"), "_seen": _never()}))
-    )
-    return _history_of(chains, run_at, hot_rows)
+    chains = open_rows.unionByName(newer.withColumns({"_written": F.lit(None).cast("timestamp"), "_seen": _never()}))
+    return _history_of(chains, run_at, hot_rows, among)
 
 
 def extend(
@@ -205,6 +221,8 @@ def late_ids(current: DataFrame, batch: DataFrame, earlier: DataFrame) -> DataFr
     `earlier` are the deliveries before the batch. Repeats of the newest version, the usual overlap,
     are settled without them, and where the batch has nothing older they are not read at all.
     """
+    if current.isEmpty():
+        return None
     seen = current.select(ID, "last_seen")
     before = batch.join(seen, ID).filter(position() < F.col("last_seen"))
     older, count = settled_keys(before.select(ID, VERSION))
@@ -221,22 +239,28 @@ def delta(
     earlier: DataFrame,
     run_at: datetime | Column,
     hot_rows: int = HOT_ROWS,
+    derived: DataFrame | None = None,
+    touched: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of the ids in `batch` only, and the late ids (None if there are none).
+    """Rows of the ids in `batch` and `derived` only, and the late ids (None if there are none).
 
     For an id in order: the versions the batch closes and the new current one. For a late id: its whole
-    rebuilt history, which replaces all that was stored for it.
+    rebuilt history, which replaces all that was stored for it. The same for the ids in `derived`, distinct and stored,
+    whatever they had before; `touched`, which is needed with them, are the other ids of the batch.
+
+    Ids with their whole history and the others go through the same joins and windows, so nothing delivered is read twice.
     """
     run_at = _moment(run_at)
-    _, starts = _split_current(current, batch)
+    _, starts = _split_current(current, batch, touched)
     late = late_ids(starts, batch, earlier)
-    if late is None:
+    if late is None and derived is None:
         return _continue(starts, batch, run_at, hot_rows), None
-    on_time = _continue(
-        starts.join(late, ID, "left_anti"), batch.join(late, ID, "left_anti"), run_at, hot_rows
-    )
-    everything = earlier.unionByName(batch).join(late, ID, "left_semi")
-    return on_time.unionByName(rebuild(everything, run_at, hot_rows)), late
+    whole = derived if late is None else late.select(ID) if derived is None else derived.unionByName(late.select(ID))
+    arrived = earlier.withColumn("_new", F.lit(False)).unionByName(batch.withColumn("_new", F.lit(True)))
+    marked = arrived.join(whole.select(ID, F.lit(True).alias("_whole")), ID, "left")
+    wanted = marked.filter(F.col("_new") | F.col("_whole").isNotNull()).drop("_new", "_whole")
+    on_time = starts if late is None else stored(starts.join(late, ID, "left_anti"))
+    return _continue(on_time, wanted, run_at, hot_rows, arrived), late
 
 
 def step(

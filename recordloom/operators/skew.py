@@ -29,9 +29,14 @@ def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> DataFrame:
     return counts.select(key)
 
 
-def split_hot(df: DataFrame, key: str, rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
-    """`df` as (rows of ordinary keys, rows of hot keys or None where no key is hot)."""
-    hot = stored(hot_keys(df, key, rows))
+def split_hot(
+    df: DataFrame, key: str, rows: int = HOT_ROWS, among: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """`df` as (rows of ordinary keys, rows of hot keys or None where no key is hot).
+
+    The keys are looked up in `among` instead, if given: it has about as many rows of each key of `df`, or more.
+    """
+    hot = stored(hot_keys(df if among is None else among, key, rows))
     if hot.isEmpty():
         return df, None
     return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")

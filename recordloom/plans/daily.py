@@ -106,18 +106,17 @@ def advance_history(
     if run - runs[-1]["base"] >= COMPACT_AFTER:
         compact_history(spark, root)
         run, seen = next_run(spark, root)
-    derived = None
+    derived, fresh = None, arriving.select(ID)
     if replaced is not None:
         derived, _ = settled_keys(replaced.select(ID))
-        anew = rebuild(before.unionByName(arriving).join(derived, ID, "left_semi"), run_at)
-        arriving = arriving.join(derived, ID, "left_anti")
-    touched, count = settled_keys(arriving.select(ID))
-    if count:
-        rows, late = delta(read_current(spark, root), arriving, before, run_at)
+        fresh = fresh.join(derived, ID, "left_anti")
+    touched, count = settled_keys(fresh)
+    if count or derived is not None:
+        rows, late = delta(read_current(spark, root), arriving, before, run_at, derived=derived, touched=touched)
     else:
         rows, late = read_current(spark, root).limit(0), None
     if derived is not None:
-        rows, touched = rows.unionByName(anew), touched.unionByName(derived)
+        touched = touched.unionByName(derived)
         late = derived if late is None else late.select(ID).unionByName(derived)
     write_history_run(rows, root, run, touched, late, dict(taken), seen)
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from recordloom.functions.columns import reference_key
 from recordloom.operators.history import current_rows
 from recordloom.plans import marts
-from recordloom.session import settled_keys, stored
+from recordloom.session import settled_keys, side_by_side, stored
 from recordloom.sources import tables as store
 from recordloom.specs import ID, RESOURCES
 
@@ -175,7 +176,8 @@ def refresh_source(spark: SparkSession, history: str, root: str, source: str) ->
     """Bring the cells of one source up to its stored history; False if they were.
 
     The cost is the touched ids, a scan of the current rows' few columns for the cells they concern, and no shuffle of
-    the others. Everything is aggregated at the first call, and when the lists of what was touched since are gone.
+    the others. Everything is aggregated at the first call, when the lists of what was touched since are gone, and when
+    more ids were touched than had a place: reading where each of them was then costs more than it spares.
     A history without a run leaves nothing behind.
     """
     part, own = PARTS[source], f"{root}/{source}"
@@ -190,10 +192,10 @@ def refresh_source(spark: SparkSession, history: str, root: str, source: str) ->
         marks = store.history_runs(spark, own)
     run, seen = store.next_run(spark, own)
     ids = _touched_since(spark, history, runs, marks[-1]["upto"]) if marks else None
-    if ids is None:
+    touched, count = settled_keys(ids) if ids is not None else (None, 0)
+    if touched is None or count > _owners(spark, own, marks).count():
         _write(part.cells(rows), rows.select(ID, *CELL), own, run, seen, None, upto)
         return True
-    touched, _ = settled_keys(ids)
     now = stored(rows.join(touched, ID, "left_semi").select(ID, *CELL))
     before = _owners(spark, own, marks).join(touched, ID, "left_semi")
     concerned, _ = settled_keys(before.select(*CELL).unionByName(now.select(*CELL)))
@@ -205,8 +207,7 @@ def refresh_source(spark: SparkSession, history: str, root: str, source: str) ->
 
 def refresh_summary(spark: SparkSession, silver: str, root: str) -> None:
     """Bring the cells of all sources up to the stored histories. Each source is finished by itself and may be repeated."""
-    for source in PARTS:
-        refresh_source(spark, f"{silver}/{RESOURCES[source].silver_table}", root, source)
+    side_by_side(spark, (partial(refresh_source, spark, f"{silver}/{RESOURCES[n].silver_table}", root, n) for n in PARTS))
 
 
 def kept_summary(spark: SparkSession, root: str, patients: DataFrame) -> DataFrame:

@@ -6,15 +6,21 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-# Results depend on the first setting: timestamps without an offset are read as UTC.
+# Results depend on the first setting: timestamps without an offset are read as UTC. The last one lets a task keep the files
+# of two partitions open (of histories: closed and current rows) instead of sorting whole rows before it writes; with more
+# partitions Spark sorts the rest.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "2",
 }
 
 
@@ -75,6 +81,16 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(spark: SparkSession, steps: Iterable[Callable[[], object]]) -> list:
+    """Results of steps that do not need each other, in order.
+
+    Their jobs share the executors: the tasks of one fill the cores that another leaves idle at the end of its stages.
+    """
+    steps = [inheritable_thread_target(spark)(step) for step in steps]
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [done.result() for done in [pool.submit(step) for step in steps]]
+
+
 def settled_keys(keys: DataFrame) -> tuple[DataFrame, int]:
     """Distinct `keys` computed once, and their number.
 

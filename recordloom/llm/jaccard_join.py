@@ -393,7 +393,8 @@ def keep_one(documents: DataFrame) -> DataFrame:
     stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("set_id") == F.col("best.set_id"))
     rows = stored(rows.select(F.col("doc_id").alias("_id"), F.col("set_id").alias("_name"), "copies", stays.alias("stays")).filter("not stays or copies > 1"))
 
-    out = documents.withColumn("_set", arrow_udf(_set_names, "long")(F.col("text").cast("binary")))
+    # Not called deterministic, or else Spark copies it into the filter of the semi join: a second scan, by a second worker.
+    out = documents.withColumn("_set", arrow_udf(_set_names, "long").asNondeterministic()(F.col("text").cast("binary")))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_set") == F.col("_name"))
     gone, repeated = rows.select("_id", "_name"), rows.filter("stays").select("_id", "_name")
     if gone.count() <= BROADCAST_IDS:

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.llm.tokens import default_path, release, tokens
+from recordloom.llm.tokens import default_path, forget, release, tokens
 from recordloom.session import stored
 
 CAPACITY = 2048
@@ -107,6 +107,7 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 def _pack(capacity: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        forget()
         rows = rows.sort_values("row")
         lengths = rows["length"].to_numpy()
         bins, offsets, opened = best_fit_decreasing(lengths, capacity)

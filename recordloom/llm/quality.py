@@ -67,8 +67,12 @@ def _counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def with_counts(documents: DataFrame, text: str = "text") -> DataFrame:
-    """`documents` with a struct `counts` in place of any column of that name."""
-    return documents.withColumn("counts", arrow_udf(_counts, STATS_TYPE)(F.col(text).cast("binary")))
+    """`documents` with a struct `counts` in place of any column of that name.
+
+    Spark would copy a deterministic function into each filter on its result: texts would be scanned twice, by two Python
+    workers per core.
+    """
+    return documents.withColumn("counts", arrow_udf(_counts, STATS_TYPE).asNondeterministic()(F.col(text).cast("binary")))
 
 
 def base_failed(counts: str = "counts") -> Column:

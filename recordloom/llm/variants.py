@@ -237,8 +237,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
     frequency = gram_frequencies(words)
     probes = words.mapInArrow(_entries(frequency, False), ENTRY).withColumnsRenamed({"word": "a", "n": "n_a", "last": "last_a"})
     index = words.mapInArrow(_entries(frequency, True), ENTRY).withColumnsRenamed({"word": "b", "n": "n_b", "last": "last_b"})
-    # Where both prefixes end with the same gram, either word may be the one that probes.
-    met = probes.join(index, "key").filter(
+    # Where both prefixes end with the same gram, either word may be the one that probes. A word gives many more rows than
+    # Spark reckons with for what a function returns, so neither side may be broadcast by that estimate.
+    met = probes.hint("merge").join(index, "key").filter(
         "last_a <= last_b and a <> b and abs(length(a) - length(b)) <= 1 and levenshtein(a, b, 1) = 1"
     )
     ordered = met.select(
@@ -255,12 +256,13 @@ def near_pairs(words: DataFrame) -> DataFrame:
 def _roots(forms: DataFrame) -> DataFrame:
     """word and root of every word that has a form, by pointer doubling.
 
-    A form is DOMINANCE times as frequent as its word, so chains are short and have no cycles.
+    A form is DOMINANCE times as frequent as its word, so chains are short and have no cycles. The tables are a few times
+    as large in memory as the compressed files that Spark judges them by, so they are not broadcast.
     """
     paths = stored(forms.select("word", F.col("form").alias("root")))
     while True:
         onward = paths.select(F.col("word").alias("root"), F.col("root").alias("_next"))
-        moved = paths.join(onward, "root", "left").select("word", F.coalesce("_next", "root").alias("root"), "_next")
+        moved = paths.join(onward.hint("merge"), "root", "left").select("word", F.coalesce("_next", "root").alias("root"), "_next")
         moved = stored(moved)
         done = moved.filter("_next is not null").isEmpty()
         paths = moved.drop("_next")
@@ -291,6 +293,6 @@ def variants(documents: DataFrame) -> DataFrame:
         )
     )
     roots = _roots(judged.filter("form is not null"))
-    return judged.join(roots, "word", "left").select(
+    return judged.join(roots.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )

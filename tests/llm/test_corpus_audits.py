@@ -250,3 +250,21 @@ def test_pivots_are_the_cheapest_disjoint_pair():
 
 def test_variants_of_no_rows(spark):
     assert found_variants(frame(spark, []).limit(0)) == set()
+
+
+def test_index_entries_of_words_are_not_broadcast_by_the_size_of_the_words(spark, monkeypatch):
+    """A word gives tens of index entries; Spark reckons with one row of each."""
+    plans = []
+    keep = variants.stored
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df)
+
+    words = keep(spark.createDataFrame([("spelling", 40), ("speling", 2), ("variants", 3)], "word string, n long"))
+    monkeypatch.setattr(variants, "stored", planned)
+    pairs = variants.near_pairs(words)
+    roots = variants._roots(words.limit(1).selectExpr("word", "'form' as form"))
+    assert [tuple(r) for r in pairs.collect()] == [("speling", "spelling", 2, 40)] and roots.count() == 1
+    joins = [p for p in plans if "Join" in p]
+    assert len(joins) == 2 and not any("Broadcast" in p for p in joins)

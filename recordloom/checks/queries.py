@@ -85,7 +85,8 @@ def _bronze(spark, folder, name) -> DataFrame:
 
 
 def _history(spark, folder, name) -> DataFrame:
-    return h.rebuild(deliveries(_bronze(spark, folder, name), spec_for(name)), FIRST_RUN)
+    spec = spec_for(name)
+    return h.rebuild(deliveries(_bronze(spark, folder, name), spec), FIRST_RUN, hashed=spec.hash_columns)
 
 
 def _dim_patient(spark, folder) -> DataFrame:

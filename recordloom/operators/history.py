@@ -12,11 +12,13 @@ out; `deliveries` arguments come from cleaning.deliveries().
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from recordloom.functions.columns import record_hash
 from recordloom.operators.cleaning import ORDER, first_deliveries, newest_versions, with_order
 from recordloom.operators.skew import HOT_ROWS, split_hot
 from recordloom.session import settled_keys, stored
@@ -100,14 +102,34 @@ def _link(rows: DataFrame, run_at: Column, sliced: bool, along: dict[str, Column
     ).drop("_before", "_after", "_slice", "_written", "_seen", *ORDER)
 
 
-def _history_of(rows: DataFrame, run_at: Column, hot_rows: int, among: DataFrame | None = None) -> DataFrame:
+def _by_key(rows: DataFrame, hashed: Sequence[str] | None) -> DataFrame:
+    """Rows shuffled by id, without what is derived.
+
+    A hash is what a shuffle can compress least. Where it is known which columns are `hashed`, delivered rows get theirs
+    again afterwards; stored rows keep the one they were written with.
+    """
+    rows = rows.drop(*ORDER)
+    if hashed is None:
+        return rows.repartition(ID)
+    kept = F.when(F.col("_written").isNotNull(), F.col("record_hash"))
+    dealt = rows.withColumn("record_hash", kept).repartition(ID)
+    return dealt.withColumn("record_hash", F.coalesce("record_hash", record_hash(hashed)))
+
+
+def _history_of(
+    rows: DataFrame,
+    run_at: Column,
+    hot_rows: int,
+    among: DataFrame | None = None,
+    hashed: Sequence[str] | None = None,
+) -> DataFrame:
     """History rows of deliveries; `_written` is the time an already stored row was last written, `_seen` its last_seen.
 
     Ordinary ids need one shuffle: de-duplication and all neighbour windows share it. Ids with
     `hot_rows` rows or more are cut into time slices instead; they are looked up `among` rows that are cheaper to read.
     """
     ordinary, hot = split_hot(rows, ID, hot_rows, among)
-    once = with_order(first_deliveries(ordinary.drop(*ORDER).repartition(ID)))  # shuffled and sorted without what is derived
+    once = with_order(first_deliveries(_by_key(ordinary, hashed)))
     whole = _by_id().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     result = _link(once, run_at, False, {"last_seen": F.max(F.greatest(position(), "_seen")).over(whole)})
     if hot is not None:
@@ -125,15 +147,20 @@ def _never() -> Column:
 
 
 def rebuild(
-    deliveries: DataFrame, run_at: datetime | Column, hot_rows: int = HOT_ROWS, among: DataFrame | None = None
+    deliveries: DataFrame,
+    run_at: datetime | Column,
+    hot_rows: int = HOT_ROWS,
+    among: DataFrame | None = None,
+    hashed: Sequence[str] | None = None,
 ) -> DataFrame:
     """The history of everything delivered, in source time.
 
     Hot ids are looked up in `among`, if given: rows that hold at least the deliveries of each of the ids, and that need
-    no join to be read.
+    no join to be read. `hashed`, if given, are the columns that the deliveries' record_hash is made of, as in their spec:
+    it is then not shuffled.
     """
     rows = deliveries.withColumns({"_written": F.lit(None).cast("timestamp"), "_seen": _never()})
-    return _history_of(rows, _moment(run_at), hot_rows, among)
+    return _history_of(rows, _moment(run_at), hot_rows, among, hashed)
 
 
 def current_rows(history: DataFrame) -> DataFrame:
@@ -182,7 +209,12 @@ def _split_current(current: DataFrame, batch: DataFrame, touched: DataFrame | No
 
 
 def _continue(
-    starts: DataFrame, batch: DataFrame, run_at: Column, hot_rows: int, among: DataFrame | None = None
+    starts: DataFrame,
+    batch: DataFrame,
+    run_at: Column,
+    hot_rows: int,
+    among: DataFrame | None = None,
+    hashed: Sequence[str] | None = None,
 ) -> DataFrame:
     """Link the newer versions of the batch behind the current rows of their ids.
 
@@ -191,7 +223,7 @@ def _continue(
     """
     among = batch if among is None else among
     if starts.isEmpty():
-        return rebuild(batch, run_at, hot_rows, among)
+        return rebuild(batch, run_at, hot_rows, among, hashed)
     seen = starts.select(ID, "last_seen")
     is_newer = F.col("last_seen").isNull() | (position() > F.col("last_seen"))
     newer = batch.join(seen, ID, "left").filter(is_newer).drop("last_seen")
@@ -199,7 +231,7 @@ def _continue(
     open_rows = with_order(starts).withColumns({"_written": F.col("scd_updated_at"), "_seen": F.col("last_seen")})
     open_rows = open_rows.drop(*HISTORY_COLUMNS)
     chains = open_rows.unionByName(newer.withColumns({"_written": F.lit(None).cast("timestamp"), "_seen": _never()}))
-    return _history_of(chains, run_at, hot_rows, among)
+    return _history_of(chains, run_at, hot_rows, among, hashed)
 
 
 def extend(
@@ -241,6 +273,7 @@ def delta(
     hot_rows: int = HOT_ROWS,
     derived: DataFrame | None = None,
     touched: DataFrame | None = None,
+    hashed: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of the ids in `batch` and `derived` only, and the late ids (None if there are none).
 
@@ -254,13 +287,13 @@ def delta(
     _, starts = _split_current(current, batch, touched)
     late = late_ids(starts, batch, earlier)
     if late is None and derived is None:
-        return _continue(starts, batch, run_at, hot_rows), None
+        return _continue(starts, batch, run_at, hot_rows, hashed=hashed), None
     whole = derived if late is None else late.select(ID) if derived is None else derived.unionByName(late.select(ID))
     arrived = earlier.withColumn("_new", F.lit(False)).unionByName(batch.withColumn("_new", F.lit(True)))
     marked = arrived.join(whole.select(ID, F.lit(True).alias("_whole")), ID, "left")
     wanted = marked.filter(F.col("_new") | F.col("_whole").isNotNull()).drop("_new", "_whole")
     on_time = starts if late is None else stored(starts.join(late, ID, "left_anti"))
-    return _continue(on_time, wanted, run_at, hot_rows, arrived), late
+    return _continue(on_time, wanted, run_at, hot_rows, arrived, hashed), late
 
 
 def step(

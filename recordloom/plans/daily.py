@@ -101,7 +101,8 @@ def advance_history(
     run, seen = next_run(spark, root)
     arriving, before = deliveries(batch, spec), deliveries(earlier, spec)
     if not runs:
-        write_history_run(rebuild(before.unionByName(arriving), run_at), root, run, taken=dict(taken), seen=seen)
+        whole = rebuild(before.unionByName(arriving), run_at, hashed=spec.hash_columns)
+        write_history_run(whole, root, run, taken=dict(taken), seen=seen)
         return
     if run - runs[-1]["base"] >= COMPACT_AFTER:
         compact_history(spark, root)
@@ -112,7 +113,8 @@ def advance_history(
         fresh = fresh.join(derived, ID, "left_anti")
     touched, count = settled_keys(fresh)
     if count or derived is not None:
-        rows, late = delta(read_current(spark, root), arriving, before, run_at, derived=derived, touched=touched)
+        current = read_current(spark, root)
+        rows, late = delta(current, arriving, before, run_at, derived=derived, touched=touched, hashed=spec.hash_columns)
     else:
         rows, late = read_current(spark, root).limit(0), None
     if derived is not None:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from recordloom.functions.columns import reference_key
 from recordloom.operators.history import current_rows
 from recordloom.plans import marts
-from recordloom.session import settled_keys, side_by_side, stored
+from recordloom.session import settled_keys, side_by_side, stored, written_once
 from recordloom.sources import tables as store
 from recordloom.specs import ID, RESOURCES
 
@@ -166,7 +166,8 @@ def _write(cells: DataFrame, owners: DataFrame, own: str, run: int, seen: int, b
     """Store a run. Nothing counts before its mark; RunTaken is raised when another writer was faster."""
     spark, write = cells.sparkSession, uuid.uuid4().hex
     for name, rows in (("cells", cells), ("owners", owners)):
-        rows.withColumn("run", F.lit(run).cast("long")).write.parquet(f"{own}/{name}/write={write}")
+        with written_once(spark):
+            rows.withColumn("run", F.lit(run).cast("long")).write.parquet(f"{own}/{name}/write={write}", compression="zstd")
     store.claim_run(spark, own, run, seen)
     mark = spark.createDataFrame([(run, write, base or run, upto)], "run long, write string, base long, upto long")
     mark.coalesce(1).write.mode("append").parquet(f"{own}/runs")

@@ -6,8 +6,11 @@ import os
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from threading import Lock
+from weakref import WeakKeyDictionary
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +26,8 @@ SETTINGS = {
     "spark.sql.maxConcurrentOutputFileWriters": "2",
 }
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def pin(spark: SparkSession) -> SparkSession:
     """Apply SETTINGS to a session that somebody else created."""
@@ -70,6 +75,34 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return os.path.join(shared_dir(spark), f"{purpose}-{uuid.uuid4().hex}")
 
 
+_writing: WeakKeyDictionary[SparkSession, tuple[int, str]] = WeakKeyDictionary()  # jobs now, and the setting outside them
+_writing_lock = Lock()
+
+
+@contextmanager
+def written_once(spark: SparkSession) -> Iterator[None]:
+    """Jobs begun inside remove their shuffle files when they end, so that the next one has the disk.
+
+    For writes, whose plan is never run again. Outside, files stay as the session has it.
+    """
+
+    def count(by: int) -> None:
+        with _writing_lock:
+            jobs, outside = _writing.get(spark) or (0, spark.conf.get(DROP_SHUFFLES))
+            jobs += by
+            spark.conf.set(DROP_SHUFFLES, "true" if jobs else outside)
+            if jobs:
+                _writing[spark] = jobs, outside
+            else:
+                del _writing[spark]
+
+    count(1)
+    try:
+        yield
+    finally:
+        count(-1)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """`df` written to a table in the shared folder and read from there.
 
@@ -77,7 +110,8 @@ def stored(df: DataFrame) -> DataFrame:
     order each time, and has their size.
     """
     path = new_folder(df.sparkSession, "stage")
-    df.write.parquet(path, compression="zstd")
+    with written_once(df.sparkSession):
+        df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

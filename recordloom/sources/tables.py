@@ -17,6 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordloom.session import written_once
 from recordloom.specs import ID, ResourceSpec
 
 # Columns of the ingestion log.
@@ -29,7 +30,9 @@ INGESTION_LOG_DDL = (
 
 def write_partitions(df: DataFrame, path: str, *by: str) -> None:
     """Write `df`, replacing exactly the partitions it holds rows for; other partitions stay."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+    with written_once(df.sparkSession):
+        writer.parquet(path, compression="zstd")
 
 
 def write_bronze(bronze: DataFrame, root: str, day: str | None = None) -> None:
@@ -45,7 +48,8 @@ def write_bronze(bronze: DataFrame, root: str, day: str | None = None) -> None:
         write_partitions(bronze, root, "ingestion_date")
     else:
         days = [day]
-        bronze.drop("ingestion_date").write.mode("overwrite").parquet(f"{root}/ingestion_date={day}")
+        with written_once(spark):
+            bronze.drop("ingestion_date").write.mode("overwrite").parquet(f"{root}/ingestion_date={day}", compression="zstd")
     if days:
         at = max((m["at"] for m in _marks(spark, f"{root}-states")), default=0) + 1
         states = spark.createDataFrame([(d, uuid.uuid4().hex, at) for d in days], "source string, state string, at long")
@@ -133,7 +137,8 @@ def write_history_run(
         if late is not None:
             listed = listed.join(late.select(ID, F.lit(True).alias("_late")), ID, "left")
             listed = listed.withColumn("corrected", F.coalesce("_late", F.lit(False))).drop("_late")
-        listed.write.parquet(f"{root}/touched/write={write}")
+        with written_once(spark):
+            listed.write.parquet(f"{root}/touched/write={write}", compression="zstd")
     write_partitions(
         rows.withColumns({"run": F.lit(run).cast("long"), "write": F.lit(write)}), f"{root}/rows", "is_current", "write"
     )

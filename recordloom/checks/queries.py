@@ -652,9 +652,8 @@ def customer_item_kpis(spark, folder):
 
 @query
 def patient_summary(spark, folder):
-    summary = marts.patient_summary(
-        _dim_patient(spark, folder), *[_history(spark, folder, n) for n in ("Encounter", "Condition", "Observation")]
-    )
+    histories = [_history(spark, folder, n) for n in ("Encounter", "Condition", "Observation")]
+    summary = marts.patient_summary(_dim_patient(spark, folder), *histories, keep=stored)
     return summary.withColumn("condition_list", F.array_join("condition_list", "|"))
 
 

@@ -5,7 +5,7 @@ All inputs are histories (one current row per id); `as_of` is the day ages are c
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -226,17 +226,23 @@ def observation_kpis(measured: DataFrame) -> DataFrame:
 
 
 def patient_summary(
-    patients: DataFrame, encounter_history: DataFrame, condition_history: DataFrame, observation_history: DataFrame
+    patients: DataFrame,
+    encounter_history: DataFrame,
+    condition_history: DataFrame,
+    observation_history: DataFrame,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per patient of dim_patient: counts are 0 and the rest NULL where nothing is recorded.
 
     The three aggregates read the histories directly, so the dimension is joined once and only to
-    rows that are already one per patient.
+    rows that are already one per patient. With `keep`, such as session.stored, each aggregate is a job of its own, and
+    only one history is shuffled at a time.
     """
     visits = encounter_kpis(encounters(encounter_history))
     diagnoses = condition_kpis(condition_history)
     measures = observation_kpis(observations(observation_history))
-    return with_kpis(patients, visits, diagnoses, measures)
+    sides = [side if keep is None else keep(side) for side in (visits, diagnoses, measures)]
+    return with_kpis(patients, *sides)
 
 
 def with_kpis(patients: DataFrame, *sides: DataFrame) -> DataFrame:

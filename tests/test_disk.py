@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from rows import RUN, delivered
 
+from recordloom.checks.queries import QUERIES
 from recordloom.operators import history as h
 from recordloom.session import DROP_SHUFFLES, side_by_side, stored, written_once
 from recordloom.specs import ENCOUNTER
@@ -67,3 +68,9 @@ def test_stored_rows_keep_their_hash(spark):
     slim, _ = h.delta(current, later, first, RUN[1], hashed=ENCOUNTER.hash_columns)
     rows = sorted(map(str, slim.collect()))
     assert rows == sorted(map(str, plain.collect())) and sum("of other columns" in r for r in rows) == 1
+
+
+def test_the_summary_shuffles_one_history_at_a_time(spark, folder, whole_plans):
+    """What is left in the plan of the result is the history of the patients."""
+    assert whole_plans(QUERIES["patient_summary"](spark, folder)).count("RepartitionByExpression") == 1
+

@@ -74,3 +74,6 @@ def test_the_summary_shuffles_one_history_at_a_time(spark, folder, whole_plans):
     """What is left in the plan of the result is the history of the patients."""
     assert whole_plans(QUERIES["patient_summary"](spark, folder)).count("RepartitionByExpression") == 1
 
+
+def test_the_counted_views_read_stored_histories(spark, folder, whole_plans):
+    assert whole_plans(QUERIES["gold_view_counts"](spark, folder)).count("RepartitionByExpression") == 0
